@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import PROCESSED_COLUMN, processed_at
+from tidemark.session import materialize
 
 OPERATION = "_operation"
 INSERT, UPDATE = "insert", "update"
@@ -68,8 +69,13 @@ def apply_scd1(target: DataFrame, changes: DataFrame, key_columns: Sequence[str]
 
 def scd1_upsert(target: DataFrame, source: DataFrame, key_columns: Sequence[str],
                 processed: _dt.datetime | str | None = None) -> DataFrame:
-    """New table content after an upsert; unchanged rows keep their old processing time."""
-    return apply_scd1(target, scd1_changes(target, source, key_columns, processed), key_columns)
+    """New table content after an upsert; unchanged rows keep their old processing time.
+
+    The change set (at most the size of the input) is checkpointed once since
+    it is read twice.
+    """
+    changes = materialize(scd1_changes(target, source, key_columns, processed))
+    return apply_scd1(target, changes, key_columns)
 
 
 def scd1_insert(target: DataFrame, source: DataFrame, processed: _dt.datetime | str | None = None) -> DataFrame:

@@ -28,7 +28,7 @@ from tidemark.operators.merge import scd1_changes, scd1_insert, scd1_rewrite, sc
 from tidemark.operators.shapes import day_over_day, disappeared, incremental_delta, reaggregate_affected
 from tidemark.operators.slices import rows_after
 from tidemark.plans import scenarios as sc
-from tidemark.session import checkpoint_dir
+from tidemark.session import materialize
 from tidemark.sources import fixtures as fx
 from tidemark.sources.calendar import calendar_between
 from tidemark.sources.raw import parse_envelopes, to_envelopes
@@ -143,6 +143,8 @@ def _late_days(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     target_days = fx.ts_in_days(1, sc.LATE_TARGET_LAST_DAY) & ~fx.ts_in_days(first, last)
     target = s.versions(target_days).withColumn("processed_dttm", F.lit(sc.FIXED_PROCESSED).cast("timestamp"))
     source = s.versions_input(fx.ts_in_days(first, last))
+    # The target of a merge is a stored table: store it once.
+    target = materialize(target)
     return target, source
 
 
@@ -167,7 +169,7 @@ def _scd2_changes(mode: str) -> Query:
 
 def scd2_in_order_equals_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = sc.Scenario(spark, sf_dir)
-    target = s.versions(fx.ts_in_days(1, sc.IN_ORDER_SPLIT_DAY))
+    target = materialize(s.versions(fx.ts_in_days(1, sc.IN_ORDER_SPLIT_DAY)))
     source = s.versions_input(F.col("ts") >= fx.day_start(sc.IN_ORDER_SPLIT_DAY + 1))
     return scd2_upsert(target, source, "user_id", ["user_id", VALID_FROM], "from_dt").select(*VERSION_COLS)
 
@@ -249,8 +251,7 @@ def reappeared(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Day 25 then day 26 loaded through disappearance + SCD2 ``from_dt``."""
     s = sc.Scenario(spark, sf_dir)
     links, hubs, state = _disappear_inputs(s)
-    checkpoint_dir(spark)
-    state = state.checkpoint()
+    state = materialize(state)
     key = ["user_id", VALID_FROM]
     for day in (sc.DISAPPEAR_DAY, sc.DISAPPEAR_DAY + 1):
         present = s.versions_input(fx.ts_in_days(day, day), available=True)

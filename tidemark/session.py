@@ -57,3 +57,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="tidemark-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
+
+
+def materialize(df, enabled: bool = True):
+    """Cut lineage of an intermediate read by several plan branches.
+
+    Uses a reliable checkpoint in ``spark.checkpoint.dir`` (a shared folder on
+    a cluster), so a lost executor does not lose the data; never a local one.
+    """
+    if not enabled:
+        return df
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
