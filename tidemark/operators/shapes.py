@@ -66,6 +66,7 @@ def disappeared(
     date: str,
     created_at: str = "created_at",
     available: str = "is_available",
+    time_type: str = "timestamp_ntz",
 ) -> DataFrame:
     """Unavailable copies of the open versions of entities missing from a slice.
 
@@ -75,7 +76,7 @@ def disappeared(
     open version is still available get a copy of that version with
     ``is_available = false`` and ``valid_from`` = that day.
     """
-    parents = slice_.groupBy(parent).agg(F.min(F.col(date).cast("timestamp_ntz")).alias("__missing_from"))
+    parents = slice_.groupBy(parent).agg(F.min(F.col(date).cast(time_type)).alias("__missing_from"))
     dates = slice_.select(date).distinct()
     present = snapshots.join(dates, date, "left_semi").select(entity).distinct()
     known = (links.select(entity, parent)

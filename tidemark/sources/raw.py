@@ -53,19 +53,22 @@ def to_envelopes(df: DataFrame, group_cols: Sequence[str], item: Column, order_c
     page = F.floor(F.col(order_col) / F.lit(per_envelope))
     packed = (df.withColumn("__page", page)
               .groupBy(*group_cols, "__page")
-              .agg(F.sort_array(F.collect_list(F.struct(F.col(order_col).alias("__o"), item.alias("__item"))))
+              .agg(F.array_sort(F.collect_list(F.struct(F.col(order_col).alias("__o"), item.alias("__item"))),
+                                lambda a, b: F.when(a["__o"] < b["__o"], -1)
+                                .when(a["__o"] > b["__o"], 1).otherwise(0))
                    .alias("__items")))
     return packed.select(*group_cols, "__page",
                          F.to_json(F.struct(F.col("__items.__item").alias("items"))).alias("envelope"))
 
 
-def write_envelopes(df: DataFrame, path: str, partition_cols: Sequence[str]) -> None:
-    """Raw sink: JSON lines partitioned by ``ingestion_date`` (and more).
+def write_envelopes(df: DataFrame, path: str, partition_cols: Sequence[str], text_col: str = "envelope") -> None:
+    """Raw sink: one JSON envelope per line, partitioned by ``ingestion_date`` (and more).
 
     Dynamic partition overwrite replaces the dates being written, so a rerun
     of the same day replaces it instead of duplicating it.
     """
-    (df.write.mode("overwrite")
+    (df.select(*partition_cols, text_col)
+       .write.mode("overwrite")
        .option("partitionOverwriteMode", "dynamic")
        .partitionBy(*partition_cols)
-       .json(path))
+       .text(path))
