@@ -46,6 +46,8 @@ def _shifted(
     values: Mapping[str, str],
     bucket: Column | None,
     direction: int,
+    summary_from: DataFrame | None = None,
+    summary_order: Sequence[str] | None = None,
 ) -> DataFrame:
     if not keys:
         raise ValueError("at least one key column is required")
@@ -72,10 +74,13 @@ def _shifted(
     # Per (key, bucket) summary, taken from the input before the window as a
     # partial aggregate: last row (for lag) or first row (for lead).  Shifted by
     # one non-empty bucket it is the value the bucket's edge row needs.
+    # ``summary_from`` lets a caller give an equivalent, cheaper-to-evaluate
+    # input (with ``summary_order`` deciding ties), e.g. rows before a
+    # de-duplicating window whose survivor is the max of the tie-break.
     picked = F.struct(*[F.col(s).alias(s) for s in sources])
-    ordering = F.struct(*order_cols)
+    ordering = F.struct(*[F.col(c) for c in (summary_order or order)])
     pick = F.max_by(picked, ordering) if direction < 0 else F.min_by(picked, ordering)
-    summary = base.groupBy(*keys, BUCKET).agg(pick.alias("__pick"))
+    summary = (summary_from if summary_from is not None else base).groupBy(*keys, BUCKET).agg(pick.alias("__pick"))
     across = Window.partitionBy(*keys).orderBy(BUCKET)
     carry = (summary
              .withColumn("__carry", shift("__pick").over(across))
@@ -96,10 +101,11 @@ def _shifted(
 
 
 def with_previous(df: DataFrame, keys: Sequence[str], order: Sequence[str] | str,
-                  values: Mapping[str, str], bucket: Column | None = None) -> DataFrame:
+                  values: Mapping[str, str], bucket: Column | None = None,
+                  summary_from: DataFrame | None = None, summary_order: Sequence[str] | None = None) -> DataFrame:
     """Add ``out = lag(src)`` per key in ``order`` for each ``out: src``; exact."""
     order = [order] if isinstance(order, str) else list(order)
-    return _shifted(df, keys, order, values, bucket, -1)
+    return _shifted(df, keys, order, values, bucket, -1, summary_from, summary_order)
 
 
 def with_next(df: DataFrame, keys: Sequence[str], order: Sequence[str] | str,

@@ -21,6 +21,7 @@ SESSION_OPTIONS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
@@ -36,7 +37,7 @@ def build_session(app_name: str = "tidemark", master: str | None = None, **extra
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     for key, value in SESSION_OPTIONS.items():
-        if key != "spark.ui.enabled":
+        if not key.startswith("spark.ui."):
             spark.conf.set(key, value)
     checkpoint_dir(spark)
     return spark
