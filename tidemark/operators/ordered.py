@@ -27,13 +27,22 @@ DEFAULT_BUCKET_SECONDS = 31 * 24 * 3600
 
 
 def bucket_column(df: DataFrame, order_col: str, width: float | None = None) -> Column:
-    """A coarse, monotone slice of ``order_col`` (time range or numeric range)."""
+    """A coarse, monotone slice of ``order_col`` (time range or numeric range).
+
+    Seconds since the epoch are taken without any time-zone conversion
+    (``timestamp_ntz`` is measured against an NTZ epoch), so the bucket never
+    runs backwards inside a daylight-saving gap of the session zone.
+    """
     dtype = df.schema[order_col].dataType
     c = F.col(order_col)
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-        seconds = width or DEFAULT_BUCKET_SECONDS
-        micros = F.unix_micros(c.cast("timestamp"))
-        return F.floor(micros / F.lit(int(seconds * 1_000_000)))
+    seconds = int(width or DEFAULT_BUCKET_SECONDS)
+    if isinstance(dtype, T.TimestampNTZType):
+        epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+        return F.floor(F.timestamp_diff("SECOND", epoch, c) / F.lit(seconds))
+    if isinstance(dtype, T.TimestampType):
+        return F.floor(F.unix_seconds(c) / F.lit(seconds))
+    if isinstance(dtype, T.DateType):
+        return F.floor(F.unix_date(c) * F.lit(86400) / F.lit(seconds))
     if isinstance(dtype, T.NumericType):
         return F.floor(c / F.lit(width or 1024))
     raise TypeError(f"cannot bucket order column {order_col} of type {dtype.simpleString()}")

@@ -7,6 +7,7 @@ come from the launcher, and AQE sizes shuffle partitions at run time.
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -61,12 +62,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def materialize(df, enabled: bool = True):
-    """Cut lineage of an intermediate read by several plan branches.
+    """Cut lineage of an intermediate that several plan branches read.
 
-    Uses a reliable checkpoint in ``spark.checkpoint.dir`` (a shared folder on
-    a cluster), so a lost executor does not lose the data; never a local one.
+    The rows are written once as a Parquet table in a fresh folder under
+    ``spark.checkpoint.dir`` (a shared folder on a cluster, so a lost executor
+    loses nothing) and read back: one computation (an eager RDD checkpoint
+    computes its plan twice), columnar storage, and column pruning on every
+    later read.  Never a machine-local folder on a cluster, never
+    ``localCheckpoint``.
     """
     if not enabled:
         return df
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tidemark-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
