@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import tempfile
 import os
 import sys
 
@@ -21,7 +22,8 @@ def spark():
     s = build_session(
         "tidemark-tests",
         master="local[*]",
-        **{"spark.sql.shuffle.partitions": "8", "spark.default.parallelism": "8"},
+        **{"spark.sql.shuffle.partitions": "8", "spark.default.parallelism": "8",
+           "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="tm-warehouse-")},
     )
     s.sparkContext.setLogLevel("ERROR")
     yield s

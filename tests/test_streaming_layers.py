@@ -119,3 +119,38 @@ def test_quality_selection(medallion):
     assert res.count() == 3
     with pytest.raises(ValueError):
         medallion.quality(["silver.s_vidoe"])
+
+
+def test_merge_clause_builders_reject_empty():
+    from tidemark.sources.tables import assignments, scd1_merge_clauses
+
+    with pytest.raises(ValueError):
+        assignments([])
+    with pytest.raises(ValueError):
+        scd1_merge_clauses("ns.t", ["a"], [])
+
+
+def test_native_merge_falls_back_on_v1_table(spark):
+    from tidemark.sources.tables import scd1_merge_clauses, try_native_merge
+
+    spark.sql("CREATE DATABASE IF NOT EXISTS tm_native")
+    name = "tm_native.t1"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.createDataFrame([(1, "a")], "id int, v string").write.format("parquet").saveAsTable(name)
+    src = spark.createDataFrame([(1, "b"), (2, "c")], "id int, v string")
+    on, when = scd1_merge_clauses(name, src.columns, ["id"])
+    assert try_native_merge(src, name, on, when) is False
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_read_matching_prunes_partitions(spark):
+    root = tempfile.mkdtemp(prefix="prune-")
+    tables = ParquetTables(spark, root)
+    tables.create("ns.f", "k int, calendar_dt date, v int", partition_by="calendar_dt")
+    data = spark.createDataFrame([(1, "2024-01-01", 1), (1, "2024-01-02", 2)], "k int, calendar_dt string, v int") \
+        .withColumn("calendar_dt", F.col("calendar_dt").cast("date"))
+    tables.append("ns.f", data)
+    rows = data.where("v = 2")
+    got = tables.read_matching("ns.f", rows)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(calendar_dt" in plan and got.count() == 1

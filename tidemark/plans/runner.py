@@ -106,7 +106,9 @@ class Medallion:
     def upsert1(self, name: str, rows: DataFrame, keys: list[str]) -> None:
         if rows.isEmpty():
             return
-        current = self.tables.read(name)
+        # Keys include the partition column (calendar_dt) where there is one:
+        # only the partitions of the incoming rows can match.
+        current = self.tables.read_matching(name, rows)
         changes = scd1_changes(current, rows, keys, self.processed)
         self.tables.merge(name, changes.select(*current.columns, "_operation"),
                           lambda t, c: apply_scd1(t, c, keys))

@@ -98,6 +98,24 @@ class ParquetTables:
         part, expr = self._partitions.get(name, (None, None))
         return df.drop(part) if part and expr is not None else df
 
+    def read_matching(self, name: str, rows: DataFrame) -> DataFrame:
+        """The table restricted to the partitions ``rows`` fall in.
+
+        Only for tables whose partition column is a plain column that is part
+        of the merge key: a row can then only match stored rows of its own
+        partition.  The partition values of ``rows`` (a bounded list, e.g. the
+        days of a slice) become a literal ``IN`` filter, so the scan prunes
+        folders statically.
+        """
+        part, expr = self._partitions.get(name, (None, None))
+        table = self.read(name)
+        if not part or expr is not None or part not in rows.columns:
+            return table
+        values = [r[0] for r in rows.select(part).distinct().collect()]
+        if not values:
+            return table.limit(0)
+        return table.where(F.col(part).isin(values))
+
     def partition_of(self, name: str) -> str | None:
         return self._partitions.get(name, (None, None))[0]
 
@@ -145,11 +163,72 @@ class ParquetTables:
                 fs.delete(p, True)
 
 
-def try_native_merge(changes: DataFrame, table: str, on, when: Callable) -> bool:
+def assignments(columns: Sequence[str], prefix: str = "s") -> dict[str, Column]:
+    """``{column: s.column}`` for a MERGE update or insert clause; never empty."""
+    if not columns:
+        raise ValueError("assignment columns must not be empty")
+    return {c: F.col(f"{prefix}.{c}") for c in columns}
+
+
+def _on(keys: Sequence[str], t: str) -> Column:
+    """Plain ``=`` on every key (a NULL key never matches)."""
+    if not keys:
+        raise ValueError("key columns must not be empty")
+    cond = F.col(f"{t}.{keys[0]}") == F.col(f"s.{keys[0]}")
+    for k in keys[1:]:
+        cond = cond & (F.col(f"{t}.{k}") == F.col(f"s.{k}"))
+    return cond
+
+
+def _differs(columns: Sequence[str], t: str) -> Column:
+    if not columns:
+        raise ValueError("compare columns must not be empty")
+    same = F.col(f"{t}.{columns[0]}").eqNullSafe(F.col(f"s.{columns[0]}"))
+    for c in columns[1:]:
+        same = same & F.col(f"{t}.{c}").eqNullSafe(F.col(f"s.{c}"))
+    return ~same
+
+
+def scd1_merge_clauses(table: str, source_columns: Sequence[str], keys: Sequence[str]):
+    """Clauses of a guarded key upsert: update only if a value differs, insert if new.
+
+    The target is referred to by the last part of its name, the source as ``s``.
+    """
+    t = table.split(".")[-1]
+    values = [c for c in source_columns if c not in keys and c != "processed_dttm"]
+
+    def when(builder):
+        if values:
+            builder = builder.whenMatched(_differs(values, t)).update(
+                assignments([c for c in source_columns if c not in keys]))
+        return builder.whenNotMatched().insert(assignments(source_columns))
+
+    return _on(keys, t), when
+
+
+def scd2_merge_clauses(table: str, columns: Sequence[str], keys: Sequence[str]):
+    """Clauses applying an SCD2 change set tagged ``upsert`` / ``close`` / ``delete``."""
+    t = table.split(".")[-1]
+    values = [c for c in columns if c not in keys]
+    compare = [c for c in values if c != "processed_dttm"]
+    op = F.col("s._operation")
+
+    def when(builder):
+        return (builder
+                .whenMatched(op == "delete").delete()
+                .whenMatched((op == "close") & ~F.col(f"{t}.valid_to_dttm").eqNullSafe(F.col("s.valid_to_dttm")))
+                .update(assignments(["valid_to_dttm", "processed_dttm"]))
+                .whenMatched((op == "upsert") & _differs(compare, t)).update(assignments(values))
+                .whenNotMatched(op == "upsert").insert(assignments(columns)))
+
+    return _on(keys, t), when
+
+
+def try_native_merge(changes: DataFrame, table: str, on: Column, when: Callable) -> bool:
     """Use ``DataFrame.mergeInto`` when ``table`` lives in a catalog that supports
     row-level operations (Iceberg, Delta); return False when it does not."""
     try:
-        builder = changes.mergeInto(table, on)
+        builder = changes.alias("s").mergeInto(table, on)
         when(builder).merge()
         return True
     except Exception as exc:  # noqa: BLE001 - any unsupported-table error means fall back
