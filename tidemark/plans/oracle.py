@@ -252,6 +252,26 @@ t AS (SELECT cohort_id, calendar_dt, count(user_id) AS users_cnt, CAST(sum(v) AS
       FROM f JOIN a USING (cohort_id, calendar_dt) GROUP BY cohort_id, calendar_dt),
 c AS (SELECT user_id % 10 AS cohort_id, CAST(ts AS DATE) AS calendar_dt, count(*) AS events_cnt FROM events GROUP BY 1, 2)
 SELECT * FROM t JOIN c USING (cohort_id, calendar_dt)""",
+    "bronze_typed": """
+SELECT CAST(event_id AS VARCHAR) AS id, CAST(ts AS DATE) AS calendar_dt, date_trunc('second', ts) AS published_at,
+       'c' || CAST(user_id % 10 AS VARCHAR) AS channel_id, event_type AS title,
+       CAST(floor(value) AS INTEGER) AS duration_sec,
+       CASE event_type WHEN 'click' THEN true WHEN 'view' THEN false END AS caption,
+       CASE WHEN event_type = 'error' THEN '{"k":"' || json_extract_string(props, '$.k') || '"}' ELSE '{}' END
+         AS content_rating,
+       CASE WHEN event_type = 'signup' THEN NULL ELSE CAST(round(value * 100) AS BIGINT) END AS view_count
+FROM events""",
+    "fct_video_daily": f"""WITH {SNAP}, {_build('b', _vin('true'))},
+f AS (
+  SELECT s.user_id AS video_id, CAST(s.user_id % 10 AS VARCHAR) AS channel_id, b.attr AS category_id, s.calendar_dt,
+         s.v AS views_cnt, s.n AS likes_cnt, CAST(0 AS BIGINT) AS favorites_cnt, s.n * 2 AS comments_cnt
+  FROM snap s LEFT JOIN b ON s.user_id = b.user_id AND CAST(s.calendar_dt AS TIMESTAMP) >= b.valid_from_dttm
+   AND (b.valid_to_dttm IS NULL OR CAST(s.calendar_dt AS TIMESTAMP) < b.valid_to_dttm))
+SELECT * FROM (
+  SELECT *, views_cnt - lag(views_cnt) OVER w AS views_delta, likes_cnt - lag(likes_cnt) OVER w AS likes_delta,
+         comments_cnt - lag(comments_cnt) OVER w AS comments_delta
+  FROM f WINDOW w AS (PARTITION BY video_id ORDER BY calendar_dt))
+WHERE calendar_dt > DATE '2024-01-20'""",
     "dim_denormalised": f"""WITH {SNAP}, {_build('b', _vin('true'))},
 hub AS (SELECT user_id, min(ts) AS created_at FROM events GROUP BY user_id),
 lnk AS (SELECT DISTINCT user_id, user_id % 10 AS cohort_id FROM snap),

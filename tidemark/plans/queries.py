@@ -96,6 +96,48 @@ def json_props(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.get_json_object("i.props", "$.k").try_cast("bigint").alias("k"))
 
 
+RAW_ITEM_SCHEMA = ("struct<id:string,snippet:struct<publishedAt:string,channelId:string,title:string>,"
+                   "contentDetails:struct<duration:string,caption:string,contentRating:map<string,string>>,"
+                   "statistics:struct<viewCount:string>>")
+ISO_SECONDS = "yyyy-MM-dd'T'HH:mm:ss'Z'"
+
+
+def bronze_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw envelopes (all text but a map) -> explicit schema -> typed bronze row."""
+    from pyspark.sql.types import _parse_datatype_string
+
+    ev = sc.Scenario(spark, sf_dir).events
+    item = F.struct(
+        F.col("event_id").cast("string").alias("id"),
+        F.struct(F.date_format("ts", ISO_SECONDS).alias("publishedAt"),
+                 F.concat(F.lit("c"), (F.col("user_id") % 10).cast("string")).alias("channelId"),
+                 F.col("event_type").alias("title")).alias("snippet"),
+        F.struct(F.concat(F.lit("PT"), F.floor("value").cast("string"), F.lit("S")).alias("duration"),
+                 F.when(F.col("event_type") == "click", "true").when(F.col("event_type") == "view", "false")
+                 .otherwise("maybe").alias("caption"),
+                 F.when(F.col("event_type") == "error",
+                        F.create_map(F.lit("k"), F.get_json_object("props", "$.k")))
+                 .otherwise(F.create_map().cast("map<string,string>")).alias("contentRating")).alias("contentDetails"),
+        F.struct(F.when(F.col("event_type") == "signup", F.lit("n/a"))
+                 .otherwise(F.round(F.col("value") * 100).cast("bigint").cast("string")).alias("viewCount"))
+        .alias("statistics"))
+    env = to_envelopes(ev.withColumn("ingestion_date", F.to_date("ts")), ["user_id", "ingestion_date"], item,
+                       "event_id")
+    items = parse_envelopes(env, "envelope", _parse_datatype_string(RAW_ITEM_SCHEMA), keep=["ingestion_date"])
+    published = F.col("i.snippet.publishedAt")
+    return items.select(
+        F.col("i.id").alias("id"),
+        F.col("ingestion_date").alias("calendar_dt"),
+        F.when(published.rlike(r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}Z$"),
+               F.to_timestamp_ntz(published, F.lit(ISO_SECONDS))).alias("published_at"),
+        F.col("i.snippet.channelId").alias("channel_id"),
+        F.col("i.snippet.title").alias("title"),
+        iso_duration_seconds("i.contentDetails.duration").alias("duration_sec"),
+        F.col("i.contentDetails.caption").try_cast("boolean").alias("caption"),
+        F.to_json("i.contentDetails.contentRating").alias("content_rating"),
+        F.col("i.statistics.viewCount").try_cast("bigint").alias("view_count"))
+
+
 def _duration_text() -> F.Column:
     k, s = F.col("p_partkey"), F.col("p_size")
     m = F.pmod(k, F.lit(6))
@@ -302,6 +344,28 @@ def reaggregate_affected_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return totals.join(cohort_stats, ["cohort_id", "calendar_dt"], "inner")
 
 
+def fct_video_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily video fact (T16) loaded in two slices: days 1..20, then the rest."""
+    from tidemark.plans import layers as L
+
+    s = sc.Scenario(spark, sf_dir)
+    links = s.snap().select(F.col("user_id").alias("video_id"),
+                            (F.col("user_id") % fx.COHORTS).cast("string").alias("channel_id")).distinct()
+    versions = s.versions().select(F.col("user_id").alias("video_id"), F.col("attr").alias("category_id"),
+                                   VALID_FROM, VALID_TO)
+
+    def stats(where):
+        return s.snap(where).select(F.col("user_id").alias("video_id"), "calendar_dt",
+                                    F.col("v").alias("views_cnt"), F.col("n").alias("likes_cnt"),
+                                    F.lit(0).cast("bigint").alias("favorites_cnt"),
+                                    (F.col("n") * 2).alias("comments_cnt"))
+
+    empty = spark.createDataFrame([], L.SCHEMAS["gold.fct_video_daily"])
+    first = materialize(L.build_fct_video_daily(links, stats(fx.ts_in_days(1, sc.DELTA_SPLIT_DAY)), versions, empty))
+    later = stats(F.col("ts") >= fx.day_start(sc.DELTA_SPLIT_DAY + 1))
+    return L.build_fct_video_daily(links, later, versions, first)
+
+
 def dim_denormalised(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = sc.Scenario(spark, sf_dir)
     versions = s.versions()
@@ -396,6 +460,7 @@ QUERIES: dict[str, Query] = {
     "ref_category": ref_category,
     "json_props": json_props,
     "duration_seconds": duration_seconds,
+    "bronze_typed": bronze_typed,
     "stats_daily": stats_daily,
     "collapse_versions": collapse_versions,
     "scd2_build": scd2_build,
@@ -418,6 +483,7 @@ QUERIES: dict[str, Query] = {
     "daily_delta": daily_delta,
     "incremental_delta": incremental_delta_q,
     "reaggregate_affected": reaggregate_affected_q,
+    "fct_video_daily": fct_video_daily,
     "dim_denormalised": dim_denormalised,
     "calendar_dim": calendar_dim,
     "dq_not_empty": dq_not_empty,
