@@ -48,7 +48,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder, setting a local one only if unset.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
-    is.  Only a session without one (tests, a laptop) gets a scratch folder.
+    is.  Only a ``local[...]`` session without one (tests, a laptop) gets a
+    scratch folder; a cluster session without one is an error, because a
+    machine-local folder does not survive the loss of an executor.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -56,6 +58,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
         configured = tempfile.mkdtemp(prefix="tidemark-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
