@@ -18,7 +18,7 @@ from tidemark.operators.ordered import latest_per_key
 from tidemark.operators.shapes import disappeared, incremental_delta, reaggregate_affected
 from tidemark.sources.calendar import calendar_days, calendar_dimension
 
-S, TS = T.StringType(), T.StringType()
+S = T.StringType()
 
 
 def _struct(**fields) -> T.StructType:

@@ -15,19 +15,12 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import PROCESSED_COLUMN
 from tidemark.operators import quality as dq
-from tidemark.operators.history import (
-    VALID_FROM,
-    apply_changes,
-    scd2_changes,
-    validate_columns,
-    validate_key_columns,
-    validate_unique_keys,
-)
-from tidemark.operators.merge import apply_scd1, scd1_changes
+from tidemark.operators.history import VALID_FROM
 from tidemark.operators.slices import Slicer, Watermarks
 from tidemark.plans import layers as L
 from tidemark.sources.raw import read_envelopes
 from tidemark.sources.tables import ParquetTables
+from tidemark.sources.writers import write_scd1, write_scd2
 
 # Partition layout: identity on the day, or a hidden transform of a timestamp
 # (built lazily: a Column needs an active session).
@@ -100,32 +93,19 @@ class Medallion:
             self.tables.create(name, f"{ddl}, {PROCESSED_COLUMN} timestamp", part, expr() if expr else None)
 
     # ----------------------------------------------------------------- writes
-    def _stamp(self) -> F.Column:
-        return F.current_timestamp() if self.processed is None else F.lit(self.processed).cast("timestamp")
-
     def upsert1(self, name: str, rows: DataFrame, keys: list[str]) -> None:
+        """SCD1 upsert; skipped when there is nothing to load.  Keys include the
+        partition column where there is one, so only the partitions of the
+        incoming rows are read."""
         if rows.isEmpty():
             return
-        # Keys include the partition column (calendar_dt) where there is one:
-        # only the partitions of the incoming rows can match.
-        current = self.tables.read_matching(name, rows)
-        changes = scd1_changes(current, rows, keys, self.processed)
-        self.tables.merge(name, changes.select(*current.columns, "_operation"),
-                          lambda t, c: apply_scd1(t, c, keys))
-
-    def rewrite1(self, name: str, rows: DataFrame) -> None:
-        self.tables.replace(name, rows.withColumn(PROCESSED_COLUMN, self._stamp()))
+        write_scd1(self.tables, name, rows, keys, "upsert", self.processed)
 
     def upsert2(self, name: str, rows: DataFrame, business_key: str, mode: str = "from_dt") -> None:
-        keys = [business_key, VALID_FROM]
+        """SCD2 upsert with the given rebuild mode; skipped when there is nothing to load."""
         if rows.isEmpty():
             return
-        validate_key_columns(business_key, keys)
-        validate_unique_keys(rows, keys)
-        current = self.tables.read(name)
-        validate_columns([*rows.columns, "valid_to_dttm", PROCESSED_COLUMN], current.columns, name)
-        changes = scd2_changes(current, rows, business_key, keys, mode, self.processed)
-        self.tables.merge(name, changes, lambda t, c: apply_changes(t, c, keys))
+        write_scd2(self.tables, name, rows, business_key, [business_key, VALID_FROM], "upsert", mode, self.processed)
 
     # ----------------------------------------------------------------- slices
     def _slice(self, pipeline: str, table: str) -> tuple[Slicer, DataFrame]:
