@@ -83,3 +83,17 @@ def test_no_python_udfs_in_registered_queries(spark):
             continue  # checkpoints eagerly; covered by the oracle test
         plan = _plan(fn(spark, SF01))
         assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan, name
+
+
+def test_scd2_change_set_shuffles_rows_once(spark):
+    from tidemark.operators.history import VALID_FROM
+    from tidemark.plans import queries as q
+
+    target, source = q._late_days(spark, SF01)
+    ch = scd2_changes(target, source, "user_id", ["user_id", VALID_FROM], "from_dt")
+    ch.write.format("noop").mode("overwrite").save()
+    plan = _plan(ch)
+    # one exchange of the flagged rows for the valid_to window, two of the
+    # one-row-per-(key, bucket) summary; the delete branch is a filter
+    assert plan.count("Exchange hashpartitioning") <= 3, plan
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
