@@ -48,6 +48,18 @@ def bucket_column(df: DataFrame, order_col: str, width: float | None = None) ->
     raise TypeError(f"cannot bucket order column {order_col} of type {dtype.simpleString()}")
 
 
+def add_bucket(df: DataFrame, keys: Sequence[str], order_col: str, bucket: Column | None = None,
+               width: float | None = None) -> DataFrame:
+    """Add the ordering bucket; rows with a NULL key all share bucket 0.
+
+    A NULL key cannot receive a carry through the equality join, so its rows
+    are kept in one bucket where the window alone is exact.
+    """
+    b = bucket if bucket is not None else bucket_column(df, order_col, width)
+    any_null = reduce(lambda acc, k: acc | F.col(k).isNull(), keys[1:], F.col(keys[0]).isNull())
+    return df.withColumn(BUCKET, F.when(any_null, F.lit(0)).otherwise(b))
+
+
 def _shifted(
     df: DataFrame,
     keys: Sequence[str],
@@ -63,13 +75,7 @@ def _shifted(
     if not order:
         raise ValueError("at least one order column is required")
     keep_bucket = BUCKET in df.columns
-    if keep_bucket:
-        base = df
-    else:
-        b = bucket if bucket is not None else bucket_column(df, order[0])
-        # Rows with a NULL key all share bucket 0: they never need a carry.
-        any_null = reduce(lambda acc, k: acc | F.col(k).isNull(), keys[1:], F.col(keys[0]).isNull())
-        base = df.withColumn(BUCKET, F.when(any_null, F.lit(0)).otherwise(b))
+    base = df if keep_bucket else add_bucket(df, keys, order[0], bucket)
     sources = list(dict.fromkeys(values.values()))
     order_cols = [F.col(c) for c in order]
     inside = Window.partitionBy(*keys, BUCKET).orderBy(*order_cols)
