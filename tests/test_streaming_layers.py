@@ -154,3 +154,48 @@ def test_read_matching_prunes_partitions(spark):
     got = tables.read_matching("ns.f", rows)
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(calendar_dt" in plan and got.count() == 1
+
+
+def test_declared_quality_columns_exist():
+    from tidemark.plans.layers import SCHEMAS
+    from tidemark.plans.runner import SPECS
+
+    cols = {name: {c.split()[0] for c in ddl.split(",")} | {"processed_dttm"} for name, ddl in SCHEMAS.items()}
+    assert {s.name for s in SPECS} == set(SCHEMAS)
+    for spec in SPECS:
+        used = set(spec.key_columns) | set(spec.measure_columns) | {c for c, _ in spec.references}
+        if spec.business_key:
+            used |= {spec.business_key, "valid_to_dttm"}
+        assert used <= cols[spec.name], (spec.name, used - cols[spec.name])
+        for column, parent in spec.references:
+            assert column in cols[parent], (spec.name, column, parent)
+
+
+def test_watermark_commits_only_after_the_write(spark, medallion, monkeypatch):
+    from tidemark.operators.slices import Watermarks
+
+    marks = Watermarks(spark, "gold.fct_channel_daily", medallion.marks_path)
+    before = marks.read("gold.fct_video_daily")
+    assert before is not None
+    # an empty slice leaves the mark where it is
+    medallion.load_gold()
+    assert marks.read("gold.fct_video_daily") == before
+    # force new rows into the input, then fail the write: the mark must not move
+    fct = medallion.tables.read("gold.fct_video_daily")
+    medallion.tables.append("gold.fct_video_daily", fct.limit(1).withColumn("views_cnt", F.lit(10**9))
+                            .withColumn("processed_dttm", F.current_timestamp()))
+
+    real_merge = medallion.tables.merge
+
+    def boom(name, *args, **kwargs):
+        if name == "gold.fct_channel_daily":
+            raise RuntimeError("write failed")
+        return real_merge(name, *args, **kwargs)
+
+    monkeypatch.setattr(medallion.tables, "merge", boom)
+    with pytest.raises(RuntimeError):
+        medallion.load_gold()
+    assert marks.read("gold.fct_video_daily") == before
+    monkeypatch.undo()
+    medallion.load_gold()
+    assert marks.read("gold.fct_video_daily") > before
