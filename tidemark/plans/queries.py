@@ -182,9 +182,9 @@ def scd2_build(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _late_days(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     s = sc.Scenario(spark, sf_dir)
     first, last = sc.LATE_DAYS
-    target_days = fx.ts_in_days(1, sc.LATE_TARGET_LAST_DAY) & ~fx.ts_in_days(first, last)
+    target_days = sc.days(1, sc.LATE_TARGET_LAST_DAY) & ~sc.days(first, last)
     target = s.versions(target_days).withColumn("processed_dttm", F.lit(sc.FIXED_PROCESSED).cast("timestamp"))
-    source = s.versions_input(fx.ts_in_days(first, last))
+    source = s.versions_input(sc.days(first, last))
     # The target of a merge is a stored table: store it once.
     target = materialize(target)
     return target, source
@@ -211,8 +211,8 @@ def _scd2_changes(mode: str) -> Query:
 
 def scd2_in_order_equals_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = sc.Scenario(spark, sf_dir)
-    target = materialize(s.versions(fx.ts_in_days(1, sc.IN_ORDER_SPLIT_DAY)))
-    source = s.versions_input(F.col("ts") >= fx.day_start(sc.IN_ORDER_SPLIT_DAY + 1))
+    target = materialize(s.versions(sc.days(1, sc.IN_ORDER_SPLIT_DAY)))
+    source = s.versions_input(sc.from_day(sc.IN_ORDER_SPLIT_DAY + 1))
     return scd2_upsert(target, source, "user_id", ["user_id", VALID_FROM], "from_dt").select(*VERSION_COLS)
 
 
@@ -262,15 +262,15 @@ def _cohort_snap(s: sc.Scenario, where) -> DataFrame:
 
 
 def _disappear_inputs(s: sc.Scenario):
-    hist = _cohort_snap(s, fx.ts_in_days(1, sc.DISAPPEAR_DAY - 1))
+    hist = _cohort_snap(s, sc.days(1, sc.DISAPPEAR_DAY - 1))
     links = hist.select("user_id", "cohort_id").distinct()
     hubs = hist.groupBy("user_id").agg(F.min(F.col("calendar_dt").cast("timestamp_ntz")).alias("created_at"))
-    versions = s.versions(fx.ts_in_days(1, sc.DISAPPEAR_DAY - 1), available=True)
+    versions = s.versions(sc.days(1, sc.DISAPPEAR_DAY - 1), available=True)
     return links, hubs, versions
 
 
 def _missing(s: sc.Scenario, first: int, last: int, links, hubs, versions) -> DataFrame:
-    slice_ = _cohort_snap(s, fx.ts_in_days(first, last))
+    slice_ = _cohort_snap(s, sc.days(first, last))
     everything = _cohort_snap(s, None)
     return disappeared(slice_, everything, links, hubs, versions, "user_id", "cohort_id", "calendar_dt")
 
@@ -296,7 +296,7 @@ def reappeared(spark: SparkSession, sf_dir: str) -> DataFrame:
     state = materialize(state)
     key = ["user_id", VALID_FROM]
     for day in (sc.DISAPPEAR_DAY, sc.DISAPPEAR_DAY + 1):
-        present = s.versions_input(fx.ts_in_days(day, day), available=True)
+        present = s.versions_input(sc.days(day, day), available=True)
         gone = _missing(s, day, day, links, hubs, state).select(*present.columns)
         # Each load reads the previous state: cut the lineage between loads with a
         # reliable checkpoint (spark.checkpoint.dir), as a table write would.
@@ -323,9 +323,9 @@ def daily_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def incremental_delta_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = sc.Scenario(spark, sf_dir)
-    loaded = day_over_day(s.snap(fx.ts_in_days(1, sc.DELTA_SPLIT_DAY)).select("user_id", "calendar_dt", "v"),
+    loaded = day_over_day(s.snap(sc.days(1, sc.DELTA_SPLIT_DAY)).select("user_id", "calendar_dt", "v"),
                           "user_id", "calendar_dt", ["v"])
-    slice_ = s.snap(F.col("ts") >= fx.day_start(sc.DELTA_SPLIT_DAY + 1)).select("user_id", "calendar_dt", "v")
+    slice_ = s.snap(sc.from_day(sc.DELTA_SPLIT_DAY + 1)).select("user_id", "calendar_dt", "v")
     return incremental_delta(loaded, slice_, "user_id", "calendar_dt", ["v"])
 
 
@@ -361,8 +361,8 @@ def fct_video_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
                                     (F.col("n") * 2).alias("comments_cnt"))
 
     empty = spark.createDataFrame([], L.SCHEMAS["gold.fct_video_daily"])
-    first = materialize(L.build_fct_video_daily(links, stats(fx.ts_in_days(1, sc.DELTA_SPLIT_DAY)), versions, empty))
-    later = stats(F.col("ts") >= fx.day_start(sc.DELTA_SPLIT_DAY + 1))
+    first = materialize(L.build_fct_video_daily(links, stats(sc.days(1, sc.DELTA_SPLIT_DAY)), versions, empty))
+    later = stats(sc.from_day(sc.DELTA_SPLIT_DAY + 1))
     return L.build_fct_video_daily(links, later, versions, first)
 
 

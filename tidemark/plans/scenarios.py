@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.history import VALID_FROM, build_versions
 from tidemark.sources import fixtures as fx
+from tidemark.session import materialize
 
 # Fixed values of the scenarios (days of the 30-day event window).
 LATE_DAYS = (8, 12)          # days held back and loaded late
@@ -33,6 +34,7 @@ class Scenario:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self._snap: DataFrame | None = None
 
     def table(self, name: str) -> DataFrame:
         return fx.table(self.spark, self.sf_dir, name)
@@ -42,9 +44,15 @@ class Scenario:
         return self.table("events")
 
     def snap(self, where: Column | None = None) -> DataFrame:
-        """Daily snapshot, optionally of the events matching ``where`` (on ``ts``)."""
-        e = self.events if where is None else self.events.where(where)
-        return fx.snapshot(e).withColumn("day", fx.day_number())
+        """Daily snapshot, optionally restricted by ``where`` (on ``day``).
+
+        The snapshot stands for a stored bronze table: it is derived from
+        ``events`` once per scenario and stored under the checkpoint folder;
+        every branch of a query then reads (and filters) the stored rows.
+        """
+        if self._snap is None:
+            self._snap = materialize(fx.snapshot(self.events).withColumn("day", fx.day_number()))
+        return self._snap if where is None else self._snap.where(where)
 
     def versions_input(self, where: Column | None = None, available: bool = False) -> DataFrame:
         out = fx.snapshot_versions_input(self.snap(where))
@@ -58,3 +66,12 @@ class Scenario:
     def pair_counts(self, first_day: int, last_day: int) -> DataFrame:
         e = self.events.where(fx.ts_in_days(first_day, last_day))
         return e.groupBy("user_id", "event_type").agg(F.count(F.lit(1)).alias("cnt"))
+
+
+def days(first: int, last: int) -> Column:
+    """Snapshot rows of days ``first..last``."""
+    return (F.col("day") >= first) & (F.col("day") <= last)
+
+
+def from_day(first: int) -> Column:
+    return F.col("day") >= first
