@@ -23,7 +23,9 @@ def spark():
         "tidemark-tests",
         master="local[*]",
         **{"spark.sql.shuffle.partitions": "8", "spark.default.parallelism": "8",
-           "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="tm-warehouse-")},
+           "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="tm-warehouse-"),
+           # exercise the bucket-split path everywhere (see tidemark.session)
+           "spark.tidemark.splitAboveBytes": "0"},
     )
     s.sparkContext.setLogLevel("ERROR")
     yield s

@@ -31,3 +31,21 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.columns == ["user_id", "calendar_dt", "attr", "v", "v_delta"]
     assert df.count() == 397
+
+
+WINDOWED = ["collapse_versions", "scd2_build", "scd2_upsert_no", "scd2_upsert_from_dt", "scd2_upsert_full",
+            "scd2_changes_no", "scd2_changes_from_dt", "scd2_changes_full", "scd2_in_order_equals_full",
+            "daily_delta", "incremental_delta", "fct_video_daily", "reappeared", "dim_denormalised"]
+
+
+@pytest.mark.parametrize("name", WINDOWED)
+def test_unsplit_path_matches_oracle(spark, con, name):
+    """Same queries with the default size limit: small inputs take plain per-key windows."""
+    from tidemark.session import DEFAULT_SPLIT_ABOVE, SPLIT_ABOVE_CONF
+
+    spark.conf.set(SPLIT_ABOVE_CONF, str(DEFAULT_SPLIT_ABOVE))
+    try:
+        ok, msg = compare(QUERIES[name](spark, SF01), con, ORACLE[name])
+    finally:
+        spark.conf.set(SPLIT_ABOVE_CONF, "0")
+    assert ok, msg

@@ -74,7 +74,7 @@ def scd1_upsert(target: DataFrame, source: DataFrame, key_columns: Sequence[str]
     The change set (at most the size of the input) is checkpointed once since
     it is read twice.
     """
-    changes = materialize(scd1_changes(target, source, key_columns, processed))
+    changes = materialize(scd1_changes(target, source, key_columns, processed), "if_large")
     return apply_scd1(target, changes, key_columns)
 
 

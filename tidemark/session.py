@@ -65,10 +65,38 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def materialize(df, enabled: bool = True):
+# Inputs estimated (by Catalyst, no job) at or below this many bytes are small
+# enough that a whole key fits one task: per-key windows run unsplit and
+# checkpoints that only avoid recomputation are skipped.  0 forces the split
+# path everywhere (the tests do so).
+SPLIT_ABOVE_CONF = "spark.tidemark.splitAboveBytes"
+DEFAULT_SPLIT_ABOVE = 64 * 1024 * 1024
+
+
+def estimated_bytes(df) -> int:
+    """Catalyst's size estimate of ``df`` (an upper bound in practice: joins
+    multiply, filters do not shrink); unknown sizes count as huge."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - no statistics: treat as large
+        return 2**63 - 1
+
+
+def split_limit(spark) -> int:
+    return int(spark.conf.get(SPLIT_ABOVE_CONF, str(DEFAULT_SPLIT_ABOVE)))
+
+
+def is_large(df, *more) -> bool:
+    """True if the estimates of ``df`` (and ``more``) add up above the split limit."""
+    return sum(estimated_bytes(d) for d in (df, *more)) > split_limit(df.sparkSession)
+
+
+def materialize(df, enabled: bool | str = True):
     """Cut lineage of an intermediate that several plan branches read.
 
-    The rows are written once as a Parquet table in a fresh folder under
+    ``enabled="if_large"`` skips small inputs, for checkpoints whose only
+    purpose is to avoid recomputing an expensive plan (never for the ones that
+    cut a growing lineage).  The rows are written once as a Parquet table in a fresh folder under
     ``spark.checkpoint.dir`` (a shared folder on a cluster, so a lost executor
     loses nothing) and read back: one computation (an eager RDD checkpoint
     computes its plan twice), columnar storage, and column pruning on every
@@ -77,6 +105,8 @@ def materialize(df, enabled: bool = True):
     """
     if not enabled:
         return df
+    if enabled == "if_large" and not is_large(df):
+        return df
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/tidemark-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
