@@ -62,12 +62,13 @@ def test_new_keys_pre_aggregates(spark):
     assert rows(new_keys(inc, old, "k", "ts", alias="created_at")) == [(1, d(2)), (2, d(5))]
 
 
-def test_as_of_join(spark):
+@pytest.mark.parametrize("split", [True, False])
+def test_as_of_join(spark, split):
     versions = spark.createDataFrame([("v", "A", d(1), d(3)), ("v", "B", d(3), None)],
                                      "k string, attr string, valid_from_dttm timestamp_ntz, valid_to_dttm timestamp_ntz")
     stats = spark.createDataFrame([("v", dt.date(2023, 12, 31)), ("v", d(1).date()), ("v", d(2).date()),
                                    ("v", d(3).date()), ("v", d(9).date()), ("w", d(2).date())], "k string, day date")
-    out = as_of_join(stats, versions, "k", "day")
+    out = as_of_join(stats, versions, "k", "day", split=split)
     assert rows(out, "k", "day", "attr") == [
         ("v", dt.date(2023, 12, 31), None), ("v", d(1).date(), "A"), ("v", d(2).date(), "A"),
         ("v", d(3).date(), "B"), ("v", d(9).date(), "B"), ("w", d(2).date(), None)]

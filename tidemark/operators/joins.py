@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.history import VALID_FROM, VALID_TO
 from tidemark.operators.ordered import bucket_column
+from tidemark.session import is_large
 
 
 def new_keys(incoming: DataFrame, existing: DataFrame | None, key: str | list[str], first_seen: str,
@@ -33,6 +34,7 @@ def as_of_join(
     valid_to: str = VALID_TO,
     how: str = "left",
     bucket_seconds: float | None = None,
+    split: bool | None = None,
 ) -> DataFrame:
     """Attach to each fact the version valid at ``at``.
 
@@ -42,12 +44,20 @@ def as_of_join(
     to the key's last fact bucket), and the join is an equi-join on
     ``(key, bucket)`` plus the interval test.  So a key with very many facts is
     spread over many tasks and each fact is only tested against the versions of
-    its own bucket.
+    its own bucket.  Inputs whose size estimate is under the split limit (see
+    ``tidemark.session``) take the plain key equi-join with the interval test.
     """
     vk = version_key or key
     if vk == key:
         versions = versions.withColumnRenamed(vk, "__vkey")
         vk = "__vkey"
+    if split is None:
+        split = is_large(facts, versions)
+    if not split:
+        cond = ((facts[key] == versions[vk]) & (facts[at] >= versions[valid_from])
+                & (versions[valid_to].isNull() | (facts[at] < versions[valid_to])))
+        out = facts.join(versions, cond, how)
+        return out.drop("__vkey") if vk == "__vkey" else out
     fb = bucket_column(facts, at, bucket_seconds)
     facts_b = facts.withColumn("__fbucket", fb)
     span = facts_b.groupBy(key).agg(F.max("__fbucket").alias("__last_bucket"))
