@@ -7,7 +7,6 @@ import datetime as dt
 import pytest
 from conftest import d, rows
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark.operators.joins import as_of_join, new_keys
 from tidemark.operators.merge import scd1_changes, scd1_insert, scd1_rewrite, scd1_upsert

@@ -46,6 +46,9 @@ def test_raw_envelope_files(spark):
     out = read_envelopes(spark, f"{root}/videos/ingestion_date=2024-01-01", item, base_path=f"{root}/videos")
     got = sorted((r["i"]["id"], str(r["ingestion_date"]), r["channel_id"]) for r in out.collect())
     assert got == [("a", "2024-01-01", "c1"), ("b", "2024-01-01", "c1"), ("c", "2024-01-01", "c1")]
+    ddl = read_envelopes(spark, f"{root}/videos/ingestion_date=2024-01-01", "struct<id:string>",
+                         base_path=f"{root}/videos")
+    assert sorted(r["i"]["id"] for r in ddl.collect()) == ["a", "b", "c"]
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         read_envelopes(spark, f"{root}/videos/ingestion_date=2024-01-09", item, base_path=f"{root}/videos").count()
 

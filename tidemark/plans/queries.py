@@ -18,7 +18,6 @@ from tidemark.operators.history import (
     OPERATION,
     VALID_FROM,
     VALID_TO,
-    build_versions,
     collapse,
     scd2_changes,
     scd2_upsert,
@@ -82,14 +81,12 @@ ITEM_SCHEMA = "struct<id:bigint,snippet:struct<userId:bigint,eventType:string>,p
 
 
 def json_props(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.sql.types import _parse_datatype_string
-
     ev = sc.Scenario(spark, sf_dir).events
     item = F.struct(F.col("event_id").alias("id"),
                     F.struct(F.col("user_id").alias("userId"), F.col("event_type").alias("eventType")).alias("snippet"),
                     F.col("props").alias("props"))
     env = to_envelopes(ev.withColumn("calendar_dt", F.to_date("ts")), ["user_id", "calendar_dt"], item, "event_id")
-    items = parse_envelopes(env, "envelope", _parse_datatype_string(ITEM_SCHEMA))
+    items = parse_envelopes(env, "envelope", ITEM_SCHEMA)
     return items.select(F.col("i.id").alias("event_id"),
                         F.col("i.snippet.userId").alias("user_id"),
                         F.col("i.snippet.eventType").alias("event_type"),
@@ -104,8 +101,6 @@ ISO_SECONDS = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 
 def bronze_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw envelopes (all text but a map) -> explicit schema -> typed bronze row."""
-    from pyspark.sql.types import _parse_datatype_string
-
     ev = sc.Scenario(spark, sf_dir).events
     item = F.struct(
         F.col("event_id").cast("string").alias("id"),
@@ -123,7 +118,7 @@ def bronze_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("statistics"))
     env = to_envelopes(ev.withColumn("ingestion_date", F.to_date("ts")), ["user_id", "ingestion_date"], item,
                        "event_id")
-    items = parse_envelopes(env, "envelope", _parse_datatype_string(RAW_ITEM_SCHEMA), keep=["ingestion_date"])
+    items = parse_envelopes(env, "envelope", RAW_ITEM_SCHEMA, keep=["ingestion_date"])
     published = F.col("i.snippet.publishedAt")
     return items.select(
         F.col("i.id").alias("id"),

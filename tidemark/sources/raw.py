@@ -17,18 +17,24 @@ from pyspark.sql import types as T
 ITEMS_PER_ENVELOPE = 50
 
 
-def envelope_schema(item: T.StructType) -> T.StructType:
+def envelope_schema(item: T.StructType | str) -> T.StructType | str:
+    """``{items: [item]}`` for an item schema given as a StructType or a DDL type string."""
+    if isinstance(item, str):
+        return f"struct<items:array<{item}>>"
     return T.StructType([T.StructField("items", T.ArrayType(item))])
 
 
-def read_envelopes(spark: SparkSession, path: str | Sequence[str], item: T.StructType,
+def read_envelopes(spark: SparkSession, path: str | Sequence[str], item: T.StructType | str,
                    base_path: str | None = None, multi_line: bool = True) -> DataFrame:
     """One row per item (column ``i``) plus the partition columns of the path.
 
     A file may hold one envelope or a top-level array of envelopes; an envelope
     without ``items`` contributes no rows.
     """
-    reader = spark.read.schema(envelope_schema(item)).option("multiLine", multi_line)
+    schema = envelope_schema(item)
+    if isinstance(schema, str):
+        schema = schema.removeprefix("struct<").removesuffix(">").replace(":", " ", 1)
+    reader = spark.read.schema(schema).option("multiLine", multi_line)
     if base_path:
         reader = reader.option("basePath", base_path)
     raw = reader.json(path)
@@ -36,7 +42,8 @@ def read_envelopes(spark: SparkSession, path: str | Sequence[str], item: T.Struc
     return raw.select(*partition_cols, F.explode("items").alias("i"))
 
 
-def parse_envelopes(df: DataFrame, text: str | Column, item: T.StructType, keep: Sequence[str] = ()) -> DataFrame:
+def parse_envelopes(df: DataFrame, text: str | Column, item: T.StructType | str,
+                    keep: Sequence[str] = ()) -> DataFrame:
     """Same as ``read_envelopes`` for envelopes held as JSON text in a column."""
     c = F.col(text) if isinstance(text, str) else text
     parsed = df.select(*keep, F.from_json(c, envelope_schema(item)).alias("__env"))
