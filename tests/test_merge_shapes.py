@@ -124,3 +124,27 @@ def test_disappeared(spark):
     assert _disappear(spark, snap + [("x", "z", d(4).date())], v, hubs, [4]).count() == 0
     snap2 = snap + [("e2", "c", d(4).date())]
     assert _disappear(spark, snap2, v, hubs, [3, 4]).count() == 0
+
+
+def test_incremental_delta_refresh_next(spark):
+    sch = "k string, day date, v bigint"
+    loaded = day_over_day(spark.createDataFrame(
+        [("k", d(1).date(), 10), ("k", d(2).date(), 15), ("k", d(4).date(), 12)], sch), "k", "day", ["v"])
+    late = spark.createDataFrame([("k", d(3).date(), 20)], sch)
+    assert rows(incremental_delta(loaded, late, "k", "day", ["v"]), "day", "v_delta") == [(d(3).date(), 5)]
+    out = incremental_delta(loaded, late, "k", "day", ["v"], refresh_next=True)
+    assert rows(out, "day", "v_delta") == [(d(3).date(), 5), (d(4).date(), -8)]
+
+
+def test_scd1_upsert_refuses_duplicate_keys(spark):
+    import tempfile
+
+    from tidemark.sources.tables import ParquetTables
+    from tidemark.sources.writers import write_scd1
+
+    t = ParquetTables(spark, tempfile.mkdtemp(prefix="dup-"))
+    t.create("n.t", "id int, v string, processed_dttm timestamp")
+    with pytest.raises(ValueError, match="duplicate keys"):
+        write_scd1(t, "n.t", kv(spark, [(1, "a"), (1, "b")]), ["id"], "upsert")
+    write_scd1(t, "n.t", kv(spark, [(None, "a"), (None, "b"), (2, "c")]), ["id"], "upsert")
+    assert t.read("n.t").count() == 3

@@ -28,6 +28,19 @@ def validate_write_mode(mode: str) -> None:
         raise ValueError(f"unknown write mode {mode!r}, expected one of {list(WRITE_MODES)}")
 
 
+def validate_no_duplicate_keys(df: DataFrame, key_columns: Sequence[str]) -> None:
+    """Raise if a non-NULL key occurs twice in a merge input (one job, partial aggregate).
+
+    Two input rows for one stored row would make a MERGE fail; rows with a
+    NULL key never match anything and are simply inserted.
+    """
+    keys = list(key_columns)
+    all_set = reduce(lambda acc, c: acc & F.col(c).isNotNull(), keys[1:], F.col(keys[0]).isNotNull())
+    dup = df.where(all_set).groupBy(*keys).count().where(F.col("count") > 1).limit(1).collect()
+    if dup:
+        raise ValueError(f"merge input has duplicate keys {keys}: {dict((k, dup[0][k]) for k in keys)}")
+
+
 def compare_columns(df: DataFrame, key_columns: Sequence[str]) -> list[str]:
     return [c for c in df.columns if c not in key_columns and c != PROCESSED_COLUMN]
 

@@ -23,28 +23,41 @@ def day_over_day(df: DataFrame, key: str, date: str, measures: Sequence[str],
 
 
 def incremental_delta(existing: DataFrame, slice_: DataFrame, key: str, date: str,
-                      measures: Sequence[str], delta_names: Sequence[str] | None = None) -> DataFrame:
+                      measures: Sequence[str], delta_names: Sequence[str] | None = None,
+                      refresh_next: bool = False) -> DataFrame:
     """Deltas for the slice rows only, seeded by the last already-loaded row.
 
     For every key the last row of ``existing`` before the key's first slice date
     is added as a helper, the lag difference is taken, and only slice rows are
     returned.  The helper row is picked with a partial aggregate and filtered
     out by a carried flag (no second join).
+
+    With ``refresh_next`` the stored rows after the key's first slice date also
+    take part, and a stored row whose predecessor is now a slice row (the day
+    after a late day) is returned too, with its delta recomputed.
     """
     names = list(delta_names or [f"{m}_delta" for m in measures])
     cols = slice_.columns
     boundary = slice_.groupBy(key).agg(F.min(date).alias("__boundary"))
-    before = (existing.select(*cols)
-              .join(boundary, key, "inner")
-              .where(F.col(date) < F.col("__boundary"))
-              .drop("__boundary"))
+    stored = existing.select(*cols).join(boundary, key, "inner")
+    before = stored.where(F.col(date) < F.col("__boundary")).drop("__boundary")
     helper = latest_per_key(before, [key], date).withColumn("__in_slice", F.lit(False))
     united = slice_.withColumn("__in_slice", F.lit(True)).unionByName(helper)
+    if refresh_next:
+        slice_keys = slice_.select(key, date).withColumn("__hit", F.lit(True))
+        after = (stored.where(F.col(date) >= F.col("__boundary")).drop("__boundary")
+                 .join(slice_keys, [key, date], "left_anti")
+                 .withColumn("__in_slice", F.lit(False)))
+        united = united.unionByName(after)
     prev = {f"__prev_{m}": m for m in measures}
+    prev["__prev_in_slice"] = "__in_slice"
     out = with_previous(united, [key], [date], prev)
     for m, n in zip(measures, names):
         out = out.withColumn(n, F.col(m) - F.col(f"__prev_{m}"))
-    return out.where("__in_slice").drop("__in_slice", *prev)
+    keep = F.col("__in_slice")
+    if refresh_next:
+        keep = keep | F.coalesce(F.col("__prev_in_slice"), F.lit(False))
+    return out.where(keep).drop("__in_slice", *prev)
 
 
 def reaggregate_affected(base: DataFrame, slice_: DataFrame, group_keys: Sequence[str],

@@ -30,6 +30,7 @@ def write_scd1(tables: ParquetTables, name: str, rows: DataFrame, key_columns: S
     elif mode == "rewrite":
         tables.replace(name, m.scd1_rewrite(rows, processed))
     else:
+        m.validate_no_duplicate_keys(rows, keys)
         current = tables.read_matching(name, rows)
         changes = m.scd1_changes(current, rows, keys, processed)
         tables.merge(name, changes.select(*current.columns, m.OPERATION), lambda t, c: m.apply_scd1(t, c, keys))
