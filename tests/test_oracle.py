@@ -35,7 +35,7 @@ def test_entry_smoke(spark):
 
 WINDOWED = ["collapse_versions", "scd2_build", "scd2_upsert_no", "scd2_upsert_from_dt", "scd2_upsert_full",
             "scd2_changes_no", "scd2_changes_from_dt", "scd2_changes_full", "scd2_in_order_equals_full",
-            "daily_delta", "incremental_delta", "fct_video_daily", "reappeared", "dim_denormalised", "as_of_join"]
+            "daily_delta", "incremental_delta", "late_delta_refresh", "fct_video_daily", "reappeared", "dim_denormalised", "as_of_join"]
 
 
 @pytest.mark.parametrize("name", WINDOWED)

@@ -243,6 +243,11 @@ SELECT user_id, calendar_dt, v, v - lag(v) OVER (PARTITION BY user_id ORDER BY c
     "incremental_delta": f"""WITH {SNAP}
 SELECT * FROM (SELECT user_id, calendar_dt, v, v - lag(v) OVER (PARTITION BY user_id ORDER BY calendar_dt) AS v_delta
                FROM snap) WHERE calendar_dt > DATE '2024-01-20'""",
+    "late_delta_refresh": f"""WITH {SNAP},
+f AS (SELECT user_id, calendar_dt, v, day,
+             v - lag(v) OVER (PARTITION BY user_id ORDER BY calendar_dt) AS v_delta,
+             lag(day) OVER (PARTITION BY user_id ORDER BY calendar_dt) AS prev_day FROM snap)
+SELECT user_id, calendar_dt, v, v_delta FROM f WHERE day = 15 OR prev_day = 15""",
     "reaggregate_affected": f"""WITH {SNAP},
 f AS (SELECT user_id, user_id % 10 AS cohort_id, calendar_dt, v,
              v - lag(v) OVER (PARTITION BY user_id ORDER BY calendar_dt) AS v_delta FROM snap),

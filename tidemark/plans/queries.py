@@ -324,6 +324,16 @@ def incremental_delta_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return incremental_delta(loaded, slice_, "user_id", "calendar_dt", ["v"])
 
 
+def late_delta_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Day 15 arrives after the rest: its deltas, and the refreshed delta of the next loaded day."""
+    s = sc.Scenario(spark, sf_dir)
+    late = sc.LATE_DELTA_DAY
+    stored = materialize(day_over_day(s.snap(~sc.days(late, late)).select("user_id", "calendar_dt", "v"),
+                                      "user_id", "calendar_dt", ["v"]))
+    slice_ = s.snap(sc.days(late, late)).select("user_id", "calendar_dt", "v")
+    return incremental_delta(stored, slice_, "user_id", "calendar_dt", ["v"], refresh_next=True)
+
+
 def reaggregate_affected_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = sc.Scenario(spark, sf_dir)
     fact = day_over_day(s.snap().select("user_id", "calendar_dt", "v"), "user_id", "calendar_dt", ["v"]) \
@@ -477,6 +487,7 @@ QUERIES: dict[str, Query] = {
     "as_of_join": as_of_join_q,
     "daily_delta": daily_delta,
     "incremental_delta": incremental_delta_q,
+    "late_delta_refresh": late_delta_refresh,
     "reaggregate_affected": reaggregate_affected_q,
     "fct_video_daily": fct_video_daily,
     "dim_denormalised": dim_denormalised,

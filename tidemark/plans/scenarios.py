@@ -24,6 +24,7 @@ WATERMARK = "2024-01-20 00:00:00"
 DISAPPEAR_DAY = 25
 DELTA_SPLIT_DAY = 20
 REAGGREGATE_AFTER_DAY = 28
+LATE_DELTA_DAY = 15          # loaded after every other day
 HUB_SPLIT_DATE = "1996-01-01"
 FIXED_PROCESSED = "2024-02-01 00:00:00"
 
