@@ -95,3 +95,19 @@ def test_quality_selection_and_missing(spark):
     assert dq.missing_table(spark, "x").first()["check_name"] == "table_exists"
     n, f = dq.summarize(dq.missing_table(spark, "x"))
     assert (n, f) == (1, 1)
+
+
+def test_materialize_and_release(spark):
+    import os
+
+    from tidemark.session import materialize, release_scratch
+
+    release_scratch(spark)
+    df = materialize(spark.range(10).withColumnRenamed("id", "x"))
+    assert df.count() == 10
+    path = df.inputFiles()[0].split("/part-")[0].removeprefix("file:")
+    assert os.path.isdir(path)
+    assert release_scratch(spark) == 1
+    assert not os.path.exists(path)
+    small = spark.range(3)
+    assert materialize(small, "if_large") is small or spark.conf.get("spark.tidemark.splitAboveBytes") == "0"

@@ -18,6 +18,7 @@ from tidemark.operators import quality as dq
 from tidemark.operators.history import VALID_FROM
 from tidemark.operators.slices import Slicer, Watermarks
 from tidemark.plans import layers as L
+from tidemark.session import release_scratch
 from tidemark.sources.raw import read_envelopes
 from tidemark.sources.tables import ParquetTables
 from tidemark.sources.writers import write_scd1, write_scd2
@@ -181,9 +182,9 @@ class Medallion:
         s.commit()
 
     def load_day(self, date: str) -> None:
-        self.load_bronze(date)
-        self.load_silver()
-        self.load_gold()
+        for step in (lambda: self.load_bronze(date), self.load_silver, self.load_gold):
+            step()
+            release_scratch(self.spark)  # intermediates of the layer are written by now
 
     # ----------------------------------------------------------------- quality
     def quality(self, names: list[str] | None = None) -> DataFrame:

@@ -110,4 +110,26 @@ def materialize(df, enabled: bool | str = True):
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/tidemark-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
+    _SCRATCH.append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+_SCRATCH: list[str] = []
+
+
+def release_scratch(spark: SparkSession) -> int:
+    """Delete the folders written by ``materialize`` so far; returns how many.
+
+    Call it once every DataFrame that reads them has been written or
+    collected (the runner does so after each layer).
+    """
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    released = 0
+    while _SCRATCH:
+        path = jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        fs = path.getFileSystem(conf)
+        if fs.exists(path):
+            fs.delete(path, True)
+            released += 1
+    return released
