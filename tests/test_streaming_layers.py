@@ -110,6 +110,15 @@ def test_layers_end_to_end_content(medallion):
     assert agg.where("coalesce(d, 0) != b - a").count() == 0
 
 
+def test_resync_dimensions(medallion):
+    t = medallion.tables
+    before = sorted((r.video_id, r.valid_from_dttm) for r in t.read("gold.dim_video").collect())
+    medallion.resync_dimensions()
+    after = sorted((r.video_id, r.valid_from_dttm) for r in t.read("gold.dim_video").collect())
+    assert after == before  # nothing was deleted in silver, so nothing changes
+    assert medallion.quality(["gold.dim_video", "gold.dim_channel"]).where("not passed").count() == 0
+
+
 def test_rerun_same_day_is_noop(medallion):
     before = medallion.tables.read("silver.s_video").select("video_id", "valid_from_dttm", "processed_dttm").collect()
     medallion.load_day("2024-01-03")

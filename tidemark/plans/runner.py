@@ -181,6 +181,21 @@ class Medallion:
         self.upsert1("gold.fct_channel_daily", rows, ["channel_id", "calendar_dt"])
         s.commit()
 
+    def resync_dimensions(self) -> None:
+        """Rebuild the versioned gold dimensions from all of silver.
+
+        Incremental loads read silver by watermark, so a silver version that a
+        later load deleted never reaches gold; this full rewrite removes such
+        stale versions (an optional, heavier step).
+        """
+        t = self.tables
+        write_scd2(t, "gold.dim_channel", L.build_dim_channel(t.read("silver.h_channel"), t.read("silver.s_channel")),
+                   "channel_id", ["channel_id", VALID_FROM], "rewrite", processed=self.processed)
+        rows = L.build_dim_video(t.read("silver.h_video"), t.read("silver.s_video"), t.read("silver.l_video_channel"),
+                                 t.read("silver.ref_category"))
+        write_scd2(t, "gold.dim_video", rows, "video_id", ["video_id", VALID_FROM], "rewrite", processed=self.processed)
+        release_scratch(self.spark)
+
     def load_day(self, date: str) -> None:
         for step in (lambda: self.load_bronze(date), self.load_silver, self.load_gold):
             step()
