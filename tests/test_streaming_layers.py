@@ -211,3 +211,17 @@ def test_watermark_commits_only_after_the_write(spark, medallion, monkeypatch):
     monkeypatch.undo()
     medallion.load_gold()
     assert marks.read("gold.fct_video_daily") > before
+
+
+def test_raw_sink_rerun_replaces_the_day(spark):
+    root = tempfile.mkdtemp(prefix="rawsink-")
+    ev = fx.table(spark, SF001, "events")
+    fx.write_raw_day(ev, 1, root)
+    fx.write_raw_day(ev, 2, root)
+    fx.write_raw_day(ev, 1, root)  # rerun of day 1
+    from tidemark.plans.layers import VIDEO_ITEM
+
+    items = read_envelopes(spark, f"{root}/videos", VIDEO_ITEM, multi_line=False)
+    per_day = {str(r["ingestion_date"]): r["count"] for r in items.groupBy("ingestion_date").count().collect()}
+    expected = fx.snapshot(ev.where(fx.ts_in_days(1, 1))).count()
+    assert per_day["2024-01-01"] == expected and set(per_day) == {"2024-01-01", "2024-01-02"}

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import PROCESSED_COLUMN, processed_at
-from tidemark.session import materialize
+from tidemark.session import is_large, materialize
 
 OPERATION = "_operation"
 INSERT, UPDATE = "insert", "update"
@@ -87,7 +87,7 @@ def scd1_upsert(target: DataFrame, source: DataFrame, key_columns: Sequence[str]
     The change set (at most the size of the input) is checkpointed once since
     it is read twice.
     """
-    changes = materialize(scd1_changes(target, source, key_columns, processed), "if_large")
+    changes = materialize(scd1_changes(target, source, key_columns, processed), is_large(target, source))
     return apply_scd1(target, changes, key_columns)
 
 
