@@ -72,28 +72,28 @@ def test_table_store_partition_merge_drops_emptied_partition(spark):
 
 
 @pytest.fixture(scope="module")
-def medallion(spark):
-    from tidemark.plans.runner import Medallion
+def warehouse(spark):
+    from tidemark.plans.runner import Warehouse
 
     root = tempfile.mkdtemp(prefix="e2e-")
     ev = fx.table(spark, SF001, "events")
     for day in (1, 2, 3):
         fx.write_raw_day(ev, day, f"{root}/raw")
-    m = Medallion(spark, f"{root}/wh", f"{root}/raw")
+    m = Warehouse(spark, f"{root}/wh", f"{root}/raw")
     for day in (1, 2, 3):
         m.load_day(f"2024-01-0{day}")
     return m
 
 
-def test_layers_end_to_end_quality(medallion):
-    res = medallion.quality()
+def test_layers_end_to_end_quality(warehouse):
+    res = warehouse.quality()
     failed = [(r.table_name, r.check_name, r.violations) for r in res.where("not passed").collect()]
     assert failed == []
     assert res.count() == 75
 
 
-def test_layers_end_to_end_content(medallion):
-    t = medallion.tables
+def test_layers_end_to_end_content(warehouse):
+    t = warehouse.tables
     assert t.read("bronze.videos").count() == t.read("silver.s_video_stats").count()
     assert t.read("gold.fct_video_daily").count() == t.read("silver.s_video_stats").count()
     s_video = t.read("silver.s_video")
@@ -110,27 +110,27 @@ def test_layers_end_to_end_content(medallion):
     assert agg.where("coalesce(d, 0) != b - a").count() == 0
 
 
-def test_resync_dimensions(medallion):
-    t = medallion.tables
+def test_resync_dimensions(warehouse):
+    t = warehouse.tables
     before = sorted((r.video_id, r.valid_from_dttm) for r in t.read("gold.dim_video").collect())
-    medallion.resync_dimensions()
+    warehouse.resync_dimensions()
     after = sorted((r.video_id, r.valid_from_dttm) for r in t.read("gold.dim_video").collect())
     assert after == before  # nothing was deleted in silver, so nothing changes
-    assert medallion.quality(["gold.dim_video", "gold.dim_channel"]).where("not passed").count() == 0
+    assert warehouse.quality(["gold.dim_video", "gold.dim_channel"]).where("not passed").count() == 0
 
 
-def test_rerun_same_day_is_noop(medallion):
-    before = medallion.tables.read("silver.s_video").select("video_id", "valid_from_dttm", "processed_dttm").collect()
-    medallion.load_day("2024-01-03")
-    after = medallion.tables.read("silver.s_video").select("video_id", "valid_from_dttm", "processed_dttm").collect()
+def test_rerun_same_day_is_noop(warehouse):
+    before = warehouse.tables.read("silver.s_video").select("video_id", "valid_from_dttm", "processed_dttm").collect()
+    warehouse.load_day("2024-01-03")
+    after = warehouse.tables.read("silver.s_video").select("video_id", "valid_from_dttm", "processed_dttm").collect()
     assert sorted(map(tuple, before)) == sorted(map(tuple, after))
 
 
-def test_quality_selection(medallion):
-    res = medallion.quality(["gold.dim_calendar"])
+def test_quality_selection(warehouse):
+    res = warehouse.quality(["gold.dim_calendar"])
     assert res.count() == 3
     with pytest.raises(ValueError):
-        medallion.quality(["silver.s_vidoe"])
+        warehouse.quality(["silver.s_vidoe"])
 
 
 def test_merge_clause_builders_reject_empty():
@@ -183,33 +183,33 @@ def test_declared_quality_columns_exist():
             assert column in cols[parent], (spec.name, column, parent)
 
 
-def test_watermark_commits_only_after_the_write(spark, medallion, monkeypatch):
+def test_watermark_commits_only_after_the_write(spark, warehouse, monkeypatch):
     from tidemark.operators.slices import Watermarks
 
-    marks = Watermarks(spark, "gold.fct_channel_daily", medallion.marks_path)
+    marks = Watermarks(spark, "gold.fct_channel_daily", warehouse.marks_path)
     before = marks.read("gold.fct_video_daily")
     assert before is not None
     # an empty slice leaves the mark where it is
-    medallion.load_gold()
+    warehouse.load_gold()
     assert marks.read("gold.fct_video_daily") == before
     # force new rows into the input, then fail the write: the mark must not move
-    fct = medallion.tables.read("gold.fct_video_daily")
-    medallion.tables.append("gold.fct_video_daily", fct.limit(1).withColumn("views_cnt", F.lit(10**9))
+    fct = warehouse.tables.read("gold.fct_video_daily")
+    warehouse.tables.append("gold.fct_video_daily", fct.limit(1).withColumn("views_cnt", F.lit(10**9))
                             .withColumn("processed_dttm", F.current_timestamp()))
 
-    real_merge = medallion.tables.merge
+    real_merge = warehouse.tables.merge
 
     def boom(name, *args, **kwargs):
         if name == "gold.fct_channel_daily":
             raise RuntimeError("write failed")
         return real_merge(name, *args, **kwargs)
 
-    monkeypatch.setattr(medallion.tables, "merge", boom)
+    monkeypatch.setattr(warehouse.tables, "merge", boom)
     with pytest.raises(RuntimeError):
-        medallion.load_gold()
+        warehouse.load_gold()
     assert marks.read("gold.fct_video_daily") == before
     monkeypatch.undo()
-    medallion.load_gold()
+    warehouse.load_gold()
     assert marks.read("gold.fct_video_daily") > before
 
 

@@ -77,7 +77,7 @@ SPECS: tuple[dq.TableSpec, ...] = (
 )
 
 
-class Medallion:
+class Warehouse:
     """The seventeen tables in a Parquet warehouse, loaded slice by slice."""
 
     def __init__(self, spark: SparkSession, warehouse: str, raw_root: str,

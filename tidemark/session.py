@@ -14,13 +14,13 @@ from pyspark.sql import SparkSession
 # Options every tidemark job expects.  Case-insensitive names (raw JSON uses
 # camelCase, tables use lower case), UTC wall clock, ANSI kept on (casts that
 # may fail use try_cast), AQE for partition coalescing and skew-join splitting.
+# The overwrite mode is chosen per write (static replace, dynamic merge).
 SESSION_OPTIONS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.caseSensitive": "false",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
