@@ -61,6 +61,23 @@ def test_watermarks(spark):
     assert marks.read("t").startswith("2024-01-06")
 
 
+def test_slice_mark_is_zone_stable(spark):
+    """The committed mark is Spark's own text of the max, in the session zone."""
+    path = os.path.join(tempfile.mkdtemp(prefix="wmz-"), "marks")
+    marks = Watermarks(spark, "p", path)
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        df = spark.createDataFrame([(1, "2024-01-05 10:00:00")], "id int, ts string") \
+            .select("id", F.col("ts").cast("timestamp").alias("ts"))
+        sl = Slicer(marks, "t", "ts")
+        assert sl.run(df).count() == 1
+        sl.commit()
+        assert marks.read("t") == "2024-01-05 10:00:00"
+        assert Slicer(marks, "t", "ts").run(df).count() == 0
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_watermark_errors(spark):
     with pytest.raises(ValueError, match="invalid watermark"):
         parse_watermark("yesterday", "t")
