@@ -47,6 +47,9 @@ def test_watermarks(spark):
     assert marks.read("t") == "2024-01-01 00:00:00"
     marks.reset("t")
     assert marks.read("t") is None
+    marks.advance("u", "2024-02-01 00:00:00")
+    assert marks.compact() == 2
+    assert marks.read("t") is None and marks.read("u") == "2024-02-01 00:00:00"
 
     df = spark.createDataFrame([(1, "2024-01-05 00:00:00"), (2, "2024-01-06 00:00:00")], "id int, ts string") \
         .select("id", F.col("ts").cast("timestamp_ntz").alias("ts"))
