@@ -20,6 +20,7 @@ def tables(spark):
     t = ParquetTables(spark, tempfile.mkdtemp(prefix="writers-"))
     t.create("s.one", "id int, day date, v string, processed_dttm timestamp", partition_by="day")
     t.create("s.two", SCD2_DDL, partition_by="valid_from_day", partition_expr=F.to_date("valid_from_dttm"))
+    t.create("s.three", SCD2_DDL, partition_by="valid_to_day", partition_expr=F.to_date("valid_to_dttm"))
     return t
 
 
@@ -39,20 +40,28 @@ def test_scd1_modes(spark, tables):
     assert rows(tables.read("s.one"), "id", "v") == [(9, "z")]
 
 
-def test_scd2_modes(spark, tables):
-    write_scd2(tables, "s.two", _two(spark, [("k", "A", 1), ("k", "A", 2), ("k", "B", 3)]), "k",
+@pytest.mark.parametrize("table", ["s.two", "s.three"])
+def test_scd2_modes(spark, tables, table):
+    import os
+
+    write_scd2(tables, table, _two(spark, [("k", "A", 1), ("k", "A", 2), ("k", "B", 3)]), "k",
                ["k", "valid_from_dttm"], "insert")
-    assert rows(tables.read("s.two"), "valid_from_dttm", "attr", "valid_to_dttm") == [
+    assert rows(tables.read(table), "valid_from_dttm", "attr", "valid_to_dttm") == [
         (d(1), "A", d(3)), (d(3), "B", None)]
-    write_scd2(tables, "s.two", _two(spark, [("k", "C", 2)]), "k", ["k", "valid_from_dttm"], "upsert", "from_dt")
-    assert rows(tables.read("s.two"), "valid_from_dttm", "attr", "valid_to_dttm") == [
+    write_scd2(tables, table, _two(spark, [("k", "C", 2)]), "k", ["k", "valid_from_dttm"], "upsert", "from_dt")
+    assert rows(tables.read(table), "valid_from_dttm", "attr", "valid_to_dttm") == [
         (d(1), "A", d(2)), (d(2), "C", d(3)), (d(3), "B", None)]
-    # equal to its predecessor: the version of day 3 is deleted, its day folder removed
-    write_scd2(tables, "s.two", _two(spark, [("k", "C", 3)]), "k", ["k", "valid_from_dttm"], "upsert", "from_dt")
-    assert rows(tables.read("s.two"), "valid_from_dttm", "attr", "valid_to_dttm") == [
+    # equal to its predecessor: the version of day 3 is deleted, an emptied folder removed
+    write_scd2(tables, table, _two(spark, [("k", "C", 3)]), "k", ["k", "valid_from_dttm"], "upsert", "from_dt")
+    assert rows(tables.read(table), "valid_from_dttm", "attr", "valid_to_dttm") == [
         (d(1), "A", d(2)), (d(2), "C", None)]
-    write_scd2(tables, "s.two", _two(spark, [("k", "Z", 5)]), "k", ["k", "valid_from_dttm"], "rewrite")
-    assert rows(tables.read("s.two"), "valid_from_dttm", "attr") == [(d(5), "Z")]
+    folders = sorted(os.listdir(tables.path(table)))
+    if table == "s.two":
+        assert "valid_from_day=2024-01-03" not in folders
+    else:
+        assert "valid_to_day=2024-01-03" not in folders and "valid_to_day=2024-01-02" in folders
+    write_scd2(tables, table, _two(spark, [("k", "Z", 5)]), "k", ["k", "valid_from_dttm"], "rewrite")
+    assert rows(tables.read(table), "valid_from_dttm", "attr") == [(d(5), "Z")]
 
 
 def test_write_errors(spark, tables):

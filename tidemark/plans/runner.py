@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import PROCESSED_COLUMN
 from tidemark.operators import quality as dq
-from tidemark.operators.history import VALID_FROM
+from tidemark.operators.history import VALID_FROM, VALID_TO
 from tidemark.operators.slices import Slicer, Watermarks
 from tidemark.plans import layers as L
 from tidemark.session import release_scratch
@@ -24,7 +24,9 @@ from tidemark.sources.tables import ParquetTables
 from tidemark.sources.writers import write_scd1, write_scd2
 
 # Partition layout: identity on the day, or a hidden transform of a timestamp
-# (built lazily: a Column needs an active session).
+# (built lazily: a Column needs an active session).  Versioned tables are
+# partitioned by the day a version was closed: closed history never changes,
+# and a load rewrites the open versions plus the days it really touches.
 PARTITIONS = {
     "bronze.categories": ("calendar_dt", None),
     "bronze.channels": ("calendar_dt", None),
@@ -32,12 +34,12 @@ PARTITIONS = {
     "silver.h_channel": ("created_year", lambda: F.year("created_at")),
     "silver.h_video": ("created_year", lambda: F.year("created_at")),
     "silver.l_video_channel": ("created_year", lambda: F.year("created_at")),
-    "silver.s_channel": ("valid_from_day", lambda: F.to_date(VALID_FROM)),
+    "silver.s_channel": ("valid_to_day", lambda: F.to_date(VALID_TO)),
     "silver.s_channel_stats": ("calendar_dt", None),
-    "silver.s_video": ("valid_from_day", lambda: F.to_date(VALID_FROM)),
+    "silver.s_video": ("valid_to_day", lambda: F.to_date(VALID_TO)),
     "silver.s_video_stats": ("calendar_dt", None),
-    "gold.dim_channel": ("valid_from_day", lambda: F.to_date(VALID_FROM)),
-    "gold.dim_video": ("valid_from_day", lambda: F.to_date(VALID_FROM)),
+    "gold.dim_channel": ("valid_to_day", lambda: F.to_date(VALID_TO)),
+    "gold.dim_video": ("valid_to_day", lambda: F.to_date(VALID_TO)),
     "gold.fct_video_daily": ("calendar_dt", None),
     "gold.fct_channel_daily": ("calendar_dt", None),
 }

@@ -133,32 +133,54 @@ class ParquetTables:
         self.require(name)
         self._writer(name, materialize(df.select(*self.read(name).columns)), "overwrite").parquet(self.path(name))
 
-    def merge(self, name: str, changes: DataFrame, apply: Apply) -> None:
-        """Apply a change set: only partitions named by the changes are rewritten."""
+    def merge(self, name: str, changes: DataFrame, apply: Apply, keys: Sequence[str] | None = None) -> None:
+        """Apply a change set: only the partitions it touches are rewritten.
+
+        Without ``keys`` the partition of a row is taken from the change row
+        itself (the partition column is, or derives from, a key column).  With
+        ``keys`` a row may move between partitions (e.g. a table partitioned by
+        the day of ``valid_to``): the partitions holding the stored rows of the
+        changed keys are found with a key-columns-only read and rewritten too.
+        The affected partition values (a bounded list: days) become a literal
+        filter, so only those folders are read.
+        """
         self.require(name)
         part = self.partition_of(name)
         if not part:
             self.replace(name, apply(self.read(name), changes))
             return
         changes = materialize(changes)
-        affected = self._with_partition(name, changes).select(part).distinct()
         current = self._raw(name)
-        # Semi-join on the partition column: dynamic partition pruning reads
-        # only the affected partition folders.
-        scope = current.join(affected, part, "left_semi")
+        if keys:
+            written = changes.where(F.col("_operation") != "delete") if "_operation" in changes.columns else changes
+            new_parts = self._with_partition(name, written).select(part)
+            old_parts = current.select(*keys, part).join(changes.select(*keys), list(keys), "left_semi").select(part)
+            values = [r[0] for r in new_parts.unionByName(old_parts).distinct().collect()]
+        else:
+            values = [r[0] for r in self._with_partition(name, changes).select(part).distinct().collect()]
+        if not values:
+            return
+        present = [v for v in values if v is not None]
+        in_scope = F.col(part).isin(present) if present else F.lit(False)
+        if len(present) < len(values):
+            in_scope = in_scope | F.col(part).isNull()
+        scope = current.where(in_scope)
         _, expr = self._partitions[name]
         if expr is not None:
             scope = scope.drop(part)
         new = materialize(apply(scope, changes))
         self._writer(name, new, "overwrite", "dynamic").parquet(self.path(name))
-        self._drop_emptied(name, part, affected, self._with_partition(name, new))
-
-    def _drop_emptied(self, name: str, part: str, affected: DataFrame, new: DataFrame) -> None:
-        # Partition values touched by the change set: one row per partition
-        # (e.g. per day), a small bounded list.
-        emptied = affected.join(new.select(part).distinct(), part, "left_anti").collect()
-        for row in emptied:
-            fs, p = self._fs(f"{self.path(name)}/{part}={row[0]}")
+        self._drop_emptied(name, part, values, self._with_partition(name, new))
+
+    def _drop_emptied(self, name: str, part: str, values: list, new: DataFrame) -> None:
+        """Remove affected partition folders left without rows (dynamic
+        overwrite only replaces partitions it writes)."""
+        kept = {r[0] for r in new.select(part).distinct().collect()}
+        for value in values:
+            if value in kept:
+                continue
+            folder = "__HIVE_DEFAULT_PARTITION__" if value is None else value
+            fs, p = self._fs(f"{self.path(name)}/{part}={folder}")
             if fs.exists(p):
                 fs.delete(p, True)
 

@@ -56,4 +56,4 @@ def write_scd2(tables: ParquetTables, name: str, rows: DataFrame, business_key:
     h.validate_columns([*[c for c in rows.columns if c not in h.TECHNICAL], h.VALID_TO, PROCESSED_COLUMN],
                        current.columns, name)
     changes = h.scd2_changes(current, rows, business_key, keys, rebuild, processed, bucket_seconds=bucket_seconds)
-    tables.merge(name, changes, lambda t, c: h.apply_changes(t, c, keys))
+    tables.merge(name, changes, lambda t, c: h.apply_changes(t, c, keys), keys=keys)
