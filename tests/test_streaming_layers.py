@@ -225,3 +225,31 @@ def test_raw_sink_rerun_replaces_the_day(spark):
     per_day = {str(r["ingestion_date"]): r["count"] for r in items.groupBy("ingestion_date").count().collect()}
     expected = fx.snapshot(ev.where(fx.ts_in_days(1, 1))).count()
     assert per_day["2024-01-01"] == expected and set(per_day) == {"2024-01-01", "2024-01-02"}
+
+
+def test_failed_batch_is_replayed(spark):
+    from tidemark.operators.merge import apply_scd1, scd1_changes
+    from tidemark.streaming import run_available_now
+
+    root = tempfile.mkdtemp(prefix="replay-")
+    src, ckpt = f"{root}/in", f"{root}/ckpt"
+    fx.table(spark, SF001, "events").select("event_id", "event_type").where("event_id < 40") \
+        .coalesce(1).write.parquet(f"{src}/a")
+    tables = ParquetTables(spark, f"{root}/wh")
+    tables.create("t.e", "event_id bigint, event_type string, processed_dttm timestamp")
+    calls = {"n": 0}
+
+    def handle(batch, epoch_id):
+        calls["n"] += 1
+        current = tables.read("t.e")
+        changes = scd1_changes(current, batch, ["event_id"])
+        tables.merge("t.e", changes.select(*current.columns, "_operation"),
+                     lambda t, c: apply_scd1(t, c, ["event_id"]))
+        if calls["n"] == 1:
+            raise RuntimeError("executor lost after the write")
+
+    with pytest.raises(Exception):
+        run_available_now(spark, f"{src}/*", "event_id bigint, event_type string", handle, ckpt)
+    run_available_now(spark, f"{src}/*", "event_id bigint, event_type string", handle, ckpt)
+    assert calls["n"] == 2  # the failed batch was replayed, not skipped
+    assert tables.read("t.e").count() == 40  # and the replay did not duplicate rows
