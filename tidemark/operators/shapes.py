@@ -80,6 +80,7 @@ def disappeared(
     created_at: str = "created_at",
     available: str = "is_available",
     time_type: str = "timestamp_ntz",
+    prune_dates: bool = True,
 ) -> DataFrame:
     """Unavailable copies of the open versions of entities missing from a slice.
 
@@ -87,11 +88,18 @@ def disappeared(
     entities of that parent (``links``) that are absent from every snapshot
     date of the slice, that already existed by that day (``hubs``) and whose
     open version is still available get a copy of that version with
-    ``is_available = false`` and ``valid_from`` = that day.
+    ``is_available = false`` and ``valid_from`` = that day.  The slice's dates
+    are collected (a bounded list) to filter the snapshots, unless
+    ``prune_dates`` is off.
     """
     parents = slice_.groupBy(parent).agg(F.min(F.col(date).cast(time_type)).alias("__missing_from"))
-    dates = slice_.select(date).distinct()
-    present = snapshots.join(dates, date, "left_semi").select(entity).distinct()
+    if prune_dates:
+        # The slice's dates are a short list (days): as a literal filter they
+        # prune the snapshot table's date partitions statically.
+        days = [r[0] for r in slice_.select(date).distinct().collect()]
+        present = snapshots.where(F.col(date).isin(days)).select(entity).distinct()
+    else:
+        present = snapshots.join(slice_.select(date).distinct(), date, "left_semi").select(entity).distinct()
     known = (links.select(entity, parent)
              .join(parents, parent, "inner")
              .join(present, entity, "left_anti")
