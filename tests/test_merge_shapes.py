@@ -97,6 +97,8 @@ def test_reaggregate_affected(spark):
     slice_ = fact.where("g = 'c' and day = 1")
     out = reaggregate_affected(fact, slice_, ["g", "day"], [F.sum("v").alias("t")])
     assert rows(out) == [("c", 1, 11)]
+    pruned = reaggregate_affected(fact, slice_, ["g", "day"], [F.sum("v").alias("t")], prune_on="day")
+    assert rows(pruned) == [("c", 1, 11)]
 
 
 VSCHEMA = "e string, attr string, is_available boolean, valid_from_dttm timestamp_ntz, valid_to_dttm timestamp_ntz"

@@ -61,10 +61,18 @@ def incremental_delta(existing: DataFrame, slice_: DataFrame, key: str, date: st
 
 
 def reaggregate_affected(base: DataFrame, slice_: DataFrame, group_keys: Sequence[str],
-                         aggregates: Sequence[Column]) -> DataFrame:
-    """Re-aggregate, from ``base``, only the groups that occur in ``slice_``."""
+                         aggregates: Sequence[Column], prune_on: str | None = None) -> DataFrame:
+    """Re-aggregate, from ``base``, only the groups that occur in ``slice_``.
+
+    ``prune_on`` names a group key that is also a partition column of
+    ``base`` (e.g. the day): its few values in the slice are collected and
+    applied as a literal filter, so only those partitions are read.
+    """
     keys = list(group_keys)
     affected = slice_.select(*keys).distinct()
+    if prune_on:
+        values = [r[0] for r in slice_.select(prune_on).distinct().collect()]
+        base = base.where(F.col(prune_on).isin(values))
     return base.join(affected, keys, "left_semi").groupBy(*keys).agg(*aggregates)
 
 

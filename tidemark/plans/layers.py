@@ -246,7 +246,7 @@ def build_fct_video_daily(l_video_channel: DataFrame, stats_slice: DataFrame, s_
 
 def build_fct_channel_daily(fct_video_daily: DataFrame, fct_slice: DataFrame,
                             s_channel_stats: DataFrame) -> DataFrame:
-    totals = reaggregate_affected(fct_video_daily, fct_slice, ["channel_id", "calendar_dt"], [
+    measures = [
         F.count("video_id").alias("videos_cnt"),
         F.sum("views_cnt").alias("views_total"),
         F.sum("likes_cnt").alias("likes_total"),
@@ -255,7 +255,10 @@ def build_fct_channel_daily(fct_video_daily: DataFrame, fct_slice: DataFrame,
         F.sum("views_delta").alias("views_delta"),
         F.sum("likes_delta").alias("likes_delta"),
         F.sum("comments_delta").alias("comments_delta"),
-    ])
+    ]
+    # the fact is partitioned by day: read only the days the slice touches
+    totals = reaggregate_affected(fct_video_daily, fct_slice, ["channel_id", "calendar_dt"], measures,
+                                  prune_on="calendar_dt")
     return totals.join(s_channel_stats.select("channel_id", "calendar_dt", "subscribers_cnt"),
                        ["channel_id", "calendar_dt"], "inner").select(
         "channel_id", "calendar_dt", "subscribers_cnt", "videos_cnt", "views_total", "likes_total",
