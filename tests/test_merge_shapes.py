@@ -150,3 +150,25 @@ def test_scd1_upsert_refuses_duplicate_keys(spark):
         write_scd1(t, "n.t", kv(spark, [(1, "a"), (1, "b")]), ["id"], "upsert")
     write_scd1(t, "n.t", kv(spark, [(None, "a"), (None, "b"), (2, "c")]), ["id"], "upsert")
     assert t.read("n.t").count() == 3
+
+
+def test_disappeared_prunes_snapshot_partitions(spark):
+    import tempfile
+
+    root = tempfile.mkdtemp(prefix="snaps-") + "/snapshots"
+    snaps = spark.createDataFrame([("e1", "c", d(1).date()), ("e2", "c", d(1).date()), ("e1", "c", d(3).date())],
+                                  "e string, p string, day date")
+    snaps.write.partitionBy("day").parquet(root)
+    stored = spark.read.parquet(root)
+    v = spark.createDataFrame([("e1", "A", True, d(1), None), ("e2", "B", True, d(1), None)], VSCHEMA)
+    hubs = spark.createDataFrame([("e1", d(1)), ("e2", d(1))], "e string, created_at timestamp_ntz")
+    out = disappeared(stored.where(F.col("day") == d(3).date()), stored, stored.select("e", "p").distinct(), hubs, v,
+                      "e", "p", "day")
+    assert rows(out, "e") == [("e2",)]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    import re
+
+    pruned = re.findall(r"PartitionFilters: \[isnotnull\(day#\d+\), \(day#\d+ = 2024-01-03\)\]", plan)
+    # the slice and the "present on a slice date" read both touch only that day
+    # (the third scan is this test's own links table, built from every day)
+    assert len(pruned) == 2, plan
