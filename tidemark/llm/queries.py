@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from tidemark.llm import sentencepieces
+from tidemark.llm import blocknames, sentencepieces, simhash
 
 QUERIES = {
+    "op4_simhash_trie": simhash.op4,
+    "op6_block_naming": blocknames.op6,
     "op8_sentencepiece": sentencepieces.op8,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op6_block_naming": blocknames.OP6_SQL,
+}

@@ -49,3 +49,11 @@ def text_of(column: str = "text"):
 def partitions_for(spark: SparkSession) -> int:
     """Shuffle partitions the session asks for, for Python stages that Spark does not size."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def numbered(docs: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``docs`` as a stored table with a unique number for each row, and that column's name."""
+    row = "__row"
+    while row in docs.columns:
+        row += "_"
+    return stored(docs.withColumn(row, F.monotonically_increasing_id()), name), row
