@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from tidemark.llm import blocknames, sentencepieces, simhash
+from tidemark.llm import blocknames, decontaminate, sentencepieces, sharding, simhash
 
 QUERIES = {
     "op4_simhash_trie": simhash.op4,
+    "op5_extendible_hashing": sharding.op5,
     "op6_block_naming": blocknames.op6,
     "op8_sentencepiece": sentencepieces.op8,
+    "op9_simhash_windows": decontaminate.op9,
 }
 
 ORACLE: dict[str, str] = {
+    "op5_extendible_hashing": sharding.OP5_SQL,
     "op6_block_naming": blocknames.OP6_SQL,
 }
