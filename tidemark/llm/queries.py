@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tidemark.llm import blocknames, decontaminate, sentencepieces, sharding, simhash
+from tidemark.llm import blocknames, decontaminate, quality, sentencepieces, sharding, simhash
 
 QUERIES = {
+    "op1_bradley_terry": quality.op1,
     "op4_simhash_trie": simhash.op4,
     "op5_extendible_hashing": sharding.op5,
     "op6_block_naming": blocknames.op6,
