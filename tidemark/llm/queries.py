@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import blocknames, decontaminate, quality, sentencepieces, sharding, simhash, warc
+from tidemark.llm import blocknames, decontaminate, mainhtml, quality, sentencepieces, sharding, simhash, warc
 
 QUERIES = {
     "op1_bradley_terry": quality.op1,
@@ -10,6 +10,7 @@ QUERIES = {
     "op4_simhash_trie": simhash.op4,
     "op5_extendible_hashing": sharding.op5,
     "op6_block_naming": blocknames.op6,
+    "op7_host_consensus": mainhtml.op7,
     "op8_sentencepiece": sentencepieces.op8,
     "op9_simhash_windows": decontaminate.op9,
 }
