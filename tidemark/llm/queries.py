@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from tidemark.llm import blocknames, decontaminate, mainhtml, quality, sentencepieces, sharding, simhash, warc
+from tidemark.llm import backoff, blocknames, decontaminate, mainhtml, quality, sentencepieces, sharding, simhash, warc
 
 QUERIES = {
     "op1_bradley_terry": quality.op1,
+    "op10_stupid_backoff": backoff.op10,
     "op2_warc_chain": warc.op2,
     "op4_simhash_trie": simhash.op4,
     "op5_extendible_hashing": sharding.op5,
@@ -16,6 +17,7 @@ QUERIES = {
 }
 
 ORACLE: dict[str, str] = {
+    "op10_stupid_backoff": backoff.OP10_SQL,
     "op2_warc_chain": warc.OP2_SQL,
     "op5_extendible_hashing": sharding.OP5_SQL,
     "op6_block_naming": blocknames.OP6_SQL,
