@@ -137,7 +137,7 @@ def _score(order: int, partitions: int, total: int, factor: float, cutoff: int):
             logs[seen] = np.log(own[seen] / context[seen])
             orders[seen] = n
         logs += np.log(factor) * (longest - orders)
-        score = np.bincount(rows, logs, len(lengths))
+        score = np.bincount(rows, logs, len(lengths)).astype(float)
         backed = np.bincount(rows, orders < longest, len(lengths)).astype(np.int64)
         with np.errstate(invalid="ignore", divide="ignore"):
             mean = pa.array(score / lengths, mask=lengths == 0)
