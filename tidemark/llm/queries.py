@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from tidemark.llm import backoff, blocknames, decontaminate, mainhtml, quality, sentencepieces, sharding, simhash, warc
+from tidemark.llm import backoff, blocknames, decontaminate, mainhtml, quality, sentencepieces, sharding, simhash, suffixes, warc
 
 QUERIES = {
     "op1_bradley_terry": quality.op1,
     "op10_stupid_backoff": backoff.op10,
     "op2_warc_chain": warc.op2,
+    "op3_column_suffixes": suffixes.op3,
     "op4_simhash_trie": simhash.op4,
     "op5_extendible_hashing": sharding.op5,
     "op6_block_naming": blocknames.op6,
