@@ -8,10 +8,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import sentencepieces
+from tidemark.llm import blocknames, decontaminate, quality, sentencepieces, simhash
 from tidemark.llm.tables import stored
 
 STAGES = [
+    ("quality", quality.stage),
+    ("exact_dedup", blocknames.stage),
+    ("near_dedup", simhash.stage),
+    ("decontaminate", decontaminate.stage),
     ("sentencepiece", sentencepieces.stage),
 ]
 
