@@ -6,7 +6,7 @@ up costs a factor.  A single word is scored by its count over that of all words.
 
 The tables do not fit anywhere whole, so they are partitioned by n-gram hash:
 
-1. Rows are dealt to chunks of 1,024 consecutive ones.  A chunk explodes into its
+1. Rows are dealt to chunks of 2,048 consecutive ones.  A chunk explodes into its
    distinct n-grams with their counts in it (so a frequent n-gram costs one entry
    a chunk, not one a row) and sends each to the partition of its hash.
 2. A partition sums the counts of its hashes over all chunks and joins the sums
@@ -31,7 +31,7 @@ from tidemark.llm.tables import partitions_for, text_of
 ORDER = 2
 FACTOR = 0.4
 CUTOFF = 2  # an n-gram of two or more words met less often is not in the tables
-CHUNK_BITS = 10
+CHUNK_BITS = 11
 ENTRY_BYTES = 32 << 20  # text whose n-grams share one hash partition
 
 
@@ -80,6 +80,17 @@ def _entries(texts: list[str], order: int) -> tuple[np.ndarray, np.ndarray, list
     return hashes, counts, grams, depth, lengths
 
 
+def _packed(values: np.ndarray, kind: str) -> bytes:
+    """Integers as planes of their bytes, which the shuffle's compression shrinks better."""
+    values = np.ascontiguousarray(values, kind)
+    return values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes()
+
+
+def _unpacked(raw, kind: str) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(size, -1).T).view(kind).ravel()
+
+
 def _ask(order: int, partitions: int):
     def run(key, table):
         hashes, counts, _, _, _ = _entries(table.column("text").to_pylist(), order)
@@ -89,7 +100,7 @@ def _ask(order: int, partitions: int):
         rows = [(i, by[a:b]) for i, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a]
         return pa.table({
             "part": pa.array([i for i, _ in rows], pa.int64()), "chunk": pa.array([key[0].as_py()] * len(rows), pa.int64()),
-            "hashes": pa.array([hashes[at].tobytes() for _, at in rows], pa.binary()), "counts": pa.array([counts[at].astype("<u4").tobytes() for _, at in rows], pa.binary())})
+            "hashes": pa.array([_packed(np.diff(hashes[at], prepend=np.uint64(0)), "<u8") for _, at in rows], pa.binary()), "counts": pa.array([_packed(counts[at], "<u4") for _, at in rows], pa.binary())})
 
     return run
 
@@ -100,8 +111,8 @@ def _answer(batches):
     if not batches:
         return
     table = pa.Table.from_batches(batches)
-    hashes = [np.frombuffer(x.as_buffer(), "<u8") for x in table.column("hashes")]
-    counts = np.concatenate([np.frombuffer(x.as_buffer(), "<u4") for x in table.column("counts")])
+    hashes = [np.cumsum(_unpacked(x.as_buffer(), "<u8")) for x in table.column("hashes")]
+    counts = np.concatenate([_unpacked(x.as_buffer(), "<u4") for x in table.column("counts")])
     every = np.concatenate(hashes)
     order = np.argsort(every, kind="stable")
     sorted_hashes = every[order]
@@ -112,7 +123,7 @@ def _answer(batches):
     cuts = np.cumsum([0] + [len(h) for h in hashes])
     parts, chunks = table.column("part").to_pylist(), table.column("chunk").to_pylist()
     for i, (a, b) in enumerate(zip(cuts, cuts[1:])):
-        yield pa.RecordBatch.from_arrays([pa.array([chunks[i]], pa.int64()), pa.array([parts[i]], pa.int64()), pa.array([found[a:b].tobytes()], pa.binary())], names=["chunk", "part", "sums"])
+        yield pa.RecordBatch.from_arrays([pa.array([chunks[i]], pa.int64()), pa.array([parts[i]], pa.int64()), pa.array([_packed(found[a:b], "<i8")], pa.binary())], names=["chunk", "part", "sums"])
 
 
 def _score(order: int, partitions: int, total: int, factor: float, cutoff: int):
@@ -123,7 +134,7 @@ def _score(order: int, partitions: int, total: int, factor: float, cutoff: int):
         by = np.argsort(to, kind="stable")
         cuts = np.searchsorted(to[by], np.arange(partitions + 1))
         for part, raw in zip(answers.column("part").to_pylist(), answers.column("sums")):
-            sums[by[cuts[part] : cuts[part + 1]]] = np.frombuffer(raw.as_buffer(), "<i8")
+            sums[by[cuts[part] : cuts[part + 1]]] = _unpacked(raw.as_buffer(), "<i8")
         rows = np.repeat(np.arange(len(lengths)), lengths)
         place = [np.searchsorted(hashes, np.where(depth >= n, g, hashes[0] if len(hashes) else 0)) for n, g in enumerate(grams, 1)]
         logs = np.log(sums[place[0]] / max(1, total))
