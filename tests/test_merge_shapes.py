@@ -61,18 +61,28 @@ def test_new_keys_pre_aggregates(spark):
     assert rows(new_keys(inc, old, "k", "ts", alias="created_at")) == [(1, d(2)), (2, d(5))]
 
 
-@pytest.mark.parametrize("split", [True, False])
-def test_as_of_join(spark, split):
+def test_as_of_join(spark):
     versions = spark.createDataFrame([("v", "A", d(1), d(3)), ("v", "B", d(3), None)],
                                      "k string, attr string, valid_from_dttm timestamp_ntz, valid_to_dttm timestamp_ntz")
     stats = spark.createDataFrame([("v", dt.date(2023, 12, 31)), ("v", d(1).date()), ("v", d(2).date()),
                                    ("v", d(3).date()), ("v", d(9).date()), ("w", d(2).date())], "k string, day date")
-    out = as_of_join(stats, versions, "k", "day", split=split)
+    out = as_of_join(stats, versions, "k", "day")
     assert rows(out, "k", "day", "attr") == [
         ("v", dt.date(2023, 12, 31), None), ("v", d(1).date(), "A"), ("v", d(2).date(), "A"),
         ("v", d(3).date(), "B"), ("v", d(9).date(), "B"), ("w", d(2).date(), None)]
 
 
+def test_as_of_join_copies_a_version_to_fact_buckets_only(spark):
+    far = dt.datetime(9999, 12, 31)
+    versions = spark.createDataFrame([("v", "A", dt.datetime(1, 1, 1), far), ("w", "B", d(1), far)],
+                                     "k string, attr string, valid_from_dttm timestamp_ntz, valid_to_dttm timestamp_ntz")
+    facts = spark.createDataFrame([("v", d(5).date()), ("v", d(6).date()), ("w", dt.date(2039, 5, 1))], "k string, day date")
+    out = as_of_join(facts, versions, "k", "day")
+    assert rows(out, "k", "day", "attr") == [("v", d(5).date(), "A"), ("v", d(6).date(), "A"), ("w", dt.date(2039, 5, 1), "B")]
+    plan = out._jdf.queryExecution().toString()
+    assert "__first_bucket" in plan and "__last_bucket" in plan  # clipped at both ends
+
+
 def test_as_of_join_long_history_crosses_buckets(spark):
     versions = spark.createDataFrame([("v", "A", d(1), d(200)), ("v", "B", d(200), None)],
                                      "k string, attr string, valid_from_dttm timestamp_ntz, valid_to_dttm timestamp_ntz")

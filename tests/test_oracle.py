@@ -7,9 +7,8 @@ from conftest import SF01
 from oracle import compare, duck
 
 import __spark_entry__ as entry
-
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+from tidemark.plans.oracle import ORACLE
+from tidemark.plans.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -19,6 +18,7 @@ def con():
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
@@ -32,20 +32,3 @@ def test_entry_smoke(spark):
     assert df.columns == ["user_id", "calendar_dt", "attr", "v", "v_delta"]
     assert df.count() == 397
 
-
-WINDOWED = ["collapse_versions", "scd2_build", "scd2_upsert_no", "scd2_upsert_from_dt", "scd2_upsert_full",
-            "scd2_changes_no", "scd2_changes_from_dt", "scd2_changes_full", "scd2_in_order_equals_full",
-            "daily_delta", "incremental_delta", "late_delta_refresh", "fct_video_daily", "reappeared", "dim_denormalised", "as_of_join"]
-
-
-@pytest.mark.parametrize("name", WINDOWED)
-def test_unsplit_path_matches_oracle(spark, con, name):
-    """Same queries with the default size limit: small inputs take plain per-key windows."""
-    from tidemark.session import DEFAULT_SPLIT_ABOVE, SPLIT_ABOVE_CONF
-
-    spark.conf.set(SPLIT_ABOVE_CONF, str(DEFAULT_SPLIT_ABOVE))
-    try:
-        ok, msg = compare(QUERIES[name](spark, SF01), con, ORACLE[name])
-    finally:
-        spark.conf.set(SPLIT_ABOVE_CONF, "0")
-    assert ok, msg

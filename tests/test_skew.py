@@ -24,7 +24,7 @@ def test_hot_key_lag_is_exact_and_spread(spark):
     assert hot * 4 > total  # the hot key holds about a third of the rows
 
     order = ["l_shipdate", "l_linenumber", "l_quantity"]
-    got = with_previous(df, ["k"], order, {"prev_q": "l_quantity"}, split=True)
+    got = with_previous(df, ["k"], order, {"prev_q": "l_quantity"})
     w = Window.partitionBy("k").orderBy(*order)
     ref = df.withColumn("prev_q", F.lag("l_quantity").over(w))
     assert got.exceptAll(ref).isEmpty() and ref.exceptAll(got).isEmpty()
@@ -38,7 +38,7 @@ def test_hot_key_lag_is_exact_and_spread(spark):
             hot_rows = windowed.withColumn("p", F.spark_partition_id()).where("k = -1")
             return len(hot_rows.groupBy("p").agg(F.sum("prev_q").alias("s")).collect())
 
-        tasks = tasks_of(with_previous(df, ["k"], order, {"prev_q": "l_quantity"}, split=True))
+        tasks = tasks_of(with_previous(df, ["k"], order, {"prev_q": "l_quantity"}))
         plain = tasks_of(ref)
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")

@@ -163,9 +163,11 @@ def test_read_matching_prunes_partitions(spark):
         .withColumn("calendar_dt", F.col("calendar_dt").cast("date"))
     tables.append("ns.f", data)
     rows = data.where("v = 2")
-    got = tables.read_matching("ns.f", rows)
+    got = tables.read_matching("ns.f", rows, ["k", "calendar_dt"])
     plan = got._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(calendar_dt" in plan and got.count() == 1
+    assert "PartitionFilters: [isnotnull(calendar_dt" in plan and "dynamicpruning" in plan and got.count() == 1
+    # a partition column outside the key says nothing about where a match is stored
+    assert tables.read_matching("ns.f", rows, ["k"]).count() == 2
 
 
 def test_declared_quality_columns_exist():

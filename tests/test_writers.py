@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import tempfile
 
 import pytest
@@ -65,16 +66,16 @@ def test_scd2_modes(spark, tables, table):
 
 
 def test_write_errors(spark, tables):
-    with pytest.raises(ValueError, match="write mode"):
+    with pytest.raises(ValueError, match="written in one of the modes"):
         write_scd1(tables, "s.one", _one(spark, [(1, "2024-01-01", "a")]), ["id"], "merge")
     with pytest.raises(ValueError, match="does not exist"):
         write_scd1(tables, "s.none", _one(spark, [(1, "2024-01-01", "a")]), ["id"], "upsert")
-    with pytest.raises(ValueError, match="unique not null"):
+    with pytest.raises(ValueError, match="NULL or repeated"):
         write_scd2(tables, "s.two", _two(spark, [("k", "A", 1), ("k", "B", 1)]), "k", ["k", "valid_from_dttm"], "upsert")
-    with pytest.raises(ValueError, match="do not match"):
+    with pytest.raises(ValueError, match="differ in columns"):
         extra = _two(spark, [("k", "A", 1)]).withColumn("extra", F.lit(1))
         write_scd2(tables, "s.two", extra, "k", ["k", "valid_from_dttm"], "upsert")
-    with pytest.raises(ValueError, match="rebuild history mode"):
+    with pytest.raises(ValueError, match="history can be rebuilt"):
         write_scd2(tables, "s.two", _two(spark, [("k", "A", 1)]), "k", ["k", "valid_from_dttm"], "upsert", "some")
     with pytest.raises(ValueError, match="namespace.table"):
         tables.path("justname")
@@ -100,3 +101,27 @@ def test_default_calendar_span(spark):
     assert cal.count() == 7306
     r = cal.where("calendar_dt = date'2035-01-01'").first()
     assert (r.weekday, r.day_name, r.year_month, r.quarter) == (1, "Monday", "2035-01", 1)
+
+
+def test_a_key_that_changes_partition_keeps_one_row(spark):
+    t = ParquetTables(spark, tempfile.mkdtemp(prefix="writers-"))
+    t.create("s.hub", "id string, created_at timestamp_ntz, processed_dttm timestamp", partition_by="year", partition_expr=F.year("created_at"))
+    hub = lambda at: spark.createDataFrame([("a", dt.datetime(at, 5, 1))], "id string, created_at timestamp_ntz")
+    write_scd1(t, "s.hub", hub(2020), ["id"], "upsert")
+    write_scd1(t, "s.hub", hub(2021), ["id"], "upsert")
+    assert rows(t.read("s.hub"), "id", "created_at") == [("a", dt.datetime(2021, 5, 1))]
+
+
+def test_a_partition_column_outside_the_key(spark, tables):
+    write_scd1(tables, "s.one", _one(spark, [(1, "2024-01-01", "a")]), ["id"], "upsert")
+    write_scd1(tables, "s.one", _one(spark, [(1, "2024-01-02", "b")]), ["id"], "upsert")
+    assert rows(tables.read("s.one"), "id", "v") == [(1, "b")]
+
+
+def test_a_stream_batch_with_a_repeated_key_is_refused(spark, tables, tmp_path):
+    from tidemark.streaming.incremental import merge_new_files
+
+    _one(spark, [(1, "2024-01-01", "a"), (1, "2024-01-01", "b")]).write.parquet(f"{tmp_path}/in")
+    with pytest.raises(Exception, match="duplicate keys"):
+        merge_new_files(spark, f"{tmp_path}/in", "id int, day date, v string", tables, "s.one", ["id", "day"], f"{tmp_path}/c")
+    assert tables.read("s.one").isEmpty()

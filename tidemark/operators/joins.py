@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.history import VALID_FROM, VALID_TO
 from tidemark.operators.ordered import bucket_column
-from tidemark.session import is_large
 
 
 def new_keys(incoming: DataFrame, existing: DataFrame | None, key: str | list[str], first_seen: str,
@@ -34,42 +33,33 @@ def as_of_join(
     valid_to: str = VALID_TO,
     how: str = "left",
     bucket_seconds: float | None = None,
-    split: bool | None = None,
 ) -> DataFrame:
     """Attach to each fact the version valid at ``at``.
 
     Condition: same key, ``valid_from <= at`` and (``valid_to`` is NULL or
     ``at < valid_to``).  Both sides are split by a time bucket of ``at``: each
-    version is repeated once per bucket its interval touches (open intervals up
-    to the key's last fact bucket), and the join is an equi-join on
+    version is repeated once per bucket of its interval that lies between the
+    key's first and last fact bucket, and the join is an equi-join on
     ``(key, bucket)`` plus the interval test.  So a key with very many facts is
-    spread over many tasks and each fact is only tested against the versions of
-    its own bucket.  Inputs whose size estimate is under the split limit (see
-    ``tidemark.session``) take the plain key equi-join with the interval test.
+    spread over many tasks, each fact is only tested against the versions of
+    its own bucket, and an interval that ends in the far future costs nothing.
     """
     vk = version_key or key
     if vk == key:
         versions = versions.withColumnRenamed(vk, "__vkey")
         vk = "__vkey"
-    if split is None:
-        split = is_large(facts, versions)
-    if not split:
-        cond = ((facts[key] == versions[vk]) & (facts[at] >= versions[valid_from])
-                & (versions[valid_to].isNull() | (facts[at] < versions[valid_to])))
-        out = facts.join(versions, cond, how)
-        return out.drop("__vkey") if vk == "__vkey" else out
     fb = bucket_column(facts, at, bucket_seconds)
     facts_b = facts.withColumn("__fbucket", fb)
-    span = facts_b.groupBy(key).agg(F.max("__fbucket").alias("__last_bucket"))
+    span = facts_b.groupBy(key).agg(F.min("__fbucket").alias("__first_bucket"), F.max("__fbucket").alias("__last_bucket"))
     vfrom_b = bucket_column(versions, valid_from, bucket_seconds)
     vto_b = bucket_column(versions, valid_to, bucket_seconds)
     v = (versions
          .join(span.withColumnRenamed(key, vk), vk, "inner")
-         .withColumn("__from_b", vfrom_b)
-         .withColumn("__to_b", F.when(F.col(valid_to).isNull(), F.col("__last_bucket")).otherwise(vto_b))
-         .withColumn("__vbucket", F.explode(F.sequence(F.col("__from_b"),
-                                                      F.greatest(F.col("__from_b"), F.col("__to_b")))))
-         .drop("__from_b", "__to_b", "__last_bucket"))
+         .withColumn("__from_b", F.greatest(vfrom_b, F.col("__first_bucket")))
+         .withColumn("__to_b", F.least(F.coalesce(vto_b, F.col("__last_bucket")), F.col("__last_bucket")))
+         .where(F.col("__from_b") <= F.col("__to_b"))
+         .withColumn("__vbucket", F.explode(F.sequence(F.col("__from_b"), F.col("__to_b"))))
+         .drop("__from_b", "__to_b", "__first_bucket", "__last_bucket"))
     cond = ((facts_b[key] == v[vk]) & (facts_b["__fbucket"] == v["__vbucket"])
             & (facts_b[at] >= v[valid_from])
             & (v[valid_to].isNull() | (facts_b[at] < v[valid_to])))

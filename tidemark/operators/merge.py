@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import PROCESSED_COLUMN, processed_at
-from tidemark.session import is_large, materialize
+from tidemark.session import materialize
 
 OPERATION = "_operation"
 INSERT, UPDATE = "insert", "update"
@@ -25,7 +25,7 @@ WRITE_MODES = ("insert", "upsert", "rewrite")
 
 def validate_write_mode(mode: str) -> None:
     if mode not in WRITE_MODES:
-        raise ValueError(f"unknown write mode {mode!r}, expected one of {list(WRITE_MODES)}")
+        raise ValueError(f"rows are written in one of the modes {list(WRITE_MODES)}, not {mode!r}")
 
 
 def validate_no_duplicate_keys(df: DataFrame, key_columns: Sequence[str]) -> None:
@@ -84,10 +84,10 @@ def scd1_upsert(target: DataFrame, source: DataFrame, key_columns: Sequence[str]
                 processed: _dt.datetime | str | None = None) -> DataFrame:
     """New table content after an upsert; unchanged rows keep their old processing time.
 
-    The change set (at most the size of the input) is checkpointed once since
-    it is read twice.
+    The change set (at most the size of the input) is stored once since it is
+    read twice.
     """
-    changes = materialize(scd1_changes(target, source, key_columns, processed), is_large(target, source))
+    changes = materialize(scd1_changes(target, source, key_columns, processed))
     return apply_scd1(target, changes, key_columns)
 
 

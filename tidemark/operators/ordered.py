@@ -19,8 +19,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.session import is_large
-
 BUCKET = "__bucket"
 
 # Default width of an ordering bucket: 31 days.  Daily snapshots give at most
@@ -44,7 +42,7 @@ def bucket_column(df: DataFrame, order_col: str, width: float | None = None) ->
     if isinstance(dtype, T.TimestampType):
         return F.floor(F.unix_seconds(c) / F.lit(seconds))
     if isinstance(dtype, T.DateType):
-        return F.floor(F.unix_date(c) * F.lit(86400) / F.lit(seconds))
+        return F.floor(F.unix_date(c).cast("bigint") * F.lit(86400) / F.lit(seconds))
     if isinstance(dtype, T.NumericType):
         return F.floor(c / F.lit(width or 1024))
     raise TypeError(f"cannot bucket order column {order_col} of type {dtype.simpleString()}")
@@ -71,7 +69,6 @@ def _shifted(
     direction: int,
     summary_from: DataFrame | None = None,
     summary_order: Sequence[str] | None = None,
-    split: bool | None = None,
 ) -> DataFrame:
     if not keys:
         raise ValueError("at least one key column is required")
@@ -79,16 +76,6 @@ def _shifted(
         raise ValueError("at least one order column is required")
     order_cols = [F.col(c) for c in order]
     shift = F.lag if direction < 0 else F.lead
-    if split is None:
-        split = is_large(df)
-    if not split:
-        # Small input: a whole key fits one task, a plain per-key window is exact.
-        plain = Window.partitionBy(*keys).orderBy(*order_cols)
-        out = df
-        for name, src in values.items():
-            out = out.withColumn(name, shift(src).over(plain))
-        return out
-
     keep_bucket = BUCKET in df.columns
     base = df if keep_bucket else add_bucket(df, keys, order[0], bucket)
     sources = list(dict.fromkeys(values.values()))
@@ -130,21 +117,17 @@ def _shifted(
 
 def with_previous(df: DataFrame, keys: Sequence[str], order: Sequence[str] | str,
                   values: Mapping[str, str], bucket: Column | None = None,
-                  summary_from: DataFrame | None = None, summary_order: Sequence[str] | None = None,
-                  split: bool | None = None) -> DataFrame:
-    """Add ``out = lag(src)`` per key in ``order`` for each ``out: src``; exact.
-
-    ``split`` None decides by the size estimate (see ``tidemark.session``).
-    """
+                  summary_from: DataFrame | None = None, summary_order: Sequence[str] | None = None) -> DataFrame:
+    """Add ``out = lag(src)`` per key in ``order`` for each ``out: src``; exact."""
     order = [order] if isinstance(order, str) else list(order)
-    return _shifted(df, keys, order, values, bucket, -1, summary_from, summary_order, split)
+    return _shifted(df, keys, order, values, bucket, -1, summary_from, summary_order)
 
 
 def with_next(df: DataFrame, keys: Sequence[str], order: Sequence[str] | str,
-              values: Mapping[str, str], bucket: Column | None = None, split: bool | None = None) -> DataFrame:
+              values: Mapping[str, str], bucket: Column | None = None) -> DataFrame:
     """Add ``out = lead(src)`` per key in ``order`` for each ``out: src``; exact."""
     order = [order] if isinstance(order, str) else list(order)
-    return _shifted(df, keys, order, values, bucket, +1, split=split)
+    return _shifted(df, keys, order, values, bucket, +1)
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:

@@ -18,7 +18,7 @@ from tidemark.operators import quality as dq
 from tidemark.operators.history import VALID_FROM, VALID_TO
 from tidemark.operators.slices import Slicer, Watermarks
 from tidemark.plans import layers as L
-from tidemark.session import release_scratch
+from tidemark.session import materialize, scratch_scope
 from tidemark.sources.raw import read_envelopes
 from tidemark.sources.tables import ParquetTables
 from tidemark.sources.writers import write_scd1, write_scd2
@@ -97,15 +97,17 @@ class Warehouse:
 
     # ----------------------------------------------------------------- writes
     def upsert1(self, name: str, rows: DataFrame, keys: list[str]) -> None:
-        """SCD1 upsert; skipped when there is nothing to load.  Keys include the
-        partition column where there is one, so only the partitions of the
-        incoming rows are read."""
+        """SCD1 upsert; skipped when there is nothing to load.  The built rows are
+        stored first, so their plan runs once.  Keys include the partition column
+        where there is one, so only the partitions of the incoming rows are read."""
+        rows = materialize(rows)
         if rows.isEmpty():
             return
         write_scd1(self.tables, name, rows, keys, "upsert", self.processed)
 
     def upsert2(self, name: str, rows: DataFrame, business_key: str, mode: str = "from_dt") -> None:
         """SCD2 upsert with the given rebuild mode; skipped when there is nothing to load."""
+        rows = materialize(rows)
         if rows.isEmpty():
             return
         write_scd2(self.tables, name, rows, business_key, [business_key, VALID_FROM], "upsert", mode, self.processed)
@@ -117,7 +119,7 @@ class Warehouse:
 
     def _raw(self, entity: str, item, date: str) -> DataFrame:
         base = f"{self.raw_root}/{entity}"
-        return read_envelopes(self.spark, f"{base}/ingestion_date={date}", item, base_path=base, multi_line=False)
+        return read_envelopes(self.spark, f"{base}/ingestion_date={date}", item, base_path=base, multi_line=True)
 
     # ----------------------------------------------------------------- bronze
     def load_bronze(self, date: str) -> None:
@@ -191,17 +193,17 @@ class Warehouse:
         stale versions (an optional, heavier step).
         """
         t = self.tables
-        write_scd2(t, "gold.dim_channel", L.build_dim_channel(t.read("silver.h_channel"), t.read("silver.s_channel")),
-                   "channel_id", ["channel_id", VALID_FROM], "rewrite", processed=self.processed)
-        rows = L.build_dim_video(t.read("silver.h_video"), t.read("silver.s_video"), t.read("silver.l_video_channel"),
-                                 t.read("silver.ref_category"))
-        write_scd2(t, "gold.dim_video", rows, "video_id", ["video_id", VALID_FROM], "rewrite", processed=self.processed)
-        release_scratch(self.spark)
+        with scratch_scope(self.spark):
+            write_scd2(t, "gold.dim_channel", L.build_dim_channel(t.read("silver.h_channel"), t.read("silver.s_channel")),
+                       "channel_id", ["channel_id", VALID_FROM], "rewrite", processed=self.processed)
+            rows = L.build_dim_video(t.read("silver.h_video"), t.read("silver.s_video"), t.read("silver.l_video_channel"),
+                                     t.read("silver.ref_category"))
+            write_scd2(t, "gold.dim_video", rows, "video_id", ["video_id", VALID_FROM], "rewrite", processed=self.processed)
 
     def load_day(self, date: str) -> None:
         for step in (lambda: self.load_bronze(date), self.load_silver, self.load_gold):
-            step()
-            release_scratch(self.spark)  # intermediates of the layer are written by now
+            with scratch_scope(self.spark):  # what a layer stores in between is gone when it is written
+                step()
 
     # ----------------------------------------------------------------- quality
     def quality(self, names: list[str] | None = None) -> DataFrame:

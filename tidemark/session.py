@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -58,76 +59,61 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        if not sc.master.startswith("local"):
+        if not (sc.master == "local" or sc.master.startswith("local[")):
             raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
         configured = tempfile.mkdtemp(prefix="tidemark-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
 
-# Inputs estimated (by Catalyst, no job) at or below this many bytes are small
-# enough that a whole key fits one task: per-key windows run unsplit and
-# checkpoints that only avoid recomputation are skipped.  0 forces the split
-# path everywhere (the tests do so).
-SPLIT_ABOVE_CONF = "spark.tidemark.splitAboveBytes"
-DEFAULT_SPLIT_ABOVE = 64 * 1024 * 1024
-
-
-def estimated_bytes(df) -> int:
-    """Catalyst's size estimate of ``df`` (an upper bound in practice: joins
-    multiply, filters do not shrink); unknown sizes count as huge."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - no statistics: treat as large
-        return 2**63 - 1
-
-
-def split_limit(spark) -> int:
-    return int(spark.conf.get(SPLIT_ABOVE_CONF, str(DEFAULT_SPLIT_ABOVE)))
-
-
-def is_large(df, *more) -> bool:
-    """True if the estimates of ``df`` (and ``more``) add up above the split limit."""
-    return sum(estimated_bytes(d) for d in (df, *more)) > split_limit(df.sparkSession)
-
-
-def materialize(df, enabled: bool | str = True):
+def materialize(df):
     """Cut lineage of an intermediate that several plan branches read.
 
-    ``enabled="if_large"`` skips small inputs, for checkpoints whose only
-    purpose is to avoid recomputing an expensive plan (never for the ones that
-    cut a growing lineage).  The rows are written once as a Parquet table in a fresh folder under
+    The rows are written once as a Parquet table in a fresh folder under
     ``spark.checkpoint.dir`` (a shared folder on a cluster, so a lost executor
     loses nothing) and read back: one computation (an eager RDD checkpoint
     computes its plan twice), columnar storage, and column pruning on every
     later read.  Never a machine-local folder on a cluster, never
-    ``localCheckpoint``.
+    ``localCheckpoint``.  The folder belongs to the innermost open
+    ``scratch_scope``, or else to the session until ``release_scratch``.
     """
-    if not enabled:
-        return df
-    if enabled == "if_large" and not is_large(df):
-        return df
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/tidemark-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
-    _SCRATCH.append(path)
+    _SCOPES[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-_SCRATCH: list[str] = []
+# Folders written by ``materialize``: a list for each open scope, innermost last.
+_SCOPES: list[list[str]] = [[]]
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Own the folders that ``materialize`` writes inside; deletes just them at the end."""
+    own: list[str] = []
+    _SCOPES.append(own)
+    try:
+        yield
+    finally:
+        _SCOPES.remove(own)
+        _delete(spark, own)
 
 
 def release_scratch(spark: SparkSession) -> int:
-    """Delete the folders written by ``materialize`` so far; returns how many.
+    """Delete the folders that belong to no scope; returns how many.
 
-    Call it once every DataFrame that reads them has been written or
-    collected (the runner does so after each layer).
+    Call it once every DataFrame that reads them has been written or collected.
     """
+    return _delete(spark, _SCOPES[0])
+
+
+def _delete(spark: SparkSession, paths: list[str]) -> int:
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     released = 0
-    while _SCRATCH:
-        path = jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+    while paths:
+        path = jvm.org.apache.hadoop.fs.Path(paths.pop())
         fs = path.getFileSystem(conf)
         if fs.exists(path):
             fs.delete(path, True)

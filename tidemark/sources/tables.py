@@ -98,23 +98,19 @@ class ParquetTables:
         part, expr = self._partitions.get(name, (None, None))
         return df.drop(part) if part and expr is not None else df
 
-    def read_matching(self, name: str, rows: DataFrame) -> DataFrame:
-        """The table restricted to the partitions ``rows`` fall in.
-
-        Only for tables whose partition column is a plain column that is part
-        of the merge key: a row can then only match stored rows of its own
-        partition.  The partition values of ``rows`` (a bounded list, e.g. the
-        days of a slice) become a literal ``IN`` filter, so the scan prunes
-        folders statically.
+    def read_matching(self, name: str, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+        """The table restricted to the partitions ``rows`` fall in, where that is sound.
+
+        A row can only match stored rows of its own partition if the partition
+        column is a plain column of the merge key; any other table is returned
+        whole.  The restriction is a semi-join on the partition column, which
+        Spark turns into pruning at run time; nothing is collected.
         """
         part, expr = self._partitions.get(name, (None, None))
         table = self.read(name)
-        if not part or expr is not None or part not in rows.columns:
+        if not part or expr is not None or part not in keys or part not in rows.columns:
             return table
-        values = [r[0] for r in rows.select(part).distinct().collect()]
-        if not values:
-            return table.limit(0)
-        return table.where(F.col(part).isin(values))
+        return table.join(rows.select(part).distinct(), part, "left_semi").select(*table.columns)
 
     def partition_of(self, name: str) -> str | None:
         return self._partitions.get(name, (None, None))[0]

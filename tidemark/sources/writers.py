@@ -31,15 +31,15 @@ def write_scd1(tables: ParquetTables, name: str, rows: DataFrame, key_columns: S
         tables.replace(name, m.scd1_rewrite(rows, processed))
     else:
         m.validate_no_duplicate_keys(rows, keys)
-        current = tables.read_matching(name, rows)
+        current = tables.read_matching(name, rows, keys)
         changes = m.scd1_changes(current, rows, keys, processed)
-        tables.merge(name, changes.select(*current.columns, m.OPERATION), lambda t, c: m.apply_scd1(t, c, keys))
+        tables.merge(name, changes.select(*current.columns, m.OPERATION), lambda t, c: m.apply_scd1(t, c, keys), keys=keys)
 
 
 def write_scd2(tables: ParquetTables, name: str, rows: DataFrame, business_key: str, key_columns: Sequence[str],
                mode: str, rebuild: str = "no", processed: _dt.datetime | str | None = None,
                bucket_seconds: float | None = None) -> None:
-    h.validate_write_mode(mode)
+    m.validate_write_mode(mode)
     h.validate_key_columns(business_key, key_columns)
     h.validate_unique_keys(rows, key_columns)
     tables.require(name)

@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark.session import materialize
+
 Handler = Callable[[DataFrame, int], None]
 
 
@@ -48,17 +50,14 @@ def run_available_now(
 def merge_new_files(spark: SparkSession, source_path: str, schema: T.StructType | str, tables, table: str,
                     key_columns: Sequence[str], checkpoint_location: str,
                     transform: Callable[[DataFrame], DataFrame] | None = None) -> StreamingQuery:
-    """Upsert (SCD1) the rows of new files into ``table`` of a ``ParquetTables`` store."""
-    from tidemark.operators.merge import apply_scd1, scd1_changes
+    """Upsert (SCD1) the rows of new files into ``table`` of a ``ParquetTables`` store.
 
-    keys = list(key_columns)
+    A batch that holds a key twice is refused, as any other upsert is.
+    """
+    from tidemark.sources.writers import write_scd1
 
     def handle(batch: DataFrame, epoch_id: int) -> None:
         rows = transform(batch) if transform else batch
-        if rows.isEmpty():
-            return
-        current = tables.read(table)
-        changes = scd1_changes(current, rows, keys)
-        tables.merge(table, changes.select(*current.columns, "_operation"), lambda t, c: apply_scd1(t, c, keys))
+        write_scd1(tables, table, materialize(rows), list(key_columns), "upsert")
 
     return run_available_now(spark, source_path, schema, handle, checkpoint_location)
