@@ -7,8 +7,10 @@ from conftest import SF01
 from oracle import compare, duck
 
 import __spark_entry__ as entry
-from tidemark.plans.oracle import ORACLE
-from tidemark.plans.queries import QUERIES
+from tidemark.plans import oracle as sql, queries, writes
+
+QUERIES = {**queries.QUERIES, **writes.QUERIES}
+ORACLE = {**sql.ORACLE, **writes.ORACLE}
 
 
 @pytest.fixture(scope="module")

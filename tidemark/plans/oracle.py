@@ -37,8 +37,14 @@ def _vin(where: str) -> str:
     return f"SELECT user_id, attr, CAST(calendar_dt AS TIMESTAMP) AS valid_from_dttm FROM snap WHERE {where}"
 
 
-def _scd2(mode: str) -> str:
-    """CTEs tgt, src, scope, rebuilt, ups, closes, dels, final for the late-days scenario."""
+LATE = _vin("day BETWEEN 8 AND 12")
+# The late days sent again, with other values and a day that repeats its predecessor.
+RESENT = """SELECT user_id, CASE WHEN day = 10 THEN 'x' ELSE lower(attr) || (day // 2) END AS attr,
+         CAST(calendar_dt AS TIMESTAMP) AS valid_from_dttm FROM snap WHERE day BETWEEN 8 AND 12"""
+
+
+def _scd2(mode: str, target: str = "day NOT BETWEEN 8 AND 12", source: str = LATE) -> str:
+    """CTEs tgt, src, scope, rebuilt, ups, closes, dels, final; by default for the late-days scenario."""
     if mode == "no":
         scope = """SELECT user_id, attr, valid_from_dttm, valid_to_dttm FROM hist
   QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY valid_from_dttm DESC) = 1"""
@@ -51,8 +57,8 @@ def _scd2(mode: str) -> str:
     else:
         scope = "SELECT user_id, attr, valid_from_dttm, valid_to_dttm FROM hist"
     return f"""WITH {SNAP},
-{_build('tgt', _vin('day <= 20 AND day NOT BETWEEN 8 AND 12'))},
-src AS ({_vin('day BETWEEN 8 AND 12')}),
+{_build('tgt', _vin(target))},
+src AS ({source}),
 touched AS (SELECT user_id, min(valid_from_dttm) AS boundary FROM src GROUP BY user_id),
 hist AS (SELECT t.*, b.boundary FROM tgt t JOIN touched b USING (user_id)),
 scope AS ({scope}),
@@ -86,8 +92,8 @@ final AS (
 )"""
 
 
-def _scd2_upsert_sql(mode: str) -> str:
-    return _scd2(mode) + "\nSELECT user_id, attr, valid_from_dttm, valid_to_dttm FROM final"
+def _scd2_upsert_sql(mode: str, *inputs: str) -> str:
+    return _scd2(mode, *inputs) + "\nSELECT user_id, attr, valid_from_dttm, valid_to_dttm FROM final"
 
 
 def _scd2_changes_sql(mode: str) -> str:
@@ -99,9 +105,9 @@ UNION ALL SELECT user_id, CAST(NULL AS VARCHAR), valid_from_dttm, CAST(NULL AS T
 
 PAIRS = """
 tgt AS (SELECT user_id, event_type, count(*) AS cnt FROM events
-        WHERE ts >= TIMESTAMP '2024-01-01' AND ts < TIMESTAMP '2024-01-06' GROUP BY 1, 2),
+        WHERE ts >= TIMESTAMP '2024-01-01' AND ts < TIMESTAMP '2024-01-19' GROUP BY 1, 2),
 src AS (SELECT user_id, event_type, count(*) AS cnt FROM events
-        WHERE ts >= TIMESTAMP '2024-01-04' AND ts < TIMESTAMP '2024-01-09' GROUP BY 1, 2)"""
+        WHERE ts >= TIMESTAMP '2024-01-14' AND ts < TIMESTAMP '2024-01-31' GROUP BY 1, 2)"""
 
 
 def _links(where: str) -> str:
@@ -111,7 +117,7 @@ def _links(where: str) -> str:
 
 DISAPPEAR = f"""WITH {SNAP},
 s AS (SELECT *, user_id % 10 AS cohort_id FROM snap),
-hist AS (SELECT * FROM s WHERE day <= 24),
+hist AS (SELECT * FROM s WHERE day <= 28),
 links AS (SELECT DISTINCT user_id, cohort_id FROM hist),
 hubs AS (SELECT user_id, min(CAST(calendar_dt AS TIMESTAMP)) AS created_at FROM hist GROUP BY user_id),
 {_build('versions', "SELECT user_id, attr, CAST(calendar_dt AS TIMESTAMP) AS valid_from_dttm FROM hist")},
@@ -228,12 +234,12 @@ WHERE t.user_id IS NULL OR s.cnt IS DISTINCT FROM t.cnt""",
     "scd1_insert": f"WITH {PAIRS} SELECT user_id, event_type, cnt FROM tgt UNION ALL SELECT user_id, event_type, cnt FROM src",
     "scd1_rewrite": f"WITH {PAIRS} SELECT user_id, event_type, cnt FROM src",
     "slice_after_watermark": "SELECT event_id, ts, user_id, event_type FROM events WHERE ts > TIMESTAMP '2024-01-20 00:00:00'",
-    "disappeared": DISAPPEAR + _missing(25, 25),
-    "disappeared_two_days": DISAPPEAR + _missing(25, 26),
+    "disappeared": DISAPPEAR + _missing(29, 29),
+    "disappeared_two_days": DISAPPEAR + _missing(29, 30),
     "reappeared": DISAPPEAR + f""",
-gone AS ({_missing(25, 25)})
+gone AS ({_missing(29, 29)})
 SELECT s.user_id, s.attr, CAST(s.calendar_dt AS TIMESTAMP) AS valid_from_dttm
-FROM s JOIN gone g USING (user_id) WHERE s.day = 26""",
+FROM s JOIN gone g USING (user_id) WHERE s.day = 30""",
     "as_of_join": f"""WITH {SNAP}, {_build('b', _vin('true'))}
 SELECT s.user_id, s.calendar_dt, s.v, b.attr FROM snap s LEFT JOIN b
   ON s.user_id = b.user_id AND CAST(s.calendar_dt AS TIMESTAMP) >= b.valid_from_dttm

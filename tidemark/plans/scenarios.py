@@ -15,13 +15,13 @@ from tidemark.session import materialize
 
 # Fixed values of the scenarios (days of the 30-day event window).
 LATE_DAYS = (8, 12)          # days held back and loaded late
-LATE_TARGET_LAST_DAY = 20    # target of the late-days scenario: days 1..20 minus the late days
+LATE_TARGET_LAST_DAY = 30    # target of the late-days scenario: days 1..30 minus the late days
 IN_ORDER_SPLIT_DAY = 20      # in-order load: days <= 20, then days > 20
 LINK_SPLIT_DAY = 10          # links of days 1..10 exist, later days bring new ones
-SCD1_TARGET_DAYS = (1, 5)
-SCD1_SOURCE_DAYS = (4, 8)
+SCD1_TARGET_DAYS = (1, 18)
+SCD1_SOURCE_DAYS = (14, 30)
 WATERMARK = "2024-01-20 00:00:00"
-DISAPPEAR_DAY = 25
+DISAPPEAR_DAY = 29
 DELTA_SPLIT_DAY = 20
 REAGGREGATE_AFTER_DAY = 28
 LATE_DELTA_DAY = 15          # loaded after every other day
