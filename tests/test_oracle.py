@@ -7,10 +7,10 @@ from conftest import SF01
 from oracle import compare, duck
 
 import __spark_entry__ as entry
-from tidemark.plans import oracle as sql, queries, writes
+from tidemark.plans import layer_queries, oracle as sql, queries, writes
 
-QUERIES = {**queries.QUERIES, **writes.QUERIES}
-ORACLE = {**sql.ORACLE, **writes.ORACLE}
+QUERIES = {**queries.QUERIES, **layer_queries.QUERIES, **writes.QUERIES}
+ORACLE = {**sql.ORACLE, **layer_queries.ORACLE, **writes.ORACLE}
 
 
 @pytest.fixture(scope="module")
