@@ -125,3 +125,16 @@ def test_a_stream_batch_with_a_repeated_key_is_refused(spark, tables, tmp_path):
     with pytest.raises(Exception, match="duplicate keys"):
         merge_new_files(spark, f"{tmp_path}/in", "id int, day date, v string", tables, "s.one", ["id", "day"], f"{tmp_path}/c")
     assert tables.read("s.one").isEmpty()
+
+
+def test_a_replacement_that_fails_leaves_the_old_table(spark, tables):
+    import os
+
+    write_scd1(tables, "s.one", _one(spark, [(1, "2024-01-01", "a")]), ["id", "day"], "insert")
+    with pytest.raises(Exception, match="boom"):
+        tables.replace("s.one", tables.read("s.one").withColumn("v", F.raise_error(F.lit("boom")).cast("string")))
+    assert rows(tables.read("s.one"), "id", "v") == [(1, "a")]
+    os.rename(tables.path("s.one"), tables._aside("s.one"))  # as between the two renames
+    assert rows(tables.read("s.one"), "id", "v") == [(1, "a")]
+    tables.replace("s.one", tables.read("s.one").withColumn("v", F.lit("b")))
+    assert rows(tables.read("s.one"), "id", "v") == [(1, "b")]

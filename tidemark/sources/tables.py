@@ -11,6 +11,7 @@ before the overwrite, so a table may be read and replaced by the same job.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -55,7 +56,10 @@ class ParquetTables:
     # ----------------------------------------------------------- tables
     def exists(self, name: str) -> bool:
         fs, p = self._fs(self.path(name))
-        return bool(fs.exists(p))
+        if not fs.exists(p):  # a replacement that failed between its renames
+            aside = self._fs(self._aside(name))[1]
+            return bool(fs.exists(aside) and fs.rename(aside, p))
+        return True
 
     def require(self, name: str) -> None:
         if not self.exists(name):
@@ -125,9 +129,26 @@ class ParquetTables:
         self._writer(name, df, "append").parquet(self.path(name))
 
     def replace(self, name: str, df: DataFrame) -> None:
-        """Whole-content replacement (checkpointed first, so ``df`` may read the table)."""
+        """Whole-content replacement; ``df`` may read the table.
+
+        The new content is written beside the table and then takes its place by
+        two renames.  A failure leaves the old table, or its set-aside copy, which
+        the next access puts back.
+        """
         self.require(name)
-        self._writer(name, materialize(df.select(*self.read(name).columns)), "overwrite").parquet(self.path(name))
+        fresh = f"{self._aside(name)}-{uuid.uuid4().hex}"
+        self._writer(name, df, "errorifexists").parquet(fresh)
+        fs, table = self._fs(self.path(name))
+        aside, new = self._fs(self._aside(name))[1], self._fs(fresh)[1]
+        fs.delete(aside, True)
+        if not (fs.rename(table, aside) and fs.rename(new, table)):
+            raise OSError(f"{name} could not be replaced")
+        fs.delete(aside, True)
+        self.spark.catalog.refreshByPath(self.path(name))
+
+    def _aside(self, name: str) -> str:
+        ns, table = name.split(".")
+        return f"{self.root}/{ns}/_{table}.replaced"
 
     def merge(self, name: str, changes: DataFrame, apply: Apply, keys: Sequence[str] | None = None) -> None:
         """Apply a change set: only the partitions it touches are rewritten.
