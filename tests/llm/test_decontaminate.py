@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter
 
+import pytest
 from llm.helpers import DOCS, frame, words
 
 from tidemark.llm import decontaminate
@@ -60,7 +61,9 @@ def case():
     return rows, items
 
 
-def test_against_brute_force(spark):
+@pytest.mark.parametrize("broadcast", [1_000_000, 0])
+def test_against_brute_force(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(decontaminate, "BROADCAST", broadcast)
     rows, items = case()
     docs = frame(spark, rows)
     matches = decontaminate.contaminated(docs, spark.createDataFrame(items, "item_id bigint, text string"))

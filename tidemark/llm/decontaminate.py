@@ -11,9 +11,10 @@ windows of its own number of words, at every start in a document:
 3. The weighted shingle similarity (shingles with their counts: the sum of the
    lesser counts over that of the greater) of the found pairs decides.
 
-Texts are joined by SHA-256, so the copies of a text are searched once.  The
-tables of item shingles and blocks are stored, so Spark broadcasts them only
-while their size is under its threshold and shuffles otherwise.
+Texts are named by SHA-256, so the copies of a text are searched once.  A counted,
+bounded number of item shingles is broadcast, so texts without a hit are never
+shuffled; more are joined.  The tables of items are stored, so
+Spark broadcasts them only while their size is under its threshold.
 
 Defined results: null or empty texts and items match nothing; an item of fewer
 words than a shingle has one shingle, the whole of it; a document shorter than
@@ -33,6 +34,7 @@ WORDS = 5
 SIMILARITY = 0.8
 # Similarity 0.8 puts 9.7 of 64 bits at odds on average (sd 2.9); 20 is 3.6 sd above.
 RADIUS = 20
+BROADCAST = 1_000_000  # item shingles, of 8 bytes each, up to which they are broadcast
 
 
 def words_of(text: str = "text") -> Column:
@@ -86,13 +88,14 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", item
     its SHA-256, and item that a window matches; the best window, the first of equals."""
     items = _items(items, item_id, text, words)
     sizes = [r[0] for r in items.select("k").distinct().collect()]  # at most ``words`` numbers
-    texts = docs.select(F.sha2(text_of(text), 256).alias("key"), words_of(text).alias("words"))
-    hits = [_hits(texts, items, k) for k in sizes]
-    if not hits:
+    if not sizes:
         return docs.sparkSession.createDataFrame([], "key string, item bigint, similarity double, start int, n_words int, n_windows bigint")
-    hits = stored(reduce(DataFrame.unionByName, hits).distinct(), "hits")
-    texts = texts.join(hits.select("key").distinct(), "key", "left_semi").groupBy("key").agg(F.first("words").alias("words"))
+    known = stored(items.select("k", "size", F.explode("hashes").alias("h")).distinct(), "item-shingles")
+    texts = docs.select(F.sha2(text_of(text), 256).alias("key"), words_of(text).alias("words"))
+    texts = _with_hits(texts, known, sizes).withColumns({f"h{k}": _hashes("words", k) for k in sizes})
     texts = stored(texts.withColumn("length", F.size("words")), "hit-texts")
+    hits = [texts.select("key", F.posexplode(f"h{k}").alias("pos", "h")).withColumn("k", F.lit(k)) for k in sizes]
+    hits = reduce(DataFrame.unionByName, hits).join(known, ["k", "h"]).select("key", "size", "k", "pos").distinct()
 
     # Every window of an item's size that holds one of its shingles.
     start = F.sequence(F.greatest(F.lit(0), F.least(F.col("pos") - (F.col("size") - F.col("k")), F.col("length") - F.col("size"))),
@@ -101,7 +104,7 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", item
     windows = stored(windows, "windows")
     prints = []
     for k in sizes:
-        own = texts.select("key", _hashes("words", k).alias("hashes"))
+        own = texts.select("key", F.col(f"h{k}").alias("hashes"))
         cut = windows.where(F.col("k") == k).join(own, "key").select("key", "size", "start", F.explode(F.expr(f"slice(hashes, start + 1, size - {k} + 1)")).alias("h"))
         prints.append(_simhash(cut, "key", "size", "start"))
     prints = reduce(DataFrame.unionByName, prints)
@@ -110,11 +113,21 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", item
     found = prints.withColumn("b", F.explode(_blocks(radius))).select("key", "size", "start", "fp", "b.*").join(index, ["size", "block", "value"])
     found = found.where(F.expr(f"bit_count(fp ^ item_fp) <= {radius}")).select("key", "start", "item").distinct()
 
+    # No more shingles can be shared than those that are not known to be missing.  What
+    # this leaves is stored, or else Spark would join the exact test to the same filter.
+    near = []
+    for k in sizes:
+        pairs = found.join(items.where(F.col("k") == k).select("item", "size", F.col("hashes").alias("theirs")), "item").join(texts.select("key", F.col(f"h{k}").alias("hashes")), "key")
+        pairs = pairs.withColumn("ours", F.expr(f"slice(hashes, start + 1, size - {k} + 1)"))
+        most = F.size("ours") - F.size(F.array_except("ours", "theirs"))
+        near.append(pairs.where(most >= similarity * (F.size("ours") + F.size("theirs") - most)).select("key", "start", "item"))
+    near = stored(reduce(DataFrame.unionByName, near), "near")
+
     matches = []
     for k in sizes:
-        of_items = items.where(F.col("k") == k).select("item", "size", _shingles("words", k, lambda *w: F.concat_ws(" ", *w)).alias("theirs"))
-        pairs = found.join(of_items, "item").join(texts.select("key", "words"), "key")
-        pairs = pairs.withColumn("window", F.expr("slice(words, start + 1, size)")).withColumn("ours", _shingles("window", k, lambda *w: F.concat_ws(" ", *w)))
+        pairs = near.join(items.where(F.col("k") == k).select("item", "size", F.col("words").alias("item_words")), "item").join(texts.select("key", "words"), "key")
+        text_shingles = lambda c: _shingles(c, k, lambda *w: F.concat_ws(" ", *w))  # noqa: E731, B023
+        pairs = pairs.withColumn("window", F.expr("slice(words, start + 1, size)")).withColumns({"ours": text_shingles("window"), "theirs": text_shingles("item_words")})
         pairs = pairs.select("key", "item", "start", F.col("size").alias("n_words"), _bag("ours").alias("ours"), _bag("theirs").alias("theirs"))
         both = F.size(F.array_intersect("ours", "theirs"))
         pairs = pairs.withColumn("similarity", both / (F.size("ours") + F.size("theirs") - both))
@@ -123,11 +136,21 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", item
     return best.select("key", "item", "b.similarity", (-F.col("b.col2")).alias("start"), "b.n_words", "n_windows")
 
 
-def _hits(texts: DataFrame, items: DataFrame, k: int) -> DataFrame:
-    """(key, size, k, pos) where a text holds a shingle of some item of that size."""
-    known = stored(items.where(F.col("k") == k).select("size", F.explode("hashes").alias("h")).distinct(), "item-shingles")
-    at = texts.select("key", F.posexplode(_hashes("words", k)).alias("pos", "h"))
-    return at.join(known, "h").select("key", "size", F.lit(k).alias("k"), "pos")
+def _with_hits(texts: DataFrame, known: DataFrame, sizes: list[int]) -> DataFrame:
+    """The different texts (key, words) that hold a shingle of some item.
+
+    Up to ``BROADCAST`` shingles are broadcast: a text's hits then collapse to one row
+    where it is read, and only texts with a hit are shuffled.  With more, the keys of
+    texts with a hit are found first and joined with the texts.
+    """
+    per_k = {k: known.where(F.col("k") == k).select("h").distinct() for k in sizes}
+    if sum(x.count() for x in per_k.values()) <= BROADCAST:
+        found = [texts.select("key", "words", F.explode(_hashes("words", k)).alias("h")).join(F.broadcast(per_k[k]), "h", "left_semi") for k in sizes]
+        found = reduce(DataFrame.unionByName, found).select("key", "words")
+    else:
+        keys = [texts.select("key", F.explode(_hashes("words", k)).alias("h")).join(per_k[k], "h", "left_semi").select("key") for k in sizes]
+        found = texts.join(stored(reduce(DataFrame.unionByName, keys).distinct(), "hit-keys"), "key", "left_semi")
+    return stored(found.groupBy("key").agg(F.first("words").alias("words")), "hit-words")
 
 
 def decontaminate(docs: DataFrame, matches: DataFrame, text: str = "text") -> DataFrame:
