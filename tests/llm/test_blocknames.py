@@ -52,3 +52,16 @@ def test_empty_table_and_stage(spark):
     assert kept.columns == docs.columns
     texts = [r.text or "" for r in kept.collect()]
     assert sorted(texts) == sorted({r[1] or "" for r in awkward()})
+
+
+def test_stored_tables_are_released(spark):
+    from tidemark.llm.tables import release_stored, stored
+
+    release_stored(spark)
+    kept = stored(frame(spark), "t")
+    path = kept.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file:")
+    assert kept.count() == len(awkward())
+    assert release_stored(spark) == 1
+    import os
+
+    assert not os.path.exists(path)

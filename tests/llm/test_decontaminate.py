@@ -75,7 +75,7 @@ def test_against_brute_force(spark, monkeypatch, broadcast):
 def test_stage_drops_only_what_matches(spark, tmp_path):
     rows, items = case()
     spark.createDataFrame(items, "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
-    docs = frame(spark, rows).withColumnsRenamed({"lang": "key", "source": "start"})
+    docs = frame(spark, rows).withColumnsRenamed({"lang": "key", "source": "__key"})
     kept = decontaminate.stage(spark, docs, str(tmp_path))
     assert kept.columns == docs.columns
     bad = {d for d, _ in brute(rows, items)}

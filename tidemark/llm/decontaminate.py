@@ -155,7 +155,8 @@ def _with_hits(texts: DataFrame, known: DataFrame, sizes: list[int]) -> DataFram
 
 def decontaminate(docs: DataFrame, matches: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` without the rows whose text has a match."""
-    return docs.join(matches.select(F.col("key").alias("__key")).distinct(), F.sha2(text_of(text), 256) == F.col("__key"), "left_anti")
+    name = "__key" + "_" * max(map(len, docs.columns))
+    return docs.join(matches.select(F.col("key").alias(name)).distinct(), F.sha2(text_of(text), 256) == F.col(name), "left_anti")
 
 
 def op9(spark, sf_dir: str) -> DataFrame:
