@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.tables import stored, text_of
+from tidemark.llm.tables import map_texts, small, stored, text_of
 
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""", re.S)
 ATTRIBUTE = re.compile(r"""(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
@@ -195,7 +195,7 @@ def consensus_paths(pages: DataFrame, url: str = "url", html: str = "html") -> D
     source = pages.select(_host(url).alias("host"), text_of(html).alias("html"))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             rows = []
             for host, text in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True):
                 found = containers(text)
@@ -205,7 +205,7 @@ def consensus_paths(pages: DataFrame, url: str = "url", html: str = "html") -> D
             types = [pa.string(), pa.string(), pa.float64(), pa.int32()]
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], types[i]) for i in range(4)], names=names)
 
-    votes = source.mapInArrow(score, "host string, path string, score double, vote int")
+    votes = map_texts(source, score, "host string, path string, score double, vote int")
     votes = votes.groupBy("host", "path").agg(F.sum("vote").alias("votes"), F.sum("score").alias("score"))
     return votes.groupBy("host").agg(F.max(F.struct("votes", "score", "path")).alias("b")).select("host", "b.path", "b.votes")
 
@@ -217,12 +217,12 @@ def main_texts(pages: DataFrame, keep: tuple[str, ...] = ("page_id", "url"), url
     schema = ", ".join([f"`{c}` {t}" for c, t in source.dtypes if c not in ("__html", "__path")] + ["text string", "n_chars bigint"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             texts = [extract(h, p) for h, p in zip(batch.column("__html").to_pylist(), batch.column("__path").to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(texts, pa.string()), pa.array([len(x) for x in texts], pa.int64())],
                                              names=[*keep, "text", "n_chars"])
 
-    return source.mapInArrow(run, schema)
+    return map_texts(source, run, schema)
 
 
 def op7(spark, sf_dir: str) -> DataFrame:

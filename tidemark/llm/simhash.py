@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
-from tidemark.llm.tables import numbered, partitions_for, stored, text_of
+from tidemark.llm.tables import map_texts, numbered, partitions_for, small, stored, text_of
 
 WORDS = 3
 MAX_BITS = 3
@@ -61,11 +61,11 @@ def fingerprints(docs: DataFrame, keep: tuple[str, ...], text: str = "text", wor
     schema = ", ".join([f"`{c}` {t}" for c, t in source.dtypes if c != "__text"] + ["fp bigint"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             found = np.array([fingerprint(x, words) for x in batch.column("__text").to_pylist()], np.uint64)
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(found.view(np.int64))], names=[*keep, "fp"])
 
-    return source.mapInArrow(run, schema)
+    return map_texts(source, run, schema)
 
 
 def _walk(values: np.ndarray, depth: int, a: np.ndarray, b: np.ndarray, budget: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
