@@ -4,6 +4,8 @@ import hashlib
 import random
 from collections import Counter
 
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from llm.helpers import awkward, frame, words
 
@@ -50,6 +52,31 @@ def test_against_brute_force(spark, monkeypatch, length, gram, hot):
         assert hashlib.sha256(bytes(r.kept)).hexdigest() == r.kept_sha256 and sum(b - a for a, b in r.spans) == r.n_removed
 
 
+def test_one_passage_with_many_neighbours_is_dealt_out(spark, monkeypatch):
+    monkeypatch.setattr(suffixes, "CHUNK_BITS", 4)
+    rng = random.Random(3)
+    passage = words(rng, 30)
+    rows = [(i, words(rng, 20) + passage + words(rng, 20), None, None, None) for i in range(200)]
+    # What a partition gets of one anchor, or of one half of the passage, must not grow with the documents.
+    held = spark.sparkContext.accumulator(0)
+    compared = suffixes.repeated_starts
+
+    def counting(before, starts, raw, length, gram):
+        held.add(max(0, len(raw) - 24))
+        return compared(before, starts, raw, length, gram)
+
+    monkeypatch.setattr(suffixes, "repeated_starts", counting)
+    texts = pa.table({"text": pa.array([r[1] for r in rows])})
+    asked = pa.table(suffixes._ask(40, 13, 3)((pa.scalar(0),), texts))
+    counted = pa.Table.from_batches(suffixes._count(8)(asked.sort_by("part").to_batches()))
+    sent = suffixes._send(40, 13, 3)((pa.scalar(0),), texts, counted)
+    for part in range(3):
+        list(suffixes._compare(40, 13, 16)(sent.filter(pc.equal(sent.column("part"), part)).to_batches()))
+    assert held.value == 0
+    got = suffixes.remove_repeats(frame(spark, rows), length=40, gram=13, partitions=3, hot=8, at_once=16).collect()
+    assert sorted(str((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256)) for r in got) == brute(rows, 40)
+
+
 @pytest.mark.parametrize("bits", [10, 13, 18])
 def test_every_string_has_one_anchor(bits):
     rng = random.Random(0)

@@ -25,8 +25,9 @@ collection as the longest one has bytes; alignment at anchors bounds the rounds
 3 * LENGTH and a round's work by the documents that have that column.
 
 Work is dealt to hash partitions and to chunks of consecutive rows; copies within
-a chunk cost one entry.  An anchor with more than ``HOT`` contexts is dealt by the
-longer of the two halves that a match must share, which are two further hashes.
+a chunk cost one entry.  The strings of an anchor with more than ``HOT`` contexts are
+not put in columns: each is dealt by a 128-bit hash of its own, counted in its chunk
+first, so that no task holds what one anchor or one half of a passage has in common.
 
 Defined results: a null text is empty; a text shorter than ``LENGTH`` loses
 nothing; repeated rows are documents of their own, so long ones vanish whole; null
@@ -39,6 +40,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -149,6 +151,19 @@ class Chunk:
         cuts = np.searchsorted(to[by], np.arange(partitions + 1))
         return [(i, by[a:b]) for i, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a]
 
+    def strings(self, entries: list[int], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of every string of these entries' contexts: the entry, its number there, and its
+        hash as a row of two numbers."""
+        of, numbers, digests = [], [], []
+        for e in entries:
+            i = self.example[e]
+            text, first, n = self.texts[self.doc[i]], int(self.first[i]), int(self.last[i] - self.first[i]) + 1
+            of.append(np.full(n, e))
+            numbers.append(np.arange(n))
+            digests += [xxhash.xxh3_128_digest(text[s : s + length]) for s in range(first, first + n)]
+        none = np.zeros(0, np.int64)
+        return np.concatenate([none, *of]), np.concatenate([none, *numbers]), np.frombuffer(b"".join(digests), "<u8").reshape(-1, 2)
+
     def back(self, partitions: int, rows: list[tuple[int, np.ndarray]], kind) -> np.ndarray:
         """Values by entry from the partitions' answers."""
         out = np.zeros(len(self.keys), kind)
@@ -186,7 +201,22 @@ def _grouped(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return number, first, np.bincount(number, counts).astype(np.int64), by[new]
 
 
-NONE, REPEATED, SEND, SEND_HALVES = range(4)
+NONE, REPEATED, SEND, SEND_STRINGS = range(4)
+CONTEXT, STRINGS = range(2)  # kinds of rows sent
+
+
+def _codes(keys: np.ndarray, counts: np.ndarray, hot: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each entry: what its chunk does with its context, whether the anchor is hot, and the context's copies."""
+    number, first, copies, examples = _grouped(keys, counts)
+    hashes = keys[examples, 0]  # of the contexts, in order
+    new = np.concatenate([[True], hashes[1:] != hashes[:-1]])
+    group = np.cumsum(new) - 1
+    occurrences, contexts = np.bincount(group, copies), np.bincount(group)
+    own = group[number]
+    strings = contexts[own] > hot
+    # All strings of a hot anchor's context that has copies are known to be repeated; it is still sent once, to be counted.
+    code = np.where(occurrences[own] < 2, NONE, np.where(~first, REPEATED, np.where(strings, SEND_STRINGS, SEND))).astype(np.uint8)
+    return code, strings, copies[number]
 
 
 def _count(hot: int):
@@ -198,15 +228,9 @@ def _count(hot: int):
             return
         table = pa.Table.from_batches(batches)
         keys, counts, cuts = _entries(table)
-        number, first, copies, examples = _grouped(keys, counts)
-        hashes = keys[examples, 0]  # of the contexts, in order
-        new = np.concatenate([[True], hashes[1:] != hashes[:-1]])
-        group = np.cumsum(new) - 1
-        occurrences, contexts = np.bincount(group, copies), np.bincount(group)
-        own = group[number]
-        code = np.where(occurrences[own] < 2, NONE, np.where(~first, REPEATED, np.where(contexts[own] > hot, SEND_HALVES, SEND))).astype(np.uint8)
+        code, _, copies = _codes(keys, counts, hot)
         parts, chunks = table.column("part").to_pylist(), table.column("chunk").to_pylist()
-        weight = copies[number].astype("<i8")
+        weight = copies.astype("<i8")
         for i, (a, b) in enumerate(zip(cuts, cuts[1:])):
             yield pa.RecordBatch.from_arrays([pa.array([chunks[i]], pa.int64()), pa.array([parts[i]], pa.int64()), pa.array([code[a:b].tobytes()], pa.binary()),
                                               pa.array([weight[a:b].tobytes()], pa.binary())], names=["chunk", "part", "codes", "copies"])
@@ -215,31 +239,31 @@ def _count(hot: int):
 
 
 def _send(length: int, gram: int, partitions: int):
-    """The contexts a chunk was asked for, to the partition of their anchor (kind 0) or,
-    of a hot anchor, to those of its two halves (kinds 1 and 2)."""
+    """The contexts a chunk was asked for, to the partition of their anchor, and, of hot
+    anchors, the hashes and counts of their strings, each to the partition of its hash."""
 
     def run(key, texts, answers):
         c = Chunk(texts.column("text").to_pylist(), length, gram)
         of = answers.column("part").to_pylist()
         codes = c.back(partitions, [(p, np.frombuffer(x.as_buffer(), np.uint8)) for p, x in zip(of, answers.column("codes"))], np.uint8)
         copies = c.back(partitions, [(p, np.frombuffer(x.as_buffer(), "<i8")) for p, x in zip(of, answers.column("copies"))], np.int64)
-        half = (length - gram) // 2
-        rows = {}
-        for e in np.flatnonzero(codes >= SEND).tolist():
+        chunk, flat = key[0].as_py(), []
+        for e in np.flatnonzero(codes == SEND).tolist():
             i = c.example[e]
             text, place, first, last = c.texts[c.doc[i]], int(c.place[i]), int(c.first[i]), int(c.last[i])
             home = int(c.keys[e, 0] % np.uint64(partitions))
-            row = (home, int(c.keys[e, 0]), int(c.keys[e, 1]), place - first, last - first + 1, int(copies[e]), text[first : last + length])
-            to = [(home, 0)]
-            if codes[e] == SEND_HALVES:
-                # A match reaches over half of what it has beside the anchor to one side at least.
-                left, right = text[max(0, place - half) : place + gram], text[place : place + gram + half]
-                to = [(xxhash.xxh3_64_intdigest(s) % partitions, kind) for kind, s in ((1, left), (2, right)) if len(s) == gram + half]
-            for t in to:
-                rows.setdefault(t, []).append(row)
-        flat = [(part, kind, *row) for (part, kind), own in rows.items() for row in own]
+            flat.append((home, CONTEXT, chunk, int(c.keys[e, 0]), int(c.keys[e, 1]), place - first, last - first + 1, int(copies[e]), text[first : last + length]))
+        entry, _, digests = c.strings(np.flatnonzero(codes == SEND_STRINGS).tolist(), length)
+        if len(entry):
+            number, _, counts, examples = _grouped(digests, copies[entry])
+            distinct = digests[examples]
+            to = (distinct[:, 0] % np.uint64(partitions)).astype(np.int64)
+            for part in np.unique(to).tolist():
+                # Two are as good as more: a string's count only says whether it is repeated.
+                own = to == part
+                flat.append((part, STRINGS, chunk, 0, 0, 0, 0, 0, np.minimum(counts[own], 2).astype(np.uint8).tobytes() + distinct[own].tobytes()))
         kinds = [pa.int64(), pa.int32(), pa.int64(), pa.uint64(), pa.uint64(), pa.int32(), pa.int32(), pa.int64(), pa.binary()]
-        names = ["part", "kind", "home", "hash", "digest", "before", "starts", "copies", "bytes"]
+        names = ["part", "kind", "chunk", "hash", "digest", "before", "starts", "copies", "bytes"]
         out = {n: pa.array([r[i] for r in flat], k) for i, (n, k) in enumerate(zip(names, kinds, strict=True))}
         for n in ("hash", "digest"):
             out[n] = out[n].view(pa.int64())
@@ -292,20 +316,43 @@ def repeated_starts(before: np.ndarray, starts: np.ndarray, raw: list[bytes], le
     return flags
 
 
+def _repeated_strings(table: pa.Table) -> pa.RecordBatch:
+    """Of the strings each chunk sent, the hashes of those that stand more than once."""
+    raw = [np.frombuffer(x.as_buffer(), np.uint8) for x in table.column("bytes")]
+    sizes = [len(x) // 17 for x in raw]
+    keys = np.concatenate([x[n:].view("<u8").reshape(-1, 2) for x, n in zip(raw, sizes)])
+    number, _, copies, _ = _grouped(keys, np.concatenate([x[:n] for x, n in zip(raw, sizes)]))
+    found, cuts = copies[number] > 1, np.cumsum([0, *sizes])
+    rows = [keys[a:b][found[a:b]].tobytes() for a, b in zip(cuts, cuts[1:])]
+    n = table.num_rows
+    none = pa.array([0] * n, pa.int64())
+    return pa.RecordBatch.from_arrays([table.column("part").combine_chunks(), pa.array([STRINGS] * n, pa.int32()), table.column("chunk").combine_chunks(), none, none, pa.array(rows, pa.binary())], names=FOUND)
+
+
+FOUND = ["home", "kind", "chunk", "hash", "digest", "flags"]
+
+
 def _compare(length: int, gram: int, at_once: int):
-    """Arrow map over a partition of contexts: (home, hash, digest, flags as packed bits)."""
+    """Arrow map over a partition of what was sent: of a context its flags as packed bits,
+    of a chunk's strings the hashes of the repeated ones."""
 
     def run(batches):
         batches = [b for b in batches if b.num_rows]
         if not batches:
             return
-        table = pa.Table.from_batches(batches).sort_by([("kind", "ascending"), ("hash", "ascending")])
-        kind, hashes = table.column("kind").to_numpy(), table.column("hash").to_numpy()
-        # An anchor's contexts stay together; small anchors share a construction.
-        change = np.flatnonzero(np.concatenate([[True], (hashes[1:] != hashes[:-1]) | (kind[1:] != kind[:-1])]))
+        table = pa.Table.from_batches(batches)
+        strings = table.filter(pc.equal(table.column("kind"), STRINGS))
+        if strings.num_rows:
+            yield _repeated_strings(strings)
+        table = table.filter(pc.equal(table.column("kind"), CONTEXT)).sort_by("hash")
+        if not table.num_rows:
+            return
+        hashes = table.column("hash").to_numpy()
+        # An anchor's contexts, at most ``hot``, stay together; small anchors share a construction.
+        change = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]]))
         cuts, at = [0], 0
         for a, b in zip(change, [*change[1:], len(hashes)]):
-            if b - at > at_once and a > at or kind[a] != kind[at]:
+            if b - at > at_once and a > at:
                 cuts.append(int(a))
                 at = int(a)
         for a, b in zip(cuts, [*cuts[1:], len(hashes)]):
@@ -316,28 +363,41 @@ def _compare(length: int, gram: int, at_once: int):
             some = flags.any(axis=1)
             packed = np.packbits(flags[some], axis=1)
             keep = pa.array(some)
-            yield pa.RecordBatch.from_arrays([*(part.column(c).combine_chunks().filter(keep) for c in ("home", "hash", "digest")),
-                                              pa.array([x.tobytes() for x in packed], pa.binary())], names=["home", "hash", "digest", "flags"])
+            own = part.rename_columns({"part": "home"})
+            yield pa.RecordBatch.from_arrays([*(own.column(c).combine_chunks().filter(keep) for c in FOUND[:-1]), pa.array([x.tobytes() for x in packed], pa.binary())], names=FOUND)
 
     return run
 
 
-def _reply(width: int):
-    """The found starts of a partition's contexts, to every chunk that asked about them."""
+def _reply(width: int, hot: int):
+    """To every chunk that asked: the found starts of a partition's contexts (``flags`` of the
+    entries ``which``), its entries of hot anchors whose strings it is to look up (``look``)
+    or that are repeated whole (``whole``), and its repeated strings (``strings``)."""
 
     def run(key, asked, found):
-        keys, _, cuts = _entries(asked)
-        known = np.stack([found.column(c).to_numpy().view(np.uint64) for c in ("hash", "digest")], axis=1)
-        flags = np.frombuffer(b"".join(found.column("flags").to_pylist()), np.uint8).reshape(-1, width)
-        number, _, _, _ = _grouped(np.concatenate([keys, known]), np.zeros(len(keys) + len(known), np.int64))
-        table = np.zeros((number.max() + 1, width), np.uint8) if len(number) else np.zeros((1, width), np.uint8)
-        np.bitwise_or.at(table, number[len(keys) :], flags)  # a hot context has been compared twice
-        out = table[number[: len(keys)]]
-        parts, chunks = asked.column("part").to_pylist(), asked.column("chunk").to_pylist()
-        some = out.any(axis=1)
-        rows = [(chunks[i], parts[i], np.flatnonzero(some[a:b]).astype("<u4").tobytes(), out[a:b][some[a:b]].tobytes()) for i, (a, b) in enumerate(zip(cuts, cuts[1:]))]
-        return pa.table({"chunk": pa.array([r[0] for r in rows], pa.int64()), "part": pa.array([r[1] for r in rows], pa.int64()),
-                         "which": pa.array([r[2] for r in rows], pa.binary()), "flags": pa.array([r[3] for r in rows], pa.binary())})
+        rows = []
+        kind = found.column("kind").to_numpy()
+        strings, found = found.filter(pa.array(kind == STRINGS)), found.filter(pa.array(kind == CONTEXT))
+        for chunk, raw in zip(strings.column("chunk").to_pylist(), strings.column("flags").to_pylist()):
+            rows.append((chunk, key[0].as_py(), b"", b"", b"", b"", raw))
+        if asked.num_rows:
+            keys, counts, cuts = _entries(asked)
+            known = np.stack([found.column(c).to_numpy().view(np.uint64) for c in ("hash", "digest")], axis=1)
+            flags = np.frombuffer(b"".join(found.column("flags").to_pylist()), np.uint8).reshape(-1, width)
+            code, strings_of, copies = _codes(keys, counts, hot)
+            number, _, _, _ = _grouped(np.concatenate([keys, known]), np.zeros(len(keys) + len(known), np.int64))
+            place = np.full(number.max() + 1, -1)
+            place[number[len(keys) :]] = np.arange(len(known))
+            at = place[number[: len(keys)]]
+            whole, look = strings_of & (copies > 1), strings_of & (copies == 1) & (code == SEND_STRINGS)
+            parts, chunks = asked.column("part").to_pylist(), asked.column("chunk").to_pylist()
+            for i, (a, b) in enumerate(zip(cuts, cuts[1:])):
+                which = np.flatnonzero(at[a:b] >= 0)
+                rows.append((chunks[i], parts[i], which.astype("<u4").tobytes(), flags[at[a:b][which]].tobytes(),
+                             *(np.flatnonzero(x[a:b]).astype("<u4").tobytes() for x in (look, whole)), b""))
+        kinds = [pa.int64(), pa.int64()] + [pa.binary()] * 5
+        names = ["chunk", "part", "which", "flags", "look", "whole", "strings"]
+        return pa.table({n: pa.array([r[i] for r in rows], k) for i, (n, k) in enumerate(zip(names, kinds, strict=True))})
 
     return run
 
@@ -349,9 +409,20 @@ def _cut(length: int, gram: int, partitions: int, with_text: bool):
         c = Chunk(texts.column("text").to_pylist(), length, gram)
         flags = np.zeros((len(c.keys), span), bool)
         places = dict(c.dealt(partitions))
-        for part, which, packed in zip(replies.column("part").to_pylist(), replies.column("which"), replies.column("flags")):
-            at = places[part][np.frombuffer(which.as_buffer(), "<u4")]
-            flags[at] = np.unpackbits(np.frombuffer(packed.as_buffer(), np.uint8).reshape(-1, width), axis=1, count=span).astype(bool)
+        look, repeated = [], [np.zeros(0, "<u8")]
+        for row in replies.select(["part", "which", "flags", "look", "whole", "strings"]).to_pylist():
+            repeated.append(np.frombuffer(row["strings"], "<u8"))
+            if row["which"] or row["look"] or row["whole"]:
+                which, own, whole = (places[row["part"]][np.frombuffer(row[k], "<u4")] for k in ("which", "look", "whole"))
+                flags[which] = np.unpackbits(np.frombuffer(row["flags"], np.uint8).reshape(-1, width), axis=1, count=span).astype(bool)
+                look.append(own)
+                i = c.example[whole]
+                flags[whole] = np.arange(span) <= (c.last[i] - c.first[i])[:, None]
+        if look:
+            entry, number, digests = c.strings(np.concatenate(look).tolist(), length)
+            known = np.concatenate(repeated).reshape(-1, 2)
+            of, _, _, _ = _grouped(np.concatenate([known, digests]), np.zeros(len(known) + len(digests), np.int64)) if len(entry) else (number,) * 4
+            flags[entry, number] = np.isin(of[len(known) :], of[: len(known)]) if len(entry) else False
         context, offset = np.nonzero(flags[c.entry])
         doc, start = c.doc[context], c.first[context] + offset
         rows = []
@@ -392,10 +463,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     asked = chunks.groupBy("chunk").applyInArrow(_ask(length, gram, partitions), "part bigint, chunk bigint, keys binary, counts binary").repartition(partitions, "part")
     counted = asked.mapInArrow(_count(hot), "chunk bigint, part bigint, codes binary, copies binary")
     sent = chunks.groupBy("chunk").cogroup(by_chunk(counted)).applyInArrow(
-        _send(length, gram, partitions), "part bigint, kind int, home bigint, hash bigint, digest bigint, before int, starts int, copies bigint, bytes binary")
-    found = sent.repartition(partitions, "part").mapInArrow(_compare(length, gram, at_once), "home bigint, hash bigint, digest bigint, flags binary")
+        _send(length, gram, partitions), "part bigint, kind int, chunk bigint, hash bigint, digest bigint, before int, starts int, copies bigint, bytes binary")
+    found = sent.repartition(partitions, "part").mapInArrow(_compare(length, gram, at_once), "home bigint, kind int, chunk bigint, hash bigint, digest bigint, flags binary")
     replies = asked.groupBy("part").cogroup(found.withColumnRenamed("home", "part").repartition(partitions, "part").groupBy("part")).applyInArrow(
-        _reply(-(-(length - gram + 1) // 8)), "chunk bigint, part bigint, which binary, flags binary")
+        _reply(-(-(length - gram + 1) // 8), hot), "chunk bigint, part bigint, which binary, flags binary, look binary, whole binary, strings binary")
     kind = dict(rows.dtypes)["id"]
     schema = f"id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string" + ", kept binary, spans array<array<bigint>>" * with_text
     return chunks.groupBy("chunk").cogroup(by_chunk(replies)).applyInArrow(_cut(length, gram, partitions, with_text), schema).withColumnRenamed("id", id_col)
