@@ -24,4 +24,4 @@ def test_every_operator_is_registered():
     import __spark_entry__ as entry
 
     names = set(entry.queries())
-    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 11)) and set(QUERIES) | {"pipeline"} <= names
+    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 14)) and set(QUERIES) | {"pipeline"} <= names

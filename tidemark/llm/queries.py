@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from tidemark.llm import backoff, blocknames, decontaminate, mainhtml, quality, sentencepieces, sharding, simhash, suffixes, warc
+from tidemark.llm import backoff, blocknames, collocations, decontaminate, mainhtml, quality, sentencepieces, sharding, simhash, suffixes, warc
 
 QUERIES = {
     "op1_bradley_terry": quality.op1,
     "op10_stupid_backoff": backoff.op10,
+    "op11_son_phrases": collocations.op11,
     "op2_warc_chain": warc.op2,
     "op3_column_suffixes": suffixes.op3,
     "op4_simhash_trie": simhash.op4,
@@ -19,6 +20,7 @@ QUERIES = {
 
 ORACLE: dict[str, str] = {
     "op10_stupid_backoff": backoff.OP10_SQL,
+    "op11_son_phrases": collocations.OP11_SQL,
     "op2_warc_chain": warc.OP2_SQL,
     "op5_extendible_hashing": sharding.OP5_SQL,
     "op6_block_naming": blocknames.OP6_SQL,
