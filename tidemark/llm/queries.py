@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from tidemark.llm import backoff, blocknames, collocations, decontaminate, mainhtml, quality, sentencepieces, sharding, simhash, suffixes, warc
+from tidemark.llm import alignment, backoff, blocknames, collocations, decontaminate, mainhtml, packing, quality, sentencepieces, sharding, simhash, suffixes, warc
 
 QUERIES = {
     "op1_bradley_terry": quality.op1,
     "op10_stupid_backoff": backoff.op10,
     "op11_son_phrases": collocations.op11,
+    "op12_open_windows": packing.op12,
+    "op13_run_skipping": alignment.op13,
     "op2_warc_chain": warc.op2,
     "op3_column_suffixes": suffixes.op3,
     "op4_simhash_trie": simhash.op4,
