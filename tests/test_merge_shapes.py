@@ -151,10 +151,10 @@ def test_incremental_delta_refresh_next(spark):
 def test_scd1_upsert_refuses_duplicate_keys(spark):
     import tempfile
 
-    from tidemark.sources.tables import ParquetTables
+    from tidemark.sources.tables import CatalogTables
     from tidemark.sources.writers import write_scd1
 
-    t = ParquetTables(spark, tempfile.mkdtemp(prefix="dup-"))
+    t = CatalogTables(spark, tempfile.mkdtemp(prefix="dup-"))
     t.create("n.t", "id int, v string, processed_dttm timestamp")
     with pytest.raises(ValueError, match="duplicate keys"):
         write_scd1(t, "n.t", kv(spark, [(1, "a"), (1, "b")]), ["id"], "upsert")

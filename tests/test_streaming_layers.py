@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemark.sources import fixtures as fx
 from tidemark.sources.raw import read_envelopes
-from tidemark.sources.tables import ParquetTables
+from tidemark.sources.tables import CatalogTables
 from tidemark.streaming import merge_new_files
 
 
@@ -21,7 +21,7 @@ def test_available_now_stream_merges_only_new_files(spark):
     src, ckpt = f"{root}/in", f"{root}/ckpt"
     ev = fx.table(spark, SF001, "events").select("event_id", "user_id", "event_type")
     ev.where("event_id < 100").coalesce(1).write.parquet(f"{src}/a")
-    tables = ParquetTables(spark, f"{root}/wh")
+    tables = CatalogTables(spark, f"{root}/wh")
     tables.create("t.events", "event_id bigint, user_id bigint, event_type string, processed_dttm timestamp")
     schema = "event_id bigint, user_id bigint, event_type string"
     merge_new_files(spark, f"{src}/*", schema, tables, "t.events", ["event_id"], ckpt)
@@ -53,11 +53,11 @@ def test_raw_envelope_files(spark):
         read_envelopes(spark, f"{root}/videos/ingestion_date=2024-01-09", item, base_path=f"{root}/videos").count()
 
 
-def test_table_store_partition_merge_drops_emptied_partition(spark):
+def test_table_store_partition_merge_empties_a_partition(spark):
     from tidemark.operators.merge import OPERATION
 
     root = tempfile.mkdtemp(prefix="store-")
-    tables = ParquetTables(spark, root)
+    tables = CatalogTables(spark, root)
     tables.create("ns.t", "k int, day date, v int", partition_by="day")
     tables.append("ns.t", spark.createDataFrame([(1, None, 1)], "k int, day string, v int")
                   .withColumn("day", F.lit("2024-01-01").cast("date")))
@@ -67,7 +67,6 @@ def test_table_store_partition_merge_drops_emptied_partition(spark):
         .withColumn("day", F.col("day").cast("date"))
     tables.merge("ns.t", changes, lambda t, c: t.join(c.select("k", "day"), ["k", "day"], "left_anti"))
     assert [(r.k, r.v) for r in tables.read("ns.t").collect()] == [(2, 2)]
-    assert not os.path.exists(f"{root}/ns/t/day=2024-01-01")
     assert tables.namespaces() == ["ns"]
 
 
@@ -142,22 +141,9 @@ def test_merge_clause_builders_reject_empty():
         scd1_merge_clauses("ns.t", ["a"], [])
 
 
-def test_native_merge_falls_back_on_v1_table(spark):
-    from tidemark.sources.tables import scd1_merge_clauses, try_native_merge
-
-    spark.sql("CREATE DATABASE IF NOT EXISTS tm_native")
-    name = "tm_native.t1"
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.createDataFrame([(1, "a")], "id int, v string").write.format("parquet").saveAsTable(name)
-    src = spark.createDataFrame([(1, "b"), (2, "c")], "id int, v string")
-    on, when = scd1_merge_clauses(name, src.columns, ["id"])
-    assert try_native_merge(src, name, on, when) is False
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-
-
 def test_read_matching_prunes_partitions(spark):
     root = tempfile.mkdtemp(prefix="prune-")
-    tables = ParquetTables(spark, root)
+    tables = CatalogTables(spark, root)
     tables.create("ns.f", "k int, calendar_dt date, v int", partition_by="calendar_dt")
     data = spark.createDataFrame([(1, "2024-01-01", 1), (1, "2024-01-02", 2)], "k int, calendar_dt string, v int") \
         .withColumn("calendar_dt", F.col("calendar_dt").cast("date"))
@@ -237,7 +223,7 @@ def test_failed_batch_is_replayed(spark):
     src, ckpt = f"{root}/in", f"{root}/ckpt"
     fx.table(spark, SF001, "events").select("event_id", "event_type").where("event_id < 40") \
         .coalesce(1).write.parquet(f"{src}/a")
-    tables = ParquetTables(spark, f"{root}/wh")
+    tables = CatalogTables(spark, f"{root}/wh")
     tables.create("t.e", "event_id bigint, event_type string, processed_dttm timestamp")
     calls = {"n": 0}
 

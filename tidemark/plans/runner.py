@@ -20,7 +20,7 @@ from tidemark.operators.slices import Slicer, Watermarks
 from tidemark.plans import layers as L
 from tidemark.session import materialize, scratch_scope
 from tidemark.sources.raw import read_envelopes
-from tidemark.sources.tables import ParquetTables
+from tidemark.sources.tables import CatalogTables
 from tidemark.sources.writers import write_scd1, write_scd2
 
 # Partition layout: identity on the day, or a hidden transform of a timestamp
@@ -85,7 +85,7 @@ class Warehouse:
     def __init__(self, spark: SparkSession, warehouse: str, raw_root: str,
                  processed: _dt.datetime | str | None = None):
         self.spark = spark
-        self.tables = ParquetTables(spark, warehouse)
+        self.tables = CatalogTables(spark, warehouse)
         self.raw_root = raw_root.rstrip("/")
         self.marks_path = f"{warehouse.rstrip('/')}/_watermarks"
         self.processed = processed

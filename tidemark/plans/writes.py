@@ -18,7 +18,7 @@ from tidemark.plans import scenarios as sc
 from tidemark.plans.oracle import RESENT, SNAP, _scd2_upsert_sql
 from tidemark.session import checkpoint_dir, materialize
 from tidemark.sources import fixtures as fx
-from tidemark.sources.tables import ParquetTables
+from tidemark.sources.tables import CatalogTables
 from tidemark.sources.writers import write_scd1, write_scd2
 
 VERSION_COLS = ["user_id", "attr", VALID_FROM, VALID_TO]
@@ -53,7 +53,7 @@ def _last_seen(spark: SparkSession, sf_dir: str, first: int, last: int) -> DataF
 
 def scd1_write_moved_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two upserts of a table stored by the day of ``seen_at``, which moves with every load."""
-    t = ParquetTables(spark, _root(spark))
+    t = CatalogTables(spark, _root(spark))
     t.create("s.seen", "user_id bigint, seen_at timestamp_ntz, cnt bigint, processed_dttm timestamp",
              partition_by="seen_day", partition_expr=F.to_date("seen_at"))
     for first, last in ((1, 15), (10, 30)):
@@ -63,7 +63,7 @@ def scd1_write_moved_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scd1_write_foreign_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same into a table whose plain partition column is no part of the key."""
-    t = ParquetTables(spark, _root(spark))
+    t = CatalogTables(spark, _root(spark))
     t.create("s.seen", "user_id bigint, cnt bigint, seen_day date, processed_dttm timestamp", partition_by="seen_day")
     for first, last in ((1, 15), (10, 30)):
         rows = _last_seen(spark, sf_dir, first, last).select("user_id", "cnt", F.to_date("seen_at").alias("seen_day"))
@@ -83,7 +83,7 @@ def scd2_write_from_dt(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The late days merged into a stored table that is kept by closing day."""
     s = sc.Scenario(spark, sf_dir)
     first, last = sc.LATE_DAYS
-    t = ParquetTables(spark, _root(spark))
+    t = CatalogTables(spark, _root(spark))
     t.create("s.versions", f"user_id bigint, attr string, {VALID_FROM} timestamp_ntz, {VALID_TO} timestamp_ntz, processed_dttm timestamp",
              partition_by="valid_to_day", partition_expr=F.to_date(VALID_TO))
     keys = ["user_id", VALID_FROM]

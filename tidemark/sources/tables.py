@@ -1,17 +1,17 @@
-"""Thin table writers: native MERGE when the catalog supports it, Parquet otherwise.
-
-``ParquetTables`` keeps ``namespace.table`` as a Parquet folder under a root
-(a shared path on a cluster).  A merge never rewrites the whole table when the
-table has a partition column: only partitions that appear in the change set
-are read (partition pruning), rebuilt, checkpointed and written back with
-dynamic partition overwrite; a partition left empty by deletes is removed.
-Unpartitioned tables are rebuilt whole.  New content is always checkpointed
-before the overwrite, so a table may be read and replaced by the same job.
+"""Tables in Spark's catalog, and merges of change sets into them.
+
+``CatalogTables`` keeps ``namespace.table`` as a table of the session catalog, with its
+files under a root (a shared path on a cluster).  Where the provider changes rows
+itself (Iceberg, Delta) a merge is ``DataFrame.mergeInto``.  Parquet tables cannot; there
+a merge rewrites the partitions a change set touches, by ``insertInto`` with dynamic
+partition overwrite.  Such an overwrite leaves a partition alone that receives no row,
+so one that loses its last row receives a marker row instead, which no read returns.
+All paths, partition names and their escaping are Spark's.
 """
 
 from __future__ import annotations
 
-import uuid
+import hashlib
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,68 +21,77 @@ from pyspark.sql import types as T
 from tidemark.session import materialize
 
 Apply = Callable[[DataFrame, DataFrame], DataFrame]
+ROW_LEVEL = ("iceberg", "delta")  # providers that can merge rows
+GONE = "__gone"  # true in the marker row of an emptied partition
 
 
-class ParquetTables:
-    def __init__(self, spark: SparkSession, root: str):
+class CatalogTables:
+    def __init__(self, spark: SparkSession, root: str, provider: str = "parquet"):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.provider = provider
+        # Databases of one catalog are told apart by their root.
+        self._suffix = "_" + hashlib.md5(self.root.encode()).hexdigest()[:8]
         self._partitions: dict[str, tuple[str, Column | None]] = {}
-        self._schemas: dict[str, T.StructType] = {}
+        self._columns: dict[str, list[str]] = {}
 
     # ----------------------------------------------------------- namespaces
-    def path(self, name: str) -> str:
+    def _parts(self, name: str) -> tuple[str, str]:
         if name.count(".") != 1:
             raise ValueError(f"table name must be namespace.table, got {name!r}")
-        ns, table = name.split(".")
-        return f"{self.root}/{ns}/{table}"
+        namespace, table = name.split(".")
+        return namespace, table
+
+    def catalog_name(self, name: str) -> str:
+        namespace, table = self._parts(name)
+        return f"{namespace}{self._suffix}.{table}"
 
-    def _fs(self, path: str):
-        jvm = self.spark.sparkContext._jvm
-        jpath = jvm.org.apache.hadoop.fs.Path(path)
-        return jpath.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), jpath
+    def path(self, name: str) -> str:
+        namespace, table = self._parts(name)
+        return f"{self.root}/{namespace}/{table}"
 
     def create_namespace(self, namespace: str) -> None:
-        fs, p = self._fs(f"{self.root}/{namespace}")
-        fs.mkdirs(p)
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{namespace}{self._suffix}` LOCATION {_quoted(f'{self.root}/{namespace}')}")
 
     def namespaces(self) -> list[str]:
-        fs, p = self._fs(self.root)
-        if not fs.exists(p):
-            return []
-        return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory() and
-                      not s.getPath().getName().startswith("_"))
+        return sorted(d.name.removesuffix(self._suffix) for d in self.spark.catalog.listDatabases() if d.name.endswith(self._suffix))
 
     # ----------------------------------------------------------- tables
     def exists(self, name: str) -> bool:
-        fs, p = self._fs(self.path(name))
-        if not fs.exists(p):  # a replacement that failed between its renames
-            aside = self._fs(self._aside(name))[1]
-            return bool(fs.exists(aside) and fs.rename(aside, p))
-        return True
+        return self.spark.catalog.tableExists(self.catalog_name(name))
 
     def require(self, name: str) -> None:
         if not self.exists(name):
             raise ValueError(f"output table {name} does not exist")
 
     def create(self, name: str, schema: T.StructType | str, partition_by: str | None = None,
-               partition_expr: Column | None = None) -> None:
-        """Create the table if absent.  ``partition_by`` names the folder column;
-        with ``partition_expr`` it is derived from other columns (a hidden
-        transform such as the day of ``valid_from_dttm``) and never returned
-        by ``read``."""
+               partition_expr: Column | None = None, bucket_by: tuple[str, int] | None = None) -> None:
+        """Create the table if absent; files that already lie under its path belong to it.
+
+        ``partition_by`` names the partition column; with ``partition_expr`` it is derived
+        from other columns (a hidden transform such as the day of ``valid_to_dttm``) and
+        never returned by ``read``.  ``bucket_by`` (a column, a number of buckets) lays the rows
+        out by the hash of a column, so that joins and groupings on it need not move them.
+        """
         if partition_by:
             self._partitions[name] = (partition_by, partition_expr)
-        empty = self._with_partition(name, self.spark.createDataFrame([], schema))
-        # Stored schema (partition column included): an empty partitioned
-        # table has no data file to read a schema from.
-        self._schemas[name] = empty.schema
+        empty = self.spark.createDataFrame([], schema)
+        self._columns[name] = empty.columns
         if self.exists(name):
             return
-        writer = empty.write.mode("errorifexists")
+        self.create_namespace(self._parts(name)[0])
+        fields = self._with_partition(name, empty).withColumn(GONE, F.lit(None).cast("boolean")).schema.fields
+        clauses = [f"CREATE TABLE {self.catalog_name(name)} ({', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in fields)})", f"USING {self.provider}"]
+        if self.provider == "parquet":
+            clauses.append("OPTIONS (partitionOverwriteMode 'dynamic')")
         if partition_by:
-            writer = writer.partitionBy(partition_by)
-        writer.parquet(self.path(name))
+            clauses.append(f"PARTITIONED BY (`{partition_by}`)")
+        if bucket_by:
+            clauses.append(f"CLUSTERED BY (`{bucket_by[0]}`) INTO {bucket_by[1]} BUCKETS")
+        self.spark.sql(" ".join([*clauses, f"LOCATION {_quoted(self.path(name))}"]))
+        if partition_by and self.provider == "parquet":
+            self._insert(name, empty, overwrite=False)  # the folder exists from here on
+            self.spark.catalog.recoverPartitions(self.catalog_name(name))
 
     def _with_partition(self, name: str, df: DataFrame) -> DataFrame:
         part, expr = self._partitions.get(name, (None, None))
@@ -91,16 +100,12 @@ class ParquetTables:
         return df
 
     def _raw(self, name: str) -> DataFrame:
+        """The rows with their partition column."""
         self.require(name)
-        reader = self.spark.read
-        if name in self._schemas:
-            reader = reader.schema(self._schemas[name])
-        return reader.parquet(self.path(name))
+        return self.spark.table(self.catalog_name(name)).where(F.col(GONE).isNull()).drop(GONE)
 
     def read(self, name: str) -> DataFrame:
-        df = self._raw(name)
-        part, expr = self._partitions.get(name, (None, None))
-        return df.drop(part) if part and expr is not None else df
+        return self._raw(name).select(*self._columns[name])
 
     def read_matching(self, name: str, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
         """The table restricted to the partitions ``rows`` fall in, where that is sound.
@@ -119,87 +124,79 @@ class ParquetTables:
     def partition_of(self, name: str) -> str | None:
         return self._partitions.get(name, (None, None))[0]
 
-    def _writer(self, name: str, df: DataFrame, mode: str, overwrite: str = "static"):
-        out = self._with_partition(name, df.select(*self.read(name).columns))
-        writer = out.write.mode(mode).option("partitionOverwriteMode", overwrite)
-        part = self.partition_of(name)
-        return writer.partitionBy(part) if part else writer
+    def _insert(self, name: str, rows: DataFrame, overwrite: bool, emptied: DataFrame | None = None) -> None:
+        """``rows`` in the table's column order; ``emptied`` holds partitions that get a marker row."""
+        order = self.spark.table(self.catalog_name(name)).columns
+        out = self._with_partition(name, rows.select(*self._columns[name])).withColumn(GONE, F.lit(None).cast("boolean"))
+        if emptied is not None:
+            out = out.unionByName(emptied.withColumn(GONE, F.lit(True)), allowMissingColumns=True)
+        out.select(*order).write.insertInto(self.catalog_name(name), overwrite=overwrite)
+        self.spark.catalog.refreshTable(self.catalog_name(name))
 
     def append(self, name: str, df: DataFrame) -> None:
-        self._writer(name, df, "append").parquet(self.path(name))
+        self.require(name)
+        self._insert(name, df, overwrite=False)
 
     def replace(self, name: str, df: DataFrame) -> None:
-        """Whole-content replacement; ``df`` may read the table.
-
-        The new content is written beside the table and then takes its place by
-        two renames.  A failure leaves the old table, or its set-aside copy, which
-        the next access puts back.
-        """
+        """Whole-content replacement; ``df`` may read the table, so it is stored first."""
         self.require(name)
-        fresh = f"{self._aside(name)}-{uuid.uuid4().hex}"
-        self._writer(name, df, "errorifexists").parquet(fresh)
-        fs, table = self._fs(self.path(name))
-        aside, new = self._fs(self._aside(name))[1], self._fs(fresh)[1]
-        fs.delete(aside, True)
-        if not (fs.rename(table, aside) and fs.rename(new, table)):
-            raise OSError(f"{name} could not be replaced")
-        fs.delete(aside, True)
-        self.spark.catalog.refreshByPath(self.path(name))
-
-    def _aside(self, name: str) -> str:
-        ns, table = name.split(".")
-        return f"{self.root}/{ns}/_{table}.replaced"
-
-    def merge(self, name: str, changes: DataFrame, apply: Apply, keys: Sequence[str] | None = None) -> None:
-        """Apply a change set: only the partitions it touches are rewritten.
-
-        Without ``keys`` the partition of a row is taken from the change row
-        itself (the partition column is, or derives from, a key column).  With
-        ``keys`` a row may move between partitions (e.g. a table partitioned by
-        the day of ``valid_to``): the partitions holding the stored rows of the
-        changed keys are found with a key-columns-only read and rewritten too.
-        The affected partition values (a bounded list: days) become a literal
-        filter, so only those folders are read.
+        part, fresh = self.partition_of(name), materialize(df.select(*self._columns[name]))
+        emptied = None
+        if part:
+            emptied = _partitions_without(self._raw(name).select(part).distinct(), self._with_partition(name, fresh), part)
+        self._insert(name, fresh, overwrite=True, emptied=emptied)
+
+    def merge(self, name: str, changes: DataFrame, apply: Apply, keys: Sequence[str] | None = None, clauses=None) -> None:
+        """Apply a change set.
+
+        A provider with row-level operations takes it as a MERGE with ``clauses`` (see
+        ``scd1_merge_clauses``).  A Parquet table has the partitions rewritten that the change
+        set touches: those of the rows to write and, with ``keys``, those that hold
+        the stored rows of the changed keys now (a row may move, e.g. where a table is
+        partitioned by the day of ``valid_to``), found by a read of the key columns alone.
+        The range of these partitions is a literal filter, so files outside it are not read.
         """
         self.require(name)
+        if self.provider in ROW_LEVEL and clauses is not None:
+            on, when = clauses(self.catalog_name(name))
+            when(self._with_partition(name, changes).alias("s").mergeInto(self.catalog_name(name), on)).merge()
+            return
         part = self.partition_of(name)
         if not part:
             self.replace(name, apply(self.read(name), changes))
             return
         changes = materialize(changes)
         current = self._raw(name)
+        written = changes
+        if keys and "_operation" in changes.columns:
+            written = changes.where(F.col("_operation") != "delete")
+        touched = self._with_partition(name, written).select(part)
         if keys:
-            written = changes.where(F.col("_operation") != "delete") if "_operation" in changes.columns else changes
-            new_parts = self._with_partition(name, written).select(part)
-            old_parts = current.select(*keys, part).join(changes.select(*keys), list(keys), "left_semi").select(part)
-            values = [r[0] for r in new_parts.unionByName(old_parts).distinct().collect()]
-        else:
-            values = [r[0] for r in self._with_partition(name, changes).select(part).distinct().collect()]
-        if not values:
+            touched = touched.unionByName(current.select(*keys, part).join(changes.select(*keys), list(keys), "left_semi").select(part))
+        touched = materialize(touched.distinct())
+        low, high, nulls = touched.agg(F.min(part), F.max(part), F.count_if(F.col(part).isNull())).first()
+        if low is None and not nulls:
             return
-        present = [v for v in values if v is not None]
-        in_scope = F.col(part).isin(present) if present else F.lit(False)
-        if len(present) < len(values):
-            in_scope = in_scope | F.col(part).isNull()
-        scope = current.where(in_scope)
-        _, expr = self._partitions[name]
-        if expr is not None:
-            scope = scope.drop(part)
-        new = materialize(apply(scope, changes))
-        self._writer(name, new, "overwrite", "dynamic").parquet(self.path(name))
-        self._drop_emptied(name, part, values, self._with_partition(name, new))
-
-    def _drop_emptied(self, name: str, part: str, values: list, new: DataFrame) -> None:
-        """Remove affected partition folders left without rows (dynamic
-        overwrite only replaces partitions it writes)."""
-        kept = {r[0] for r in new.select(part).distinct().collect()}
-        for value in values:
-            if value in kept:
-                continue
-            folder = "__HIVE_DEFAULT_PARTITION__" if value is None else value
-            fs, p = self._fs(f"{self.path(name)}/{part}={folder}")
-            if fs.exists(p):
-                fs.delete(p, True)
+        kind = current.schema[part].dataType
+        within = F.col(part).between(F.lit(low).cast(kind), F.lit(high).cast(kind)) if low is not None else F.lit(False)
+        scope = _semi(current.where(within | F.col(part).isNull() if nulls else within), touched, part, "left_semi")
+        new = apply(scope.select(*self._columns[name]), changes)
+        self._insert(name, new, overwrite=True, emptied=_partitions_without(touched, self._with_partition(name, new), part))
+
+
+def _semi(left: DataFrame, right: DataFrame, column: str, how: str) -> DataFrame:
+    """Semi- or anti-join on one column where NULL equals NULL."""
+    other = right.select(F.col(column).alias("__other"))
+    return left.join(other, F.col(column).eqNullSafe(F.col("__other")), how)
+
+
+def _partitions_without(partitions: DataFrame, rows: DataFrame, part: str) -> DataFrame:
+    return _semi(partitions, rows.select(part).distinct(), part, "left_anti")
+
+
+def _quoted(text: str) -> str:
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
 
 
 def assignments(columns: Sequence[str], prefix: str = "s") -> dict[str, Column]:
@@ -261,17 +258,3 @@ def scd2_merge_clauses(table: str, columns: Sequence[str], keys: Sequence[str]):
                 .whenNotMatched(op == "upsert").insert(assignments(columns)))
 
     return _on(keys, t), when
-
-
-def try_native_merge(changes: DataFrame, table: str, on: Column, when: Callable) -> bool:
-    """Use ``DataFrame.mergeInto`` when ``table`` lives in a catalog that supports
-    row-level operations (Iceberg, Delta); return False when it does not."""
-    try:
-        builder = changes.alias("s").mergeInto(table, on)
-        when(builder).merge()
-        return True
-    except Exception as exc:  # noqa: BLE001 - any unsupported-table error means fall back
-        text = str(exc)
-        if "UNSUPPORTED" in text or "TABLE_OPERATION" in text or "not support" in text.lower():
-            return False
-        raise

@@ -50,7 +50,7 @@ def run_available_now(
 def merge_new_files(spark: SparkSession, source_path: str, schema: T.StructType | str, tables, table: str,
                     key_columns: Sequence[str], checkpoint_location: str,
                     transform: Callable[[DataFrame], DataFrame] | None = None) -> StreamingQuery:
-    """Upsert (SCD1) the rows of new files into ``table`` of a ``ParquetTables`` store.
+    """Upsert (SCD1) the rows of new files into ``table`` of a ``CatalogTables`` store.
 
     A batch that holds a key twice is refused, as any other upsert is.
     """
