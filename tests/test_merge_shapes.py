@@ -8,9 +8,22 @@ import pytest
 from conftest import d, rows
 from pyspark.sql import functions as F
 
-from tidemark.operators.joins import as_of_join, new_keys
+from tidemark.operators.joins import as_of_carried, as_of_join, new_keys
 from tidemark.operators.merge import scd1_changes, scd1_insert, scd1_rewrite, scd1_upsert
-from tidemark.operators.shapes import day_over_day, disappeared, incremental_delta, reaggregate_affected
+from tidemark.operators.shapes import (
+    day_over_day,
+    delta_from_state,
+    disappeared,
+    group_totals,
+    incremental_delta,
+    last_rows,
+    late_keys,
+    merge_presence,
+    presence,
+    reaggregate_affected,
+    retract_and_add,
+    sum_or_null,
+)
 
 OLD = "2020-01-01 00:00:00"
 NEW = "2024-06-01 00:00:00"
@@ -120,7 +133,7 @@ def _disappear(spark, snap_rows, versions_rows, hubs_rows, slice_days):
     hubs = spark.createDataFrame(hubs_rows, "e string, created_at timestamp_ntz")
     versions = spark.createDataFrame(versions_rows, VSCHEMA)
     slice_ = snaps.where(F.col("day").isin([d(n).date() for n in slice_days]))
-    return disappeared(slice_, snaps, links, hubs, versions, "e", "p", "day")
+    return disappeared(slice_, presence(snaps, "e", "day"), links, hubs, versions, "e", "p", "day")
 
 
 def test_disappeared(spark):
@@ -162,23 +175,88 @@ def test_scd1_upsert_refuses_duplicate_keys(spark):
     assert t.read("n.t").count() == 3
 
 
-def test_disappeared_prunes_snapshot_partitions(spark):
-    import tempfile
-
-    root = tempfile.mkdtemp(prefix="snaps-") + "/snapshots"
-    snaps = spark.createDataFrame([("e1", "c", d(1).date()), ("e2", "c", d(1).date()), ("e1", "c", d(3).date())],
-                                  "e string, p string, day date")
-    snaps.write.partitionBy("day").parquet(root)
-    stored = spark.read.parquet(root)
+def test_disappeared_reads_no_snapshot(spark, tmp_path):
+    snaps = spark.createDataFrame([("e1", "c", d(1).date()), ("e2", "c", d(1).date()), ("e1", "c", d(3).date())], "e string, p string, day date")
+    snaps.write.partitionBy("day").parquet(f"{tmp_path}/snapshots")
+    stored = spark.read.parquet(f"{tmp_path}/snapshots")
+    slice_ = stored.where(F.col("day") == d(3).date())
+    # what was seen is merged load by load
+    seen = merge_presence(presence(stored.where(F.col("day") < d(3).date()), "e", "day"), presence(slice_, "e", "day"), "e")
+    seen.write.parquet(f"{tmp_path}/seen")
+    links = spark.createDataFrame([("e1", "c"), ("e2", "c")], "e string, p string")
     v = spark.createDataFrame([("e1", "A", True, d(1), None), ("e2", "B", True, d(1), None)], VSCHEMA)
     hubs = spark.createDataFrame([("e1", d(1)), ("e2", d(1))], "e string, created_at timestamp_ntz")
-    out = disappeared(stored.where(F.col("day") == d(3).date()), stored, stored.select("e", "p").distinct(), hubs, v,
-                      "e", "p", "day")
+    out = disappeared(slice_, spark.read.parquet(f"{tmp_path}/seen"), links, hubs, v, "e", "p", "day")
     assert rows(out, "e") == [("e2",)]
     plan = out._jdf.queryExecution().executedPlan().toString()
     import re
 
-    pruned = re.findall(r"PartitionFilters: \[isnotnull\(day#\d+\), \(day#\d+ = 2024-01-03\)\]", plan)
-    # the slice and the "present on a slice date" read both touch only that day
-    # (the third scan is this test's own links table, built from every day)
-    assert len(pruned) == 2, plan
+    reads = re.findall(r"FileScan parquet.*?PartitionFilters: \[(.*?)\]", plan)
+    # every read of the snapshots is a read of the slice's day
+    assert reads and all("2024-01-03" in r for r in reads if "day" in r), plan
+
+
+def test_presence_over_many_days(spark):
+    import datetime as dt
+
+    days = [dt.date(1969, 12, 30) + dt.timedelta(days=i) for i in range(0, 400, 7)]
+    seen = presence(spark.createDataFrame([("a", x) for x in days] * 2, "e string, day date"), "e", "day").collect()
+    got = sorted(r.word * 64 + b for r in seen for b in range(64) if (r.days >> b) & 1)
+    assert got == [(x - dt.date(1970, 1, 1)).days for x in days]
+
+
+def test_delta_from_state(spark):
+    sch = "k string, day date, v bigint"
+    rows_ = [("a", d(1).date(), 10), ("a", d(2).date(), 15), ("b", d(1).date(), 1), (None, d(1).date(), 5)]
+    state = last_rows(spark.createDataFrame(rows_, sch), "k", "day", ["v"])
+    slice_ = spark.createDataFrame([("a", d(4).date(), 12), ("a", d(5).date(), 20), ("c", d(4).date(), 7)], sch)
+    out = delta_from_state(state, slice_, "k", "day", ["v"])
+    assert rows(out, "k", "day", "v", "v_delta") == [("a", d(4).date(), 12, -3), ("a", d(5).date(), 20, 8), ("c", d(4).date(), 7, None)]
+    assert late_keys(state, slice_, "k", "day").isEmpty()
+    late = spark.createDataFrame([("a", d(2).date(), 12), ("b", d(3).date(), 20)], sch)
+    assert rows(late_keys(state, late, "k", "day")) == [("a",)]
+
+
+def test_retraction_equals_aggregating_again(spark):
+    import random
+
+    rng = random.Random(4)
+    base = [(i, rng.choice("xyz") if rng.random() < 0.9 else None, rng.choice([None, rng.randrange(9)])) for i in range(200)]
+    changed = {i: (i, rng.choice("xyzw"), rng.choice([None, rng.randrange(9)])) for i in rng.sample(range(200), 60)}
+    gone = set(rng.sample(sorted(changed), 20))
+    sch = "id int, g string, v int"
+    frame = lambda data: spark.createDataFrame(list(data), sch)
+    now = retract_and_add(group_totals(frame(base), ["g"], ["v"]), frame(r for i, r in changed.items() if i not in gone),
+                          frame(r for r in base if r[0] in changed), ["g"], ["v"])
+    after = frame([changed.get(r[0], r) for r in base if r[0] not in gone])
+    want = {r.g: (r.n, r.s) for r in after.groupBy("g").agg(F.count("*").alias("n"), F.sum("v").alias("s")).collect()}
+    got = {r.g: (r.n_rows, r.s) for r in now.select("g", "n_rows", sum_or_null("v").alias("s")).collect()}
+    assert {g: got[g] for g in got if got[g][0]} == {g: want[g] for g in got if g in want} and {g for g in got if not got[g][0]}.isdisjoint(want)
+    touched = {r[1] for i, r in changed.items() if i not in gone} | {r[1] for r in base if r[0] in changed}
+    assert set(got) == touched
+
+
+def test_as_of_carried_equals_the_interval_join(spark):
+    facts = spark.createDataFrame([(k, d(n).date(), n) for k in ("a", "b", None) for n in (1, 2, 5, 40, 80, 200)], "k string, day date, n int")
+    versions = spark.createDataFrame([("a", "A", d(2), d(5)), ("a", "B", d(5), d(60)), ("a", "C", d(100), None), (None, "N", d(1), None), ("c", "X", d(1), None)],
+                                     "k string, attr string, valid_from_dttm timestamp_ntz, valid_to_dttm timestamp_ntz")
+    got = as_of_carried(facts, versions, "k", "day")
+    want = as_of_join(facts, versions, "k", "day")
+    assert got.columns == ["k", "day", "n", "attr", "valid_from_dttm", "valid_to_dttm"]
+    assert rows(got, "k", "day", "n", "attr") == rows(want, "k", "day", "n", "attr")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and "Join" in plan
+
+
+def test_rebuild_stores_nothing_and_shares_the_shuffle(spark, monkeypatch, tmp_path):
+    from tidemark import session
+    from tidemark.operators.history import VALID_FROM, scd2_upsert
+
+    t = spark.createDataFrame([("k", "A", d(1), d(5)), ("k", "B", d(5), None)], "k string, attr string, valid_from_dttm timestamp_ntz, valid_to_dttm timestamp_ntz")
+    s = spark.createDataFrame([("k", "C", d(3))], "k string, attr string, valid_from_dttm timestamp_ntz")
+    before = [len(x) for x in session._SCOPES]
+    for mode in ("no", "from_dt", "full"):
+        out = scd2_upsert(t, s, "k", ["k", VALID_FROM], mode)
+        out.collect()
+        assert "ReusedExchange" in out._jdf.queryExecution().executedPlan().toString(), mode
+    assert [len(x) for x in session._SCOPES] == before

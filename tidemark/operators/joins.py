@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.history import VALID_FROM, VALID_TO
-from tidemark.operators.ordered import bucket_column
+from tidemark.operators.ordered import bucket_column, with_latest
 
 
 def new_keys(incoming: DataFrame, existing: DataFrame | None, key: str | list[str], first_seen: str,
@@ -67,3 +67,24 @@ def as_of_join(
     if vk == "__vkey":
         out = out.drop("__vkey")
     return out
+
+
+def as_of_carried(facts: DataFrame, versions: DataFrame, key: str, at: str, valid_from: str = VALID_FROM, valid_to: str = VALID_TO) -> DataFrame:
+    """Attach to each fact the version that began last by ``at``, if it is still valid then.
+
+    Versions of a key must not overlap (a rebuilt history does not); ``as_of_join`` takes
+    intervals that do.  Facts and versions are one union, in time order per key, and the last
+    version is carried forward to the facts behind it: each side is read once, no version is
+    copied, and a key with very many facts is spread over its time buckets.  Every fact
+    is kept; without a version its columns are NULL.
+    """
+    columns = [c for c in versions.columns if c != key]
+    moment = versions.schema[valid_from].dataType
+    version = F.struct(*[F.col(c) for c in columns])
+    empty = F.lit(None).cast(versions.select(version.alias("v")).schema["v"].dataType)
+    both = (facts.select(key, F.col(at).cast(moment).alias("__at"), F.lit(1).alias("__fact"), F.struct(*[F.col(c) for c in facts.columns]).alias("__row"), empty.alias("__version"))
+            .unionByName(versions.select(key, F.col(valid_from).alias("__at"), F.lit(0).alias("__fact"), version.alias("__version")), allowMissingColumns=True))
+    found = with_latest(both, [key], ["__at", "__fact"], "__version", "__valid").where("__fact = 1")
+    holds = F.col(f"__valid.{valid_to}").isNull() | (F.col("__at") < F.col(f"__valid.{valid_to}"))
+    valid = F.when(F.col(key).isNotNull() & holds, F.col("__valid"))
+    return found.withColumn("__valid", valid).select("__row.*", *[F.col(f"__valid.{c}").alias(c) for c in columns])

@@ -1,4 +1,4 @@
-"""Exact ``lag`` / ``lead`` per key that never puts one whole key in one task.
+"""Exact ``lag`` and carry-forward per key that never put one whole key in one task.
 
 ``Window.partitionBy(key)`` sends every row of a key to a single task; a key that
 holds a third of the table would then be sorted and buffered by one executor.
@@ -60,74 +60,62 @@ def add_bucket(df: DataFrame, keys: Sequence[str], order_col: str, bucket: Colum
     return df.withColumn(BUCKET, F.when(any_null, F.lit(0)).otherwise(b))
 
 
-def _shifted(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    values: Mapping[str, str],
-    bucket: Column | None,
-    direction: int,
-    summary_from: DataFrame | None = None,
-    summary_order: Sequence[str] | None = None,
-) -> DataFrame:
+def _carried(rows: DataFrame, keys: Sequence[str], summary: DataFrame) -> DataFrame:
+    """Join a (key, bucket) summary's ``__carry`` back to the rows.
+
+    Plain equality keeps the (key, bucket) partitioning of a window, so the
+    big side is not shuffled again (NULL keys sit in bucket 0 and need none).
+    """
+    carry = (summary.where(F.col("__carry").isNotNull())
+             .select(*[F.col(k).alias(f"__k_{k}") for k in keys], F.col(BUCKET).alias("__k_bucket"), "__carry"))
+    match = reduce(lambda acc, k: acc & (F.col(k) == F.col(f"__k_{k}")), keys, F.col(BUCKET) == F.col("__k_bucket"))
+    return rows.join(carry, match, "left").drop("__k_bucket", *[f"__k_{k}" for k in keys])
+
+
+def with_previous(df: DataFrame, keys: Sequence[str], order: Sequence[str] | str,
+                  values: Mapping[str, str], bucket: Column | None = None) -> DataFrame:
+    """Add ``out = lag(src)`` per key in ``order`` for each ``out: src``; exact.
+
+    Per (key, bucket) the last row, a partial aggregate of the input, shifted by
+    one non-empty bucket, is what the next bucket's first row needs.
+    """
+    order = [order] if isinstance(order, str) else list(order)
     if not keys:
         raise ValueError("at least one key column is required")
     if not order:
         raise ValueError("at least one order column is required")
-    order_cols = [F.col(c) for c in order]
-    shift = F.lag if direction < 0 else F.lead
     keep_bucket = BUCKET in df.columns
     base = df if keep_bucket else add_bucket(df, keys, order[0], bucket)
     sources = list(dict.fromkeys(values.values()))
-    inside = Window.partitionBy(*keys, BUCKET).orderBy(*order_cols)
-
-    edge = "__edge"
-    d = base.withColumn(edge, shift(F.lit(True)).over(inside).isNull())
+    inside = Window.partitionBy(*keys, BUCKET).orderBy(*order)
+    rows = base.withColumn("__edge", F.lag(F.lit(True)).over(inside).isNull())
     for out, src in values.items():
-        d = d.withColumn(out, shift(src).over(inside))
-
-    # Per (key, bucket) summary, taken from the input before the window as a
-    # partial aggregate: last row (for lag) or first row (for lead).  Shifted by
-    # one non-empty bucket it is the value the bucket's edge row needs.
-    # ``summary_from`` lets a caller give an equivalent, cheaper-to-evaluate
-    # input (with ``summary_order`` deciding ties), e.g. rows before a
-    # de-duplicating window whose survivor is the max of the tie-break.
-    picked = F.struct(*[F.col(s).alias(s) for s in sources])
-    ordering = F.struct(*[F.col(c) for c in (summary_order or order)])
-    pick = F.max_by(picked, ordering) if direction < 0 else F.min_by(picked, ordering)
-    summary = (summary_from if summary_from is not None else base).groupBy(*keys, BUCKET).agg(pick.alias("__pick"))
+        rows = rows.withColumn(out, F.lag(src).over(inside))
+    last = F.max_by(F.struct(*[F.col(c).alias(c) for c in sources]), F.struct(*[F.col(c) for c in order]))
     across = Window.partitionBy(*keys).orderBy(BUCKET)
-    carry = (summary
-             .withColumn("__carry", shift("__pick").over(across))
-             .where(F.col("__carry").isNotNull())
-             .select(*[F.col(k).alias(f"__k_{k}") for k in keys], F.col(BUCKET).alias("__k_bucket"), "__carry"))
-
-    # Plain equality keeps the (key, bucket) partitioning of the window, so the
-    # big side is not shuffled again (NULL keys sit in bucket 0 and need none).
-    cond = reduce(lambda acc, k: acc & (d[k] == carry[f"__k_{k}"]), keys,
-                  d[BUCKET] == carry["__k_bucket"])
-    joined = d.join(carry, cond, "left")
+    summary = base.groupBy(*keys, BUCKET).agg(last.alias("__last")).withColumn("__carry", F.lag("__last").over(across))
+    rows = _carried(rows, keys, summary)
     for out, src in values.items():
-        joined = joined.withColumn(out, F.when(F.col(edge), F.col(f"__carry.{src}")).otherwise(F.col(out)))
-    drop = [edge, "__carry", "__k_bucket", *[f"__k_{k}" for k in keys]]
-    if not keep_bucket:
-        drop.append(BUCKET)
-    return joined.drop(*drop)
-
+        rows = rows.withColumn(out, F.when(F.col("__edge"), F.col(f"__carry.{src}")).otherwise(F.col(out)))
+    return rows.drop("__edge", "__carry", *([] if keep_bucket else [BUCKET]))
 
-def with_previous(df: DataFrame, keys: Sequence[str], order: Sequence[str] | str,
-                  values: Mapping[str, str], bucket: Column | None = None,
-                  summary_from: DataFrame | None = None, summary_order: Sequence[str] | None = None) -> DataFrame:
-    """Add ``out = lag(src)`` per key in ``order`` for each ``out: src``; exact."""
-    order = [order] if isinstance(order, str) else list(order)
-    return _shifted(df, keys, order, values, bucket, -1, summary_from, summary_order)
 
+def with_latest(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str,
+                bucket: Column | None = None) -> DataFrame:
+    """Add ``out``: the last non-NULL ``value`` of the key up to the row, itself included.
 
-def with_next(df: DataFrame, keys: Sequence[str], order: Sequence[str] | str,
-              values: Mapping[str, str], bucket: Column | None = None) -> DataFrame:
-    """Add ``out = lead(src)`` per key in ``order`` for each ``out: src``; exact."""
-    order = [order] if isinstance(order, str) else list(order)
-    return _shifted(df, keys, order, values, bucket, +1)
+    ``order`` begins with the column that is bucketed.  Inside a bucket it is a window; what
+    a bucket starts with is the last value of the buckets before it, one row per key and
+    bucket.  Rows are never copied and shuffled once.
+    """
+    base = add_bucket(df, keys, order[0], bucket)
+    inside = Window.partitionBy(*keys, BUCKET).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    rows = base.withColumn(out, F.last(value, ignorenulls=True).over(inside))
+    position = F.when(F.col(value).isNotNull(), F.struct(*[F.col(c) for c in order]))
+    before = Window.partitionBy(*keys).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    summary = (base.groupBy(*keys, BUCKET).agg(F.max_by(value, position).alias("__last"))
+               .withColumn("__carry", F.last("__last", ignorenulls=True).over(before)))
+    return _carried(rows, keys, summary).withColumn(out, F.coalesce(out, "__carry")).drop("__carry", BUCKET)
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:

@@ -120,7 +120,7 @@ def _s_video(r: Raw) -> DataFrame:
     videos = r.videos()
     before = videos.where(F.col("calendar_dt") < LAST_DAY)
     hub = L.build_h_video(before, r.empty("silver.h_video"))
-    return L.build_s_video(videos.where(F.col("calendar_dt") == LAST_DAY), videos, hub, _all_links(r, before), _video_versions(before))
+    return L.build_s_video(videos.where(F.col("calendar_dt") == LAST_DAY), L.video_days(videos), hub, _all_links(r, before), _video_versions(before))
 
 
 def _dim_channel(r: Raw) -> DataFrame:
@@ -135,7 +135,7 @@ def _dim_video(r: Raw) -> DataFrame:
 
 def _fct_channel_daily(r: Raw) -> DataFrame:
     videos = r.videos()
-    facts = L.build_fct_video_daily(_all_links(r, videos), L.build_s_video_stats(videos), _video_versions(videos), r.empty("gold.fct_video_daily"))
+    facts = L.build_fct_video_daily(_all_links(r, videos), L.build_s_video_stats(videos), _video_versions(videos), L.last_video_rows(r.empty("gold.fct_video_daily")))
     return L.build_fct_channel_daily(facts, facts.where(F.col("calendar_dt") > TOTALS_AFTER), L.build_s_channel_stats(r.channels()))
 
 

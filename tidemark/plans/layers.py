@@ -13,9 +13,9 @@ from pyspark.sql import types as T
 
 from tidemark.functions.columns import iso_duration_seconds, link_key
 from tidemark.operators.history import VALID_FROM, VALID_TO
-from tidemark.operators.joins import as_of_join, new_keys
+from tidemark.operators.joins import as_of_carried, new_keys
 from tidemark.operators.ordered import latest_per_key
-from tidemark.operators.shapes import disappeared, incremental_delta, reaggregate_affected
+from tidemark.operators.shapes import delta_from_state, disappeared, incremental_delta, last_rows, presence, reaggregate_affected
 from tidemark.sources.calendar import calendar_days, calendar_dimension
 
 S = T.StringType()
@@ -179,13 +179,19 @@ def _video_attributes(videos: DataFrame) -> DataFrame:
         F.col("calendar_dt").cast("timestamp").alias(VALID_FROM))
 
 
-def build_s_video(videos_slice: DataFrame, videos_all: DataFrame, h_video: DataFrame,
+def video_days(videos: DataFrame) -> DataFrame:
+    """On which days each video was seen, as bitmaps."""
+    return presence(videos.select(F.col("id").alias("video_id"), "calendar_dt"), "video_id", "calendar_dt")
+
+
+def build_s_video(videos_slice: DataFrame, seen: DataFrame, h_video: DataFrame,
                   l_video_channel: DataFrame, s_video: DataFrame) -> DataFrame:
-    """Video attributes of the slice plus unavailable copies for videos that vanished."""
+    """Video attributes of the slice plus unavailable copies for videos that vanished.
+
+    ``seen`` is ``video_days`` of all snapshots, the slice's included."""
     present = _video_attributes(videos_slice)
     slice_ = videos_slice.select(F.col("channelId").alias("channel_id"), "calendar_dt")
-    snapshots = videos_all.select(F.col("id").alias("video_id"), "calendar_dt")
-    gone = disappeared(slice_, snapshots, l_video_channel, h_video, s_video.drop("processed_dttm"),
+    gone = disappeared(slice_, seen, l_video_channel, h_video, s_video.drop("processed_dttm"),
                        "video_id", "channel_id", "calendar_dt", time_type="timestamp")
     return present.unionByName(gone.select(*present.columns))
 
@@ -232,16 +238,28 @@ FACT_GRAIN = ["video_id", "channel_id", "category_id", "calendar_dt"]
 FACT_MEASURES = ["views_cnt", "likes_cnt", "favorites_cnt", "comments_cnt"]
 
 
+DELTAS = {"views_cnt": "views_delta", "likes_cnt": "likes_delta", "comments_cnt": "comments_delta"}
+
+
 def build_fct_video_daily(l_video_channel: DataFrame, stats_slice: DataFrame, s_video: DataFrame,
-                          fct_video_daily: DataFrame) -> DataFrame:
-    """Slice stats with the category valid that day and deltas seeded by the last loaded day."""
+                          last: DataFrame, loaded: DataFrame | None = None) -> DataFrame:
+    """Slice stats with the category valid that day and the differences to the day before.
+
+    ``last`` holds the last loaded row of each video (``last_video_rows``).  A video with
+    slice rows that are not after it needs ``loaded``, the fact as it is stored.
+    """
     stats = l_video_channel.select("video_id", "channel_id").join(
         stats_slice.drop("processed_dttm"), "video_id", "inner")
     versions = s_video.select("video_id", "category_id", VALID_FROM, VALID_TO)
-    load = as_of_join(stats, versions, "video_id", "calendar_dt").select(*FACT_GRAIN, *FACT_MEASURES)
-    return incremental_delta(fct_video_daily.select(*FACT_GRAIN, *FACT_MEASURES), load, "video_id", "calendar_dt",
-                             ["views_cnt", "likes_cnt", "comments_cnt"],
-                             ["views_delta", "likes_delta", "comments_delta"])
+    load = as_of_carried(stats, versions, "video_id", "calendar_dt").select(*FACT_GRAIN, *FACT_MEASURES)
+    if loaded is not None:
+        return incremental_delta(loaded.select(*FACT_GRAIN, *FACT_MEASURES), load, "video_id", "calendar_dt",
+                                 list(DELTAS), list(DELTAS.values()))
+    return delta_from_state(last, load, "video_id", "calendar_dt", list(DELTAS), list(DELTAS.values()))
+
+
+def last_video_rows(fct_video_daily: DataFrame) -> DataFrame:
+    return last_rows(fct_video_daily, "video_id", "calendar_dt", list(DELTAS))
 
 
 def build_fct_channel_daily(fct_video_daily: DataFrame, fct_slice: DataFrame,

@@ -244,6 +244,17 @@ FROM s JOIN gone g USING (user_id) WHERE s.day = 30""",
 SELECT s.user_id, s.calendar_dt, s.v, b.attr FROM snap s LEFT JOIN b
   ON s.user_id = b.user_id AND CAST(s.calendar_dt AS TIMESTAMP) >= b.valid_from_dttm
  AND (b.valid_to_dttm IS NULL OR CAST(s.calendar_dt AS TIMESTAMP) < b.valid_to_dttm)""",
+    "as_of_carried": f"""WITH {SNAP}, {_build('b', _vin('true'))}
+SELECT s.user_id, s.calendar_dt, s.v, b.attr FROM snap s LEFT JOIN b
+  ON s.user_id = b.user_id AND CAST(s.calendar_dt AS TIMESTAMP) >= b.valid_from_dttm
+ AND (b.valid_to_dttm IS NULL OR CAST(s.calendar_dt AS TIMESTAMP) < b.valid_to_dttm)""",
+    "totals_by_retraction": f"""WITH {SNAP},
+f AS (SELECT user_id, user_id % 10 AS cohort_id, calendar_dt, v, v - lag(v) OVER (PARTITION BY user_id ORDER BY calendar_dt) AS v_delta FROM snap),
+b AS (SELECT * FROM f WHERE calendar_dt > DATE '2024-01-28'),
+n AS (SELECT user_id, CASE WHEN user_id % 5 = 0 THEN (cohort_id + 1) % 10 ELSE cohort_id END AS cohort_id, calendar_dt,
+             CASE WHEN user_id % 3 = 0 THEN v * 2 ELSE v END AS v, v_delta FROM b WHERE user_id % 7 <> 0)
+SELECT cohort_id, calendar_dt, count(*) AS users_cnt, CAST(sum(v) AS BIGINT) AS v_total, CAST(sum(v_delta) AS BIGINT) AS v_delta_total
+FROM n GROUP BY cohort_id, calendar_dt""",
     "daily_delta": f"""WITH {SNAP}
 SELECT user_id, calendar_dt, v, v - lag(v) OVER (PARTITION BY user_id ORDER BY calendar_dt) AS v_delta FROM snap""",
     "incremental_delta": f"""WITH {SNAP}

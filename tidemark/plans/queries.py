@@ -22,9 +22,9 @@ from tidemark.operators.history import (
     scd2_changes,
     scd2_upsert,
 )
-from tidemark.operators.joins import as_of_join, new_keys
+from tidemark.operators.joins import as_of_carried, as_of_join, new_keys
 from tidemark.operators.merge import scd1_changes, scd1_insert, scd1_rewrite, scd1_upsert
-from tidemark.operators.shapes import day_over_day, disappeared, incremental_delta, reaggregate_affected
+from tidemark.operators.shapes import day_over_day, disappeared, group_totals, incremental_delta, presence, reaggregate_affected, retract_and_add, sum_or_null
 from tidemark.operators.slices import rows_after
 from tidemark.plans import scenarios as sc
 from tidemark.session import materialize
@@ -267,7 +267,7 @@ def _disappear_inputs(s: sc.Scenario):
 def _missing(s: sc.Scenario, first: int, last: int, links, hubs, versions) -> DataFrame:
     slice_ = _cohort_snap(s, sc.days(first, last))
     everything = _cohort_snap(s, None)
-    return disappeared(slice_, everything, links, hubs, versions, "user_id", "cohort_id", "calendar_dt")
+    return disappeared(slice_, presence(everything, "user_id", "calendar_dt"), links, hubs, versions, "user_id", "cohort_id", "calendar_dt")
 
 
 def disappeared_q(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -349,6 +349,28 @@ def reaggregate_affected_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return totals.join(cohort_stats, ["cohort_id", "calendar_dt"], "inner")
 
 
+def as_of_carried_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = sc.Scenario(spark, sf_dir)
+    stats = s.snap().select("user_id", "calendar_dt", "v")
+    versions = s.versions().select("user_id", "attr", VALID_FROM, VALID_TO)
+    return as_of_carried(stats, versions, "user_id", "calendar_dt").select("user_id", "calendar_dt", "v", "attr")
+
+
+def totals_by_retraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Day totals of cohorts after the last days were sent again: every third user's value
+    doubled, every seventh user gone, every fifth user in another cohort."""
+    s = sc.Scenario(spark, sf_dir)
+    fact = day_over_day(s.snap().select("user_id", "calendar_dt", "v"), "user_id", "calendar_dt", ["v"]).withColumn("cohort_id", fx.cohort())
+    keys, sums = ["cohort_id", "calendar_dt"], ["v", "v_delta"]
+    totals = materialize(group_totals(fact, keys, sums))
+    before = fact.where(F.col("calendar_dt") > F.date_add(F.lit("2024-01-01").cast("date"), sc.REAGGREGATE_AFTER_DAY - 1))
+    after = (before.where(F.col("user_id") % 7 != 0)
+             .withColumn("v", F.when(F.col("user_id") % 3 == 0, F.col("v") * 2).otherwise(F.col("v")))
+             .withColumn("cohort_id", F.when(F.col("user_id") % 5 == 0, (F.col("cohort_id") + 1) % fx.COHORTS).otherwise(F.col("cohort_id"))))
+    now = retract_and_add(totals, after, before, keys, sums).where("n_rows > 0")
+    return now.select(*keys, F.col("n_rows").alias("users_cnt"), sum_or_null("v").alias("v_total"), sum_or_null("v_delta").alias("v_delta_total"))
+
+
 def fct_video_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The daily video fact (T16) loaded in two slices: days 1..20, then the rest."""
     from tidemark.plans import layers as L
@@ -365,10 +387,11 @@ def fct_video_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
                                     F.lit(0).cast("bigint").alias("favorites_cnt"),
                                     (F.col("n") * 2).alias("comments_cnt"))
 
-    empty = spark.createDataFrame([], L.SCHEMAS["gold.fct_video_daily"])
-    first = materialize(L.build_fct_video_daily(links, stats(sc.days(1, sc.DELTA_SPLIT_DAY)), versions, empty))
+    nothing = L.last_video_rows(spark.createDataFrame([], L.SCHEMAS["gold.fct_video_daily"]))
+    first = L.build_fct_video_daily(links, stats(sc.days(1, sc.DELTA_SPLIT_DAY)), versions, nothing)
+    last = materialize(L.last_video_rows(first))  # the state the first load leaves behind
     later = stats(sc.from_day(sc.DELTA_SPLIT_DAY + 1))
-    return L.build_fct_video_daily(links, later, versions, first)
+    return L.build_fct_video_daily(links, later, versions, last)
 
 
 def dim_denormalised(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -485,6 +508,8 @@ QUERIES: dict[str, Query] = {
     "reappeared": reappeared,
     "disappeared_two_days": disappeared_two_days,
     "as_of_join": as_of_join_q,
+    "as_of_carried": as_of_carried_q,
+    "totals_by_retraction": totals_by_retraction,
     "daily_delta": daily_delta,
     "incremental_delta": incremental_delta_q,
     "late_delta_refresh": late_delta_refresh,

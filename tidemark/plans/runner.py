@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.columns import PROCESSED_COLUMN
 from tidemark.operators import quality as dq
 from tidemark.operators.history import VALID_FROM, VALID_TO
+from tidemark.operators.shapes import late_keys, merge_presence
 from tidemark.operators.slices import Slicer, Watermarks
 from tidemark.plans import layers as L
 from tidemark.session import materialize, scratch_scope
@@ -44,6 +45,13 @@ PARTITIONS = {
     "gold.fct_channel_daily": ("calendar_dt", None),
 }
 
+# What loads go on from instead of reading history again: on which days a video was
+# seen, and its last fact row.  Schema, partition column.
+STATE = {
+    "state.video_days": ("video_id string, word int, days bigint", "word"),
+    "state.video_last": ("video_id string, calendar_dt date, views_cnt bigint, likes_cnt bigint, comments_cnt bigint", None),
+}
+
 # Data-quality declarations of the model: key, non-negative measures, business
 # key of versioned tables and foreign keys (fixed values).
 SPECS: tuple[dq.TableSpec, ...] = (
@@ -94,6 +102,8 @@ class Warehouse:
         for name, ddl in L.SCHEMAS.items():
             part, expr = PARTITIONS.get(name, (None, None))
             self.tables.create(name, f"{ddl}, {PROCESSED_COLUMN} timestamp", part, expr() if expr else None)
+        for name, (ddl, part) in STATE.items():
+            self.tables.create(name, f"{ddl}, {PROCESSED_COLUMN} timestamp", part)
 
     # ----------------------------------------------------------------- writes
     def upsert1(self, name: str, rows: DataFrame, keys: list[str]) -> None:
@@ -121,6 +131,45 @@ class Warehouse:
         base = f"{self.raw_root}/{entity}"
         return read_envelopes(self.spark, f"{base}/ingestion_date={date}", item, base_path=base, multi_line=True)
 
+    # ------------------------------------------------------------------ state
+    def _state(self, name: str, history, more: DataFrame | None) -> tuple[DataFrame, DataFrame | None]:
+        """A state table without its processing time, and ``more`` to merge into it: built from
+        ``history`` where it is still empty (a warehouse loaded before it kept state)."""
+        stored = self.tables.read(name).drop(PROCESSED_COLUMN)
+        return stored, (history() if stored.isEmpty() else more)
+
+    def _see_videos(self, videos_slice: DataFrame) -> DataFrame:
+        """Merge the slice into the days videos were seen; returns them."""
+        name = "state.video_days"
+        stored, more = self._state(name, lambda: L.video_days(self.tables.read("bronze.videos")), L.video_days(videos_slice))
+        more = materialize(more)
+        touched = stored.join(more.select("video_id", "word"), ["video_id", "word"], "left_semi")
+        self.upsert1(name, merge_presence(touched, more, "video_id"), ["video_id", "word"])
+        return self.tables.read(name)
+
+    def _video_facts(self, stats: DataFrame) -> DataFrame:
+        """Fact rows of the slice, from the last loaded rows; the fact itself is read only
+        where a video's slice rows are not behind its last one."""
+        t = self.tables
+        links, versions, loaded = t.read("silver.l_video_channel"), t.read("silver.s_video"), t.read("gold.fct_video_daily")
+        last, first = self._state("state.video_last", lambda: L.last_video_rows(loaded), None)
+        last = last if first is None else first
+        late = late_keys(last, stats, "video_id", "calendar_dt")
+        if late.isEmpty():
+            return L.build_fct_video_daily(links, stats, versions, last)
+        late = materialize(late)
+        on_time = L.build_fct_video_daily(links, stats.join(late, "video_id", "left_anti"), versions, last)
+        behind = L.build_fct_video_daily(links, stats.join(late, "video_id", "left_semi"), versions, last, loaded.join(late, "video_id", "left_semi"))
+        return on_time.unionByName(behind)
+
+    def _remember_facts(self, rows: DataFrame) -> None:
+        """Keep the last row of each video of a load, where it is behind the one kept."""
+        name = "state.video_last"
+        stored, more = self._state(name, lambda: L.last_video_rows(self.tables.read("gold.fct_video_daily")), L.last_video_rows(rows))
+        kept = stored.select("video_id", F.col("calendar_dt").alias("__kept"))
+        newer = more.join(kept, "video_id", "left").where(F.col("__kept").isNull() | (F.col("calendar_dt") >= F.col("__kept"))).drop("__kept")
+        self.upsert1(name, newer, ["video_id"])
+
     # ----------------------------------------------------------------- bronze
     def load_bronze(self, date: str) -> None:
         self.upsert1("bronze.categories", L.build_bronze_categories(self._raw("categories", L.CATEGORY_ITEM, date)),
@@ -156,7 +205,7 @@ class Warehouse:
         self.upsert1("silver.s_video_stats", L.build_s_video_stats(v), ["video_id", "calendar_dt"])
         s.commit()
         s, v = self._slice("silver.s_video", "bronze.videos")
-        rows = L.build_s_video(v, t.read("bronze.videos"), t.read("silver.h_video"),
+        rows = L.build_s_video(v, self._see_videos(v), t.read("silver.h_video"),
                                t.read("silver.l_video_channel"), t.read("silver.s_video"))
         self.upsert2("silver.s_video", rows, "video_id")
         s.commit()
@@ -176,9 +225,9 @@ class Warehouse:
                                                          t.read("silver.ref_category")), "video_id")
         s.commit()
         s, st = self._slice("gold.fct_video_daily", "silver.s_video_stats")
-        rows = L.build_fct_video_daily(t.read("silver.l_video_channel"), st, t.read("silver.s_video"),
-                                       t.read("gold.fct_video_daily"))
+        rows = materialize(self._video_facts(st))
         self.upsert1("gold.fct_video_daily", rows, ["video_id", "calendar_dt"])
+        self._remember_facts(rows)
         s.commit()
         s, fs = self._slice("gold.fct_channel_daily", "gold.fct_video_daily")
         rows = L.build_fct_channel_daily(t.read("gold.fct_video_daily"), fs, t.read("silver.s_channel_stats"))

@@ -24,21 +24,33 @@ def envelope_schema(item: T.StructType | str) -> T.StructType | str:
     return T.StructType([T.StructField("items", T.ArrayType(item))])
 
 
+CORRUPT = "corrupt"
+
+
 def read_envelopes(spark: SparkSession, path: str | Sequence[str], item: T.StructType | str,
-                   base_path: str | None = None, multi_line: bool = True) -> DataFrame:
+                   base_path: str | None = None, multi_line: bool = True, keep_corrupt: bool = False) -> DataFrame:
     """One row per item (column ``i``) plus the partition columns of the path.
 
     A file may hold one envelope or a top-level array of envelopes; an envelope
-    without ``items`` contributes no rows.
+    without ``items`` contributes no rows.  With ``keep_corrupt`` a record that is no
+    envelope gives a row too, without an item and with its text in ``corrupt`` (NULL
+    in all others), so that it can be counted or set aside; else it is passed over.
     """
     schema = envelope_schema(item)
     if isinstance(schema, str):
         schema = schema.removeprefix("struct<").removesuffix(">").replace(":", " ", 1)
+    if keep_corrupt:
+        schema = T.StructType([*(T.StructType.fromDDL(schema) if isinstance(schema, str) else schema).fields, T.StructField(CORRUPT, T.StringType())])
     reader = spark.read.schema(schema).option("multiLine", multi_line)
     if base_path:
         reader = reader.option("basePath", base_path)
+    if keep_corrupt:
+        reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
     raw = reader.json(path)
-    partition_cols = [c for c in raw.columns if c != "items"]
+    partition_cols = [c for c in raw.columns if c not in ("items", CORRUPT)]
+    if keep_corrupt:
+        items = F.when(F.col(CORRUPT).isNull(), F.col("items")).otherwise(F.array(F.lit(None).cast(raw.schema["items"].dataType.elementType)))
+        return raw.select(*partition_cols, CORRUPT, F.explode(items).alias("i"))
     return raw.select(*partition_cols, F.explode("items").alias("i"))
 
 
