@@ -197,3 +197,24 @@ def test_a_provider_with_row_level_operations_gets_a_merge(spark, tables, monkey
     calls.clear()
     write_scd2(tables, "s.two", _two(spark, [("k", "C", 2)]), "k", ["k", "valid_from_dttm"], "upsert", "from_dt")
     assert calls[-1] == "merge" and calls.count("matched") == 3
+
+
+def test_bucketed_versions_are_not_shuffled_for_the_touched_keys(spark):
+    from tidemark.operators.history import _history
+
+    t = CatalogTables(spark, tempfile.mkdtemp(prefix="writers-"))
+    t.create("s.v", SCD2_DDL, bucket_by=("k", 8))
+    write_scd2(t, "s.v", _two(spark, [(f"k{i}", "A", 1) for i in range(40)]), "k", ["k", "valid_from_dttm"], "insert")
+    source = _two(spark, [(f"k{i}", "B", 3) for i in range(0, 40, 2)])
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for mode in ("from_dt", "full"):
+            plan = _history(t.read("s.v"), source, "k", mode)._jdf.queryExecution().executedPlan().toString().splitlines()
+            scan = next(i for i, line in enumerate(plan) if "FileScan" in line)
+            join = next(i for i, line in enumerate(plan) if "SortMergeJoin" in line)
+            assert "Bucketed: true" in plan[scan] and not any("Exchange" in line for line in plan[join:scan]), mode
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    write_scd2(t, "s.v", source, "k", ["k", "valid_from_dttm"], "upsert", "from_dt")
+    assert t.read("s.v").count() == 60 and t.read("s.v").where("valid_to_dttm is null").count() == 40

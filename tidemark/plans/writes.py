@@ -92,6 +92,20 @@ def scd2_write_from_dt(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.read("s.versions").select(*VERSION_COLS)
 
 
+def scd2_write_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same merge into a table laid out by the hash of its business key: the join of the
+    stored versions with the touched keys moves no stored row."""
+    s = sc.Scenario(spark, sf_dir)
+    first, last = sc.LATE_DAYS
+    t = CatalogTables(spark, _root(spark))
+    t.create("s.versions", f"user_id bigint, attr string, {VALID_FROM} timestamp_ntz, {VALID_TO} timestamp_ntz, processed_dttm timestamp",
+             bucket_by=("user_id", 8))
+    keys = ["user_id", VALID_FROM]
+    write_scd2(t, "s.versions", s.versions_input(~sc.days(first, last)), "user_id", keys, "insert")
+    write_scd2(t, "s.versions", s.versions_input(sc.days(first, last)), "user_id", keys, "upsert", "full")
+    return t.read("s.versions").select(*VERSION_COLS)
+
+
 def _resent(mode: str):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         s = sc.Scenario(spark, sf_dir)
@@ -126,6 +140,7 @@ QUERIES = {
     "scd1_write_moved_partition": scd1_write_moved_partition,
     "scd1_write_foreign_partition": scd1_write_foreign_partition,
     "scd2_write_from_dt": scd2_write_from_dt,
+    "scd2_write_bucketed": scd2_write_bucketed,
     **{f"scd2_resent_{mode}": _resent(mode) for mode in ("no", "from_dt", "full")},
     "slicer_runs": slicer_runs,
 }
@@ -142,6 +157,7 @@ SELECT user_id, calendar_dt + 7305 AS calendar_dt, v, v - lag(v) OVER (PARTITION
     "scd1_write_moved_partition": f"WITH {SEEN} SELECT user_id, seen_at, cnt FROM seen",
     "scd1_write_foreign_partition": f"WITH {SEEN} SELECT user_id, cnt, CAST(seen_at AS DATE) AS seen_day FROM seen",
     "scd2_write_from_dt": _scd2_upsert_sql("from_dt"),
+    "scd2_write_bucketed": _scd2_upsert_sql("full"),
     **{f"scd2_resent_{mode}": _scd2_upsert_sql(mode, "true", RESENT) for mode in ("no", "from_dt", "full")},
     "slicer_runs": "SELECT event_id, CASE WHEN ts < TIMESTAMP '2024-01-21' THEN 1 ELSE 2 END AS run FROM events",
 }
