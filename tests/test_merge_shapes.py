@@ -249,6 +249,8 @@ def test_as_of_carried_equals_the_interval_join(spark):
 
 
 def test_rebuild_stores_nothing_and_shares_the_shuffle(spark, monkeypatch, tmp_path):
+    import re
+
     from tidemark import session
     from tidemark.operators.history import VALID_FROM, scd2_upsert
 
@@ -258,5 +260,6 @@ def test_rebuild_stores_nothing_and_shares_the_shuffle(spark, monkeypatch, tmp_p
     for mode in ("no", "from_dt", "full"):
         out = scd2_upsert(t, s, "k", ["k", VALID_FROM], mode)
         out.collect()
-        assert "ReusedExchange" in out._jdf.queryExecution().executedPlan().toString(), mode
+        plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert len(re.findall(r"Exchange hashpartitioning\(k#\d+, __bucket", plan)) == 1 and "ReusedExchange" in plan, mode
     assert [len(x) for x in session._SCOPES] == before

@@ -55,38 +55,33 @@ def with_runs(df: DataFrame, keys: Sequence[str], start: str, order: Sequence[tu
         previous = F.last(F.when(takes_part, F.col(HASH)), ignorenulls=True).over(inside.rowsBetween(Window.unboundedPreceding, -1))
     else:
         previous = F.lag(HASH).over(inside)
-    rows = df.withColumn("__previous", previous)
+    rows = df.select("*", previous.alias("__previous"))
     first = takes_part & F.col("__previous").isNull()
     starts = takes_part & F.col("__previous").isNotNull() & (F.col(HASH) != F.col("__previous"))
 
-    pre = F.max(before_scope) if before_scope else F.lit(False)
-    summary = (rows.groupBy(*keys, BUCKET).agg(
-        F.max(F.when(first, F.col(HASH))).alias("__first_hash"), F.min(F.when(first, F.col(start))).alias("__first_start"),
-        F.max_by(HASH, F.when(takes_part, _all_columns(df, [c for c, down in order if not down]))).alias("__last_hash"),
-        F.min(F.when(starts, F.col(start))).alias("__second_start"), pre.alias("__pre"))
-        .where(F.col("__first_hash").isNotNull()))
+    described = [F.max(F.when(first, F.col(HASH))).alias("__first_hash"), F.min(F.when(first, F.col(start))).alias("__first_start"),
+                 F.max_by(HASH, F.when(takes_part, _all_columns(df, [c for c, down in order if not down]))).alias("__last_hash"),
+                 F.min(F.when(starts, F.col(start))).alias("__second_start"), *([F.max(before_scope).alias("__pre")] if before_scope else [])]
+    summary = rows.groupBy(*keys, BUCKET).agg(*described).where(F.col("__first_hash").isNotNull())
     if before_scope:
         last_pre = F.max(F.when(F.col("__pre"), F.col(BUCKET))).over(Window.partitionBy(*keys))
-        summary = summary.withColumn("__last_pre", last_pre).where(~F.col("__pre") | (F.col(BUCKET) == F.col("__last_pre")))
-    across = Window.partitionBy(*keys).orderBy(BUCKET)
-    back = Window.partitionBy(*keys).orderBy(F.desc(BUCKET)).rowsBetween(Window.unboundedPreceding, -1)
-    carry = summary.withColumn("__before", F.lag("__last_hash").over(across))
+        summary = summary.select("*", last_pre.alias("__last_pre")).where(~F.col("__pre") | (F.col(BUCKET) == F.col("__last_pre")))
+    by_key = [F.col(k).alias(f"__k_{i}") for i, k in enumerate(keys)]
+    before = F.lag("__last_hash").over(Window.partitionBy(*keys).orderBy(BUCKET))
+    back = Window.partitionBy(*[f"__k_{i}" for i in range(len(keys))]).orderBy(F.desc("__k_bucket")).rowsBetween(Window.unboundedPreceding, -1)
     new_run = F.col("__before").isNull() | (F.col("__before") != F.col("__first_hash"))
-    carry = (carry.withColumn("__run", F.when(new_run, F.col("__first_start")).otherwise(F.col("__second_start")))
-             .withColumn("__after", F.last("__run", ignorenulls=True).over(back))
-             .select(*[F.col(k).alias(f"__k_{i}") for i, k in enumerate(keys)], F.col(BUCKET).alias("__k_bucket"), "__before", "__after"))
+    run = F.when(new_run, F.col("__first_start")).otherwise(F.col("__second_start"))
+    carry = (summary.select(*by_key, F.col(BUCKET).alias("__k_bucket"), "__first_hash", "__first_start", "__second_start", before.alias("__before"))
+             .select(*[f"__k_{i}" for i in range(len(keys))], "__k_bucket", "__before", F.last(run, ignorenulls=True).over(back).alias("__after")))
 
     later = Window.partitionBy(*keys, BUCKET).orderBy(*[F.asc(c) if down else F.desc(c) for c, down in order]).rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumn("__later", F.last(F.when(starts, F.col(start)), ignorenulls=True).over(later))
+    rows = rows.select("*", F.last(F.when(starts, F.col(start)), ignorenulls=True).over(later).alias("__later"))
     # Rows with a NULL key all share one bucket (see ``add_bucket``): none meets a carry or needs one.
     match = F.col(BUCKET) == F.col("__k_bucket")
     for i, k in enumerate(keys):
         match = match & (F.col(k) == F.col(f"__k_{i}"))
-    joined = rows.join(carry, match, "left")
     outside = F.col(before_scope) & F.col("__k_bucket").isNull() if before_scope else F.lit(False)
     opens = F.col("__before").isNull() | (F.col("__before") != F.col(HASH))
-    return (joined.withColumn(OUTSIDE, outside)
-            .withColumn(KEEP, ~F.col(OUTSIDE) & F.when(first, opens).otherwise(starts))
-            .withColumn(NEXT, F.coalesce("__later", "__after"))
-            .drop("__previous", "__later", "__before", "__after", "__k_bucket", *[f"__k_{i}" for i in range(len(keys))]))
-
+    return rows.join(carry, match, "left").select(
+        *[F.col(c) for c in df.columns], outside.alias(OUTSIDE), (~outside & F.when(first, opens).otherwise(starts)).alias(KEEP),
+        F.coalesce("__later", "__after").alias(NEXT))

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.columns import changed, key_match
 from tidemark.session import materialize
 
 Apply = Callable[[DataFrame, DataFrame], DataFrame]
@@ -206,25 +207,6 @@ def assignments(columns: Sequence[str], prefix: str = "s") -> dict[str, Column]:
     return {c: F.col(f"{prefix}.{c}") for c in columns}
 
 
-def _on(keys: Sequence[str], t: str) -> Column:
-    """Plain ``=`` on every key (a NULL key never matches)."""
-    if not keys:
-        raise ValueError("key columns must not be empty")
-    cond = F.col(f"{t}.{keys[0]}") == F.col(f"s.{keys[0]}")
-    for k in keys[1:]:
-        cond = cond & (F.col(f"{t}.{k}") == F.col(f"s.{k}"))
-    return cond
-
-
-def _differs(columns: Sequence[str], t: str) -> Column:
-    if not columns:
-        raise ValueError("compare columns must not be empty")
-    same = F.col(f"{t}.{columns[0]}").eqNullSafe(F.col(f"s.{columns[0]}"))
-    for c in columns[1:]:
-        same = same & F.col(f"{t}.{c}").eqNullSafe(F.col(f"s.{c}"))
-    return ~same
-
-
 def scd1_merge_clauses(table: str, source_columns: Sequence[str], keys: Sequence[str]):
     """Clauses of a guarded key upsert: update only if a value differs, insert if new.
 
@@ -235,11 +217,11 @@ def scd1_merge_clauses(table: str, source_columns: Sequence[str], keys: Sequence
 
     def when(builder):
         if values:
-            builder = builder.whenMatched(_differs(values, t)).update(
+            builder = builder.whenMatched(changed(t, "s", values)).update(
                 assignments([c for c in source_columns if c not in keys]))
         return builder.whenNotMatched().insert(assignments(source_columns))
 
-    return _on(keys, t), when
+    return key_match(t, "s", keys), when
 
 
 def scd2_merge_clauses(table: str, columns: Sequence[str], keys: Sequence[str]):
@@ -254,7 +236,7 @@ def scd2_merge_clauses(table: str, columns: Sequence[str], keys: Sequence[str]):
                 .whenMatched(op == "delete").delete()
                 .whenMatched((op == "close") & ~F.col(f"{t}.valid_to_dttm").eqNullSafe(F.col("s.valid_to_dttm")))
                 .update(assignments(["valid_to_dttm", "processed_dttm"]))
-                .whenMatched((op == "upsert") & _differs(compare, t)).update(assignments(values))
+                .whenMatched((op == "upsert") & changed(t, "s", compare)).update(assignments(values))
                 .whenNotMatched(op == "upsert").insert(assignments(columns)))
 
-    return _on(keys, t), when
+    return key_match(t, "s", keys), when
