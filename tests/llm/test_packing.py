@@ -91,10 +91,16 @@ def test_a_merge_keeps_what_a_group_may_hold():
     assert len(w.free) <= 2 and all(sum(len(raw) // 4 for (_, _, _, raw), _ in pieces) == 10 for _, pieces in w.done)
 
 
-def test_wordwise_equals_the_library():
-    plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    plain.encode_special_tokens = True
-    encoder = wordwise.Wordwise(public_tokenizers.path("byte_bpe_50k.json"), wordwise.before_words, plain=True)
-    texts = STRANGE + ["a  b   c \n d\n\n e\t f   g", "", " ", "   ", "x ", " x", "\n \n x  y"]
-    got = [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(texts)]
-    assert got == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+MORE = ["a  b   c \n d\n\n e\t f   g", "", " ", "   ", "x ", " x", "\n \n x  y", "a\x02b \x02 c", "!\x02", "\x02"]
+
+
+@pytest.mark.parametrize(("kind", "file"), [(wordwise.SpacelessWords, "word_bpe_49k.json"), (wordwise.ByteWords, "byte_bpe_50k.json")])
+def test_wordwise_equals_the_library(monkeypatch, kind, file):
+    monkeypatch.setattr(wordwise, "KEPT_WORDS", 50)
+    library = Tokenizer.from_file(public_tokenizers.path(file))
+    library.encode_special_tokens = kind is wordwise.ByteWords
+    encoder = kind(public_tokenizers.path(file))
+    texts = STRANGE + MORE + [r[1] or "" for r in awkward()]
+    for _ in range(2):
+        got = [np.frombuffer(x, "<u4").tolist() for i in range(0, len(texts), 7) for x in encoder.encode(texts[i : i + 7])]
+        assert got == [library.encode(t, add_special_tokens=False).ids for t in texts]

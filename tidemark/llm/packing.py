@@ -105,7 +105,7 @@ def _place(windows: Windows, key: tuple, raw: bytes, slack: int) -> None:
 
 def _packer(encode_path: str, keep: tuple[str, ...], end_id: int, capacity: int, limit: int, slack: int, ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = wordwise.load(encode_path, wordwise.at_spaces, plain=False)
+        encoder = wordwise.load(encode_path, wordwise.SpacelessWords)
         end = np.array([end_id], "<u4").tobytes()
         windows = Windows(capacity, limit, TaskContext.get().partitionId() << _GROUP)
 
