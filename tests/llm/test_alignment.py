@@ -82,12 +82,17 @@ def test_empty_tables(spark):
     assert [(r.n_a, r.n_b, r.n_groups, r.n_links, r.n_best, r.count_sum, r.groups_sha256) for r in got] == [(0, 0, 0, 0, 0, 0, "")] * 2
 
 
+def groups(a, b):
+    found = alignment.stretches(a, b)
+    return [x + 1 for x in alignment.group_ends(found, len(a), 0)], [x + 1 for x in alignment.group_ends(found, len(b), 1)]
+
+
 @given(st.lists(st.integers(1, 60), min_size=1, max_size=40, unique=True), st.lists(st.integers(1, 60), max_size=40, unique=True))
-def test_boundaries_are_the_common_ends(a, b):
+def test_groups_end_at_the_common_ends(a, b):
     a = sorted(a)
     b = sorted({x for x in b if x <= a[-1]} | {a[-1]})
     common = sorted(set(a) & set(b))
-    assert alignment.boundaries(a, b) == ([a.index(x) + 1 for x in common], [b.index(x) + 1 for x in common])
+    assert groups(a, b) == ([a.index(x) + 1 for x in common], [b.index(x) + 1 for x in common])
 
 
 def test_long_one_to_one_runs_are_skipped():
@@ -95,5 +100,6 @@ def test_long_one_to_one_runs_are_skipped():
     a = sorted(rng.sample(range(10**6), 5000))
     b = [x for i, x in enumerate(a) if i % 997 or x == a[-1]]
     common = sorted(set(a) & set(b))
-    got = alignment.boundaries(a, b)
+    got = groups(a, b)
     assert [a[x - 1] for x in got[0]] == common == [b[y - 1] for y in got[1]]
+    assert len(alignment.stretches(a, b)) == 1 + sum(i % 997 == 0 for i in range(5000))

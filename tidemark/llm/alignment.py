@@ -21,6 +21,7 @@ give a row; null ids are kept; an empty table gives no rows; further columns are
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,21 +34,29 @@ from tidemark.llm import wordwise
 from tidemark.llm.sentencepieces import MARK
 from tidemark.llm.tables import map_texts, small, stored, text_of
 
+KEPT_WORDS = 600_000  # words a worker has met; those not met again while as many others were are dropped
+PROBE = 4  # ends in the first block that is compared
 CHUNK_ROWS = 1024
 CHUNK_BYTES = 4 << 20  # of text; a longer text is a chunk of its own
 _OWN = {"n_a": "bigint", "n_b": "bigint", "n_groups": "bigint", "groups_sha256": "string"}
 _LISTS = {"a_ids": "array<int>", "b_ids": "array<int>", "a_until": "array<int>", "b_until": "array<int>"}
 
 
-def boundaries(a: list[int], b: list[int]) -> tuple[list[int], list[int]]:
-    """Per group, how many tokens of either side lie before its end.  ``a`` and ``b`` are
-    the sides' ascending end offsets; the last ones are equal."""
-    out_a: list[int] = []
-    out_b: list[int] = []
+_STEM = re.compile(r"( [A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]{1,3})")
+Stretch = tuple[int, int, int, int, int]  # see ``stretches``
+
+
+def stretches(a: list[int], b: list[int]) -> list[Stretch]:
+    """(i, j, run, x, y): from tokens i of A and j of B on ``run`` one-to-one groups, then an
+    irregular group of x tokens of A and y of B (0 and 0 at the end).
+
+    ``a`` and ``b`` are the sides' ascending end offsets; the last ones are equal.
+    """
+    out: list[Stretch] = []
     i = j = 0
     n = len(a)
     while i < n:
-        run, step = 0, 1
+        run, step = 0, PROBE
         while True:
             block = a[i + run : i + run + step]
             if not block or block != b[j + run : j + run + step]:
@@ -59,58 +68,50 @@ def boundaries(a: list[int], b: list[int]) -> tuple[list[int], list[int]]:
             block = a[i + run : i + run + step]
             if block and block == b[j + run : j + run + step]:
                 run += len(block)
-        if run:
-            out_a.extend(range(i + 1, i + run + 1))
-            out_b.extend(range(j + 1, j + run + 1))
-            i += run
-            j += run
-            if i >= n:
-                break
-        x, y = a[i], b[j]
+        k, m = i + run, j + run
+        if k >= n:
+            out.append((i, j, run, 0, 0))
+            break
+        x, y = a[k], b[m]
         while x != y:
             if x < y:
-                i += 1
-                x = a[i]
+                k += 1
+                x = a[k]
             else:
-                j += 1
-                y = b[j]
-        i += 1
-        j += 1
-        out_a.append(i)
-        out_b.append(j)
-    return out_a, out_b
-
-
-def digest_of(a: list[int], b: list[int], until_a: list[int], until_b: list[int]) -> str:
-    """SHA-256 of ``a1,a2|b1;a3|b2,b3``, the groups in order; '' without tokens."""
-    if not until_a:
-        return ""
-    sa, sb = list(map(str, a)), list(map(str, b))
-    parts, i, j = [], 0, 0
-    for x, y in zip(until_a, until_b):
-        left = sa[i] if x - i == 1 else ",".join(sa[i:x])
-        right = sb[j] if y - j == 1 else ",".join(sb[j:y])
-        parts.append(left + "|" + right)
-        i, j = x, y
-    return hashlib.sha256(";".join(parts).encode()).hexdigest()
+                m += 1
+                y = b[m]
+        out.append((i, j, run, k + 1 - i - run, m + 1 - j - run))
+        i, j = k + 1, m + 1
+    return out
 
 
-def byte_level_tokens(path: str) -> list[bytes]:
-    """The bytes of every id of a byte-level vocabulary.
+def group_ends(found: list[Stretch], tokens: int, side: int) -> np.ndarray:
+    """Places of the tokens of a side (0: A, 1: B) that end a group."""
+    ends = np.ones(tokens, bool)
+    for s in found:
+        if s[3 + side] > 1:
+            at = s[side] + s[2]
+            ends[at : at + s[3 + side] - 1] = False
+    return np.flatnonzero(ends)
 
-    Its entries show bytes as characters: printable ones of Latin-1 stand for
-    themselves, the others, ascending, for the characters from U+0100 on.
-    """
-    from tokenizers import Tokenizer
-
-    themselves = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    others = [x for x in range(256) if x not in set(themselves)]
-    shown = {chr(x): x for x in themselves} | {chr(256 + i): x for i, x in enumerate(others)}
-    vocabulary = Tokenizer.from_file(path).get_vocab(with_added_tokens=False)
-    out = [b""] * (max(vocabulary.values()) + 1)
-    for entry, i in vocabulary.items():
-        out[i] = bytes(shown[c] for c in entry)
-    return out
+
+def digest_of(a: list[str], b: list[str], found: list[Stretch]) -> str:
+    """SHA-256 of ``a1,a2|b1;a3|b2,b3``, the groups in order; '' without tokens.
+    ``a`` are the ids of A with a bar behind each, ``b`` those of B with a semicolon."""
+    if not found:
+        return ""
+    parts: list[str] = []
+    for i, j, run, x, y in found:
+        k, m = i + run, j + run
+        pairs = [""] * (2 * run)
+        pairs[::2], pairs[1::2] = a[i:k], b[j:m]
+        parts += pairs
+        if x:
+            parts += [s[:-1] + "," for s in a[k : k + x - 1]]
+            parts.append(a[k + x - 1])
+            parts += [s[:-1] + "," for s in b[m : m + y - 1]]
+            parts.append(b[m + y - 1])
+    return hashlib.sha256("".join(parts)[:-1].encode()).hexdigest()
 
 
 def piece_tokens(library) -> list[bytes]:
@@ -125,22 +126,77 @@ class Aligner:
     def __init__(self, a_path: str, b_path: str):
         import sentencepiece
 
-        self.a = wordwise.load(a_path, wordwise.before_words, plain=True)
+        self.a = wordwise.load(a_path, wordwise.ByteWords)
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
-        self.a_bytes, self.b_bytes = byte_level_tokens(a_path), piece_tokens(self.b)
-        self.a_sizes = np.array([len(x) for x in self.a_bytes], np.int64)
+        if any(MARK in self.b.id_to_piece(i).lstrip(MARK) for i in range(self.b.get_piece_size())):
+            raise ValueError("pieces cross word starts; words cannot be encoded on their own")
+        self.a_bytes, self.b_bytes = self.a.token_bytes, piece_tokens(self.b)
+        self.a_sizes = self.a.sizes
         self.b_sizes = np.array([len(x) for x in self.b_bytes], np.int64)
-
-    def align(self, texts: list[str]) -> Iterator[tuple[list[int], list[int], list[int], list[int]]]:
-        """Per text: ids of A over a space and the text, ids of B, and ``boundaries``."""
-        spaced = [" " + x if x else "" for x in texts]
-        for text, raw, b in zip(spaced, self.a.encode(spaced), self.b.encode(texts, num_threads=1), strict=True):
-            own = np.frombuffer(raw, "<u4")
-            a, whole = own.tolist(), text.encode()
-            if not text or b"".join(map(self.a_bytes.__getitem__, a)) != whole or b"".join(map(self.b_bytes.__getitem__, b)) != whole:
-                yield [], [], [], []
+        self.a_shown, self.b_shown = [f"{i}|" for i in range(len(self.a_bytes))], [f"{i};" for i in range(len(self.b_bytes))]
+        # Pairs of ids as one number.
+        self.width = len(self.b_bytes)
+        self.kind = np.dtype("<u4" if len(self.a_bytes) * self.width <= 1 << 32 else "<u8")
+
+        # Words between single spaces met lately: ids of a space and the word by both sides.  False:
+        # the word decides nothing on its own, and its text is encoded whole.
+        self.known: dict[str, tuple[bytes, bytes] | bool] = {}
+        self.older: dict[str, tuple[bytes, bytes] | bool] = {}
+        self.tails: dict[str, bytes] = {}  # runs of up to three punctuation marks
+
+    def _same_bytes(self, a: list[int], b: list[int], whole: bytes) -> bool:
+        return b"".join(map(self.a_bytes.__getitem__, a)) == whole == b"".join(map(self.b_bytes.__getitem__, b))
+
+    def _new(self, words: list[str]) -> None:
+        """Both libraries' ids of a space and each word.
+
+        A space in front of a visible character begins a token on both sides: A's
+        pre-token and, as no piece holds its mark behind another character, B's piece.
+        """
+        plain = [w for w in words if w and not w[0].isspace() and not w[-1].isspace() and MARK not in w and len(w) <= wordwise.KEPT_LENGTH]
+        self.known.update(dict.fromkeys(words, False))
+        for at in range(0, len(plain), 1 << 14):
+            some = plain[at : at + (1 << 14)]
+            # A parts letters from the punctuation behind them, so words share their stems.
+            parts = [_STEM.fullmatch(" " + w) for w in some]
+            stems = dict.fromkeys(m[1] if m else " " + w for w, m in zip(some, parts))
+            ids = dict(zip(stems, self.a.joined(list(stems)), strict=True))
+            a_ids = [ids[m[1]] + self._tail(m[2]) if m else ids[" " + w] for w, m in zip(some, parts)]
+            for w, a, b in zip(some, a_ids, self.b.encode(some, num_threads=1), strict=True):
+                if self._same_bytes(np.frombuffer(a, "<u4").tolist(), b, b" " + w.encode()):
+                    self.known[w] = (a, np.array(b, "<u4").tobytes())
+
+    def _tail(self, marks: str) -> bytes:
+        if marks not in self.tails:
+            self.tails[marks] = self.a.ids(marks).tobytes()
+        return self.tails[marks]
+
+    def encode(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Per text the ids of A over a space and the text, and of B; none if they do not give its bytes."""
+        known, older = self.known, self.older
+        cuts = [x.split(" ") for x in texts]
+        fresh = list(dict.fromkeys(w for c in cuts for w in c if w not in known))
+        known.update((w, older[w]) for w in fresh if w in older)
+        self._new([w for w in fresh if w not in known])
+        none = np.empty(0, "<u4")
+        for text, cut in zip(texts, cuts):
+            found = list(map(known.__getitem__, cut))
+            if text and False not in found:
+                yield np.frombuffer(b"".join([x[0] for x in found]), "<u4"), np.frombuffer(b"".join([x[1] for x in found]), "<u4")
                 continue
-            yield a, b, *boundaries(np.cumsum(self.a_sizes[own]).tolist(), np.cumsum(self.b_sizes[b]).tolist())
+            a, b = np.frombuffer(self.a.encode([" " + text])[0], "<u4") if text else none, np.array(self.b.encode(text), "<u4")
+            whole = self._same_bytes(a.tolist(), b.tolist(), f" {text}".encode())
+            yield (a, b) if text and whole else (none, none)
+        if len(known) > KEPT_WORDS:
+            self.older, self.known = known, {}
+
+    def align(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, list[Stretch]]]:
+        """Per text the ids of both sides and their ``stretches``."""
+        for a, b in self.encode(texts):
+            yield a, b, stretches(np.cumsum(self.a_sizes[a]).tolist(), np.cumsum(self.b_sizes[b]).tolist()) if len(a) else []
+
+    def digest(self, a: np.ndarray, b: np.ndarray, found: list[Stretch]) -> str:
+        return digest_of(list(map(self.a_shown.__getitem__, a.tolist())), list(map(self.b_shown.__getitem__, b.tolist())), found)
 
 
 _LOADED: dict[tuple[str, str], Aligner] = {}
@@ -168,7 +224,6 @@ def _chunk(key_columns: list[pa.Array], rows: list[tuple], links: list[np.ndarra
 def _align(a_path: str, b_path: str, keep: tuple[str, ...], lists: bool, chunk_rows: int, chunk_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = _loaded(a_path, b_path)
-        width = len(aligner.b_bytes)
         name = TaskContext.get().partitionId() << 32
         keys, rows, links, size = [], [], [], 0
 
@@ -179,10 +234,11 @@ def _align(a_path: str, b_path: str, keep: tuple[str, ...], lists: bool, chunk_r
         for batch in small(batches, 32):
             texts = batch.column(batch.num_columns - 1).to_pylist()
             keys.append(batch.columns[:-1])
-            for text, (a, b, until_a, until_b) in zip(texts, aligner.align(texts), strict=True):
-                last = np.array(until_a, np.int64) - 1, np.array(until_b, np.int64) - 1
-                links.append(np.array(a, np.int64)[last[0]] * width + np.array(b, np.int64)[last[1]])
-                rows.append((len(a), len(b), len(until_a), digest_of(a, b, until_a, until_b), *((a, b, until_a, until_b) if lists else ())))
+            for text, (a, b, found) in zip(texts, aligner.align(texts), strict=True):
+                ends_a, ends_b = group_ends(found, len(a), 0), group_ends(found, len(b), 1)
+                links.append((a[ends_a].astype(np.uint64) * np.uint64(aligner.width) + b[ends_b]).astype(aligner.kind))
+                row = (len(a), len(b), len(ends_a), aligner.digest(a, b, found))
+                rows.append((*row, a.astype("i4"), b.astype("i4"), (ends_a + 1).astype("i4"), (ends_b + 1).astype("i4")) if lists else row)
                 size += len(text)
             if len(rows) >= chunk_rows or size >= chunk_bytes:
                 yield chunk()
@@ -194,14 +250,14 @@ def _align(a_path: str, b_path: str, keep: tuple[str, ...], lists: bool, chunk_r
     return run
 
 
-def _sums(names: list[str]):
+def _sums(names: list[str], kind: str):
     """Each document of a chunk adds up the counts of its links."""
 
     def run(key, documents, answers):
         pairs = answers.column("pair").to_numpy()
         order = np.argsort(pairs)
         pairs, counts, best = pairs[order], answers.column("links").to_numpy()[order], answers.column("best").to_numpy(zero_copy_only=False)[order]
-        own = [np.searchsorted(pairs, np.frombuffer(x.as_buffer(), np.int64)) for x in documents.column("__links")]
+        own = [np.searchsorted(pairs, np.frombuffer(x.as_buffer(), kind).astype(np.int64)) for x in documents.column("__links")]
         out = documents.select(names)
         out = out.append_column("n_links", pa.array([len(x) for x in own], pa.int64()))
         out = out.append_column("n_best", pa.array([int(best[x].sum()) for x in own], pa.int64()))
@@ -222,6 +278,7 @@ def aligned(docs: DataFrame, a_path: str, b_path: str, keep: tuple[str, ...] = (
     import sentencepiece
 
     width = sentencepiece.SentencePieceProcessor(model_file=b_path).get_piece_size()
+    kind = "<u4" if len(wordwise.ByteWords(a_path).token_bytes) * width <= 1 << 32 else "<u8"
     own = "__text" + "_" * len("".join(keep))
     source = docs.select(*keep, text_of(text).alias(own))
     kept = [f"`{c}` {t}" for c, t in source.dtypes if c != own] + [f"{c} {t}" for c, t in {**_OWN, **(_LISTS if lists else {})}.items()]
@@ -237,7 +294,7 @@ def aligned(docs: DataFrame, a_path: str, b_path: str, keep: tuple[str, ...] = (
     answers = asked.select(F.col("__chunk").alias("__to"), "pair").join(links.select("pair", "links", "best"), "pair")
     names = [*keep, *_OWN, *(_LISTS if lists else ())]
     documents = chunks.drop("__asked").groupBy("__chunk").cogroup(answers.groupBy("__to")).applyInArrow(
-        _sums(names), ", ".join([*kept, "n_links bigint", "n_best bigint", "count_sum bigint"]))
+        _sums(names, kind), ", ".join([*kept, "n_links bigint", "n_best bigint", "count_sum bigint"]))
     return documents, links.drop("pair")
 
 
