@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.tables import partitions_for, text_of
 
-ORDER = 2
+ORDER = 3
 FACTOR = 0.4
 CUTOFF = 2  # an n-gram of two or more words met less often is not in the tables
 CHUNK_BITS = 11
@@ -183,14 +183,17 @@ def op10(spark, sf_dir: str) -> DataFrame:
 
 OP10_SQL = f"""
 with d as (select doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \\x09-\\x0D]+'), lambda x: x <> '') as w from documents),
-t as (select doc_id, i, w[i] as b, case when i > 1 then w[i - 1] end as a from (select doc_id, w, unnest(range(1, len(w) + 1)) as i from d)),
-uni as (select b, count(*) as c from t group by b),
-bi as (select a, b, count(*) as c from t where a is not null group by a, b),
-n as (select count(*) as n from t),
-s as (select t.doc_id, t.i > 1 and bi.c < {CUTOFF} as backed,
-             ln(case when t.i = 1 then one.c / n.n when bi.c >= {CUTOFF} then bi.c / before.c else {FACTOR} * one.c / n.n end) as l
-      from t cross join n join uni one on one.b = t.b left join uni before on before.b = t.a left join bi on bi.a = t.a and bi.b = t.b)
-select d.doc_id, len(d.w) as n_tokens, cast(count(*) filter (s.backed) as bigint) as n_backoff,
-       round(coalesce(sum(s.l), 0), 4) as log_score, round(sum(s.l) / count(s.l), 6) as mean_log_score
+t as (select doc_id, i, w[i] as c, case when i > 1 then w[i - 1] end as b, case when i > 2 then w[i - 2] end as a from (select doc_id, w, unnest(range(1, len(w) + 1)) as i from d)),
+uni as (select c, count(*) as n from t group by c),
+bi as (select b, c, count(*) as n from t where b is not null group by b, c),
+tri as (select a, b, c, count(*) as n from t where a is not null group by a, b, c),
+words as (select count(*) as n from t),
+s as (select t.doc_id, case when tri.n >= {CUTOFF} then 3 when bi.n >= {CUTOFF} then 2 else 1 end as used, least(t.i, 3) as longest,
+             ln(case when tri.n >= {CUTOFF} then tri.n / before2.n when bi.n >= {CUTOFF} then bi.n / before1.n else one.n / words.n end) as l
+      from t cross join words join uni one on one.c = t.c left join uni before1 on before1.c = t.b left join bi on bi.b = t.b and bi.c = t.c
+             left join bi before2 on before2.b = t.a and before2.c = t.b left join tri on tri.a = t.a and tri.b = t.b and tri.c = t.c)
+select d.doc_id, len(d.w) as n_tokens, cast(count(*) filter (s.used < s.longest) as bigint) as n_backoff,
+       round(coalesce(sum(s.l + ln({FACTOR}) * (s.longest - s.used)), 0), 4) as log_score,
+       round(sum(s.l + ln({FACTOR}) * (s.longest - s.used)) / count(s.l), 6) as mean_log_score
 from d left join s on s.doc_id = d.doc_id group by d.doc_id, d.w
 """
