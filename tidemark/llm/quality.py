@@ -4,11 +4,12 @@ Labels give preferences: a document of label 1 beats one of label 0.  The model
 gives every document a worth, linear in features of its whole text, such that
 the logistic of the difference of two worths is the chance that the first wins;
 it is fitted by Newton steps on the feature differences of the pairs.  The
-threshold is a quantile of the worths of the labelled rows, at the share of
-label 0 among them, and the score puts it at 0.7.
+threshold is a quantile of the worths of all labelled rows that may be learned from, at
+the share of label 0 among them, and the score puts it at 0.7.
 
-Fitting uses at most ``SAMPLE`` rows of each label, those first by hash; every
-document is scored, in Arrow batches, without a shuffle.
+Fitting the weights uses at most ``SAMPLE`` rows of each label, those first by hash.  The
+threshold uses every labelled row at every size: its rank is off by at most one part in
+``ACCURACY`` of them.  Every document is scored, in Arrow batches, without a shuffle.
 
 Defined results: null and empty texts have the features of a text without words
 and are scored by them; labels without a document, and null labels, are passed
@@ -34,6 +35,7 @@ SAMPLE = 10_000  # labelled rows of each label that the fit may use
 PAIRINGS = 8  # pairs in which each row of the larger class takes part
 PENALTY = 1e-3
 ACCEPT = 0.7
+ACCURACY = 100_000  # the threshold's rank among the labelled rows is exact to one part in so many
 STRONG = np.frombuffer(b"#$%&*+<=>@[\\]^_`{|}~!", np.uint8)
 
 
@@ -105,7 +107,6 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label: str =
     ``labels`` whose id is not held out.  At most 2 * ``sample`` rows reach the driver."""
     learn = labels.where(F.crc32(F.col(id_col).cast("string")) % 4 != 2).select(F.col(id_col).alias("__id"), F.col(label).cast("int").alias("__label"))
     sides = [learn.where(F.col("__label") == v).distinct().orderBy(F.xxhash64("__id"), "__id").limit(sample) for v in (0, 1)]
-    counts = dict(learn.groupBy("__label").count().where("__label in (0, 1)").collect())
     # The sample holds at most 2 * ``sample`` ids and labels, so it may be broadcast.
     texts = docs.select(F.col(id_col).alias("__id"), text_of(text).alias("text")).join(F.broadcast(sides[0].union(sides[1])), "__id")
     texts = texts.groupBy("__id", "__label").agg(F.min("text").alias("text"))
@@ -116,14 +117,19 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label: str =
     mean, spread = x.mean(0), np.maximum(x.std(0), 1e-6)
     z = (x - mean) / spread
     w = bradley_terry(z[y == 1], z[y == 0])
-    worth = z @ w
-    # The labels' true shares weigh the two samples, so that the quantile is that of all labelled rows.
-    weight = np.where(y == 1, counts[1] / (y == 1).sum(), counts[0] / (y == 0).sum())
-    order = np.argsort(worth, kind="stable")
-    at = np.searchsorted(np.cumsum(weight[order]) / weight.sum(), counts[0] / (counts[0] + counts[1]))
-    at = min(at, len(order) - 2)
-    threshold = worth[order[at : at + 2]].mean()
-    return (w / spread).tolist(), float(-(mean / spread) @ w - threshold)
+    weights = (w / spread).tolist()
+    worths = _worths(docs.select(F.col(id_col).alias("__id"), text_of(text).alias("text")), weights, ("__id",))
+    judged = worths.join(learn.where(F.col("__label").isin(0, 1)).distinct(), "__id").groupBy("__id", "__label").agg(F.min("worth").alias("worth"))
+    low = judged.agg(F.avg((F.col("__label") == 0).cast("double"))).first()[0]
+    threshold = judged.agg(F.percentile_approx("worth", F.lit(low), ACCURACY)).first()[0]
+    above = judged.where(F.col("worth") > threshold).agg(F.min("worth")).first()[0]
+    return weights, -float(threshold if above is None else (threshold + above) / 2)
+
+
+def _worths(docs: DataFrame, weights: list[float], keep: tuple[str, ...], text: str = "text") -> DataFrame:
+    """The ``keep`` columns and each text's worth, before a threshold is taken off."""
+    rows = _feature_rows(docs, keep, text)
+    return rows.select(*keep, F.aggregate(F.zip_with("features", F.array(*map(F.lit, weights)), lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b).alias("worth"))
 
 
 def scored(docs: DataFrame, model: tuple[list[float], float], keep: tuple[str, ...], text: str = "text") -> DataFrame:
