@@ -38,6 +38,55 @@ def test_no_html_and_broken_html():
     assert mainhtml.extract("<div>" * 3000 + "deep", None) == "deep"
 
 
+LONG = "The article itself, which is the longest part of the page by far. " * 4
+SHORT = LONG.strip()
+
+
+@pytest.mark.parametrize("page", [
+    f"<html><head><title>t</title><body><nav>menu</nav><div class=story><p>{LONG}</p></div><div class=sidebar>x</div></body></html>",
+    f"<html><p>{LONG}</p><div>short</div></html>",
+    f'<html><body><div class="post comments-open"><p>{LONG}</p></div><div class="comments"><p>me too</p></div></body></html>',
+    f'<html><body><div class="post review"><p>{LONG}</p></div><div class="reviews"><p>nice</p></div></body></html>',
+    f'<html><body><div class="side-by-side"><p>{LONG}</p></div><div class="side">x</div></body></html>',
+    f'<html><body><div id="form-guide"><p>{LONG}</p></div><form>name</form></body></html>',
+    f'<html><head><title>t</title><meta charset=x><p>{LONG}</p></html>',
+])
+def test_pages_that_keep_their_article(page):
+    assert SHORT in mainhtml.extract(page, None).split("\n")
+    for word in ("menu", "me too", "nice", "name"):
+        assert word not in mainhtml.extract(page, None).split("\n")
+
+
+def test_an_article_keeps_its_own_header():
+    page = f"<html><body><header><h1>Site</h1></header><article><header><h1>Title</h1></header><p>{LONG}</p><footer>by me</footer></article></body></html>"
+    assert mainhtml.extract(page, None) == f"Title\n{SHORT}"
+
+
+def plain_consensus(pages):
+    """The votes of each host over whole pages, counted plainly."""
+    votes, scores = {}, {}
+    for host, html in pages:
+        found = mainhtml.containers(html)
+        for path, score in found.items():
+            scores[host, path] = scores.get((host, path), 0.0) + score
+            votes.setdefault((host, path), 0)
+        if found:
+            votes[host, max(found, key=lambda p: (found[p], p))] += 1
+    best = {}
+    for (host, path), n in votes.items():
+        best[host] = max(best.get(host, (-1, 0.0, "")), (n, scores[host, path], path))
+    return {host: b[2] for host, b in best.items()}
+
+
+def test_against_a_plain_consensus(spark):
+    pages = [(r.page_id, r.url, r.html) for r in spark.read.parquet("/root/testdata/sf0.001/pages.parquet").collect()]
+    host = lambda u: re.match(r"\s*[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", u or "")
+    named = [(i, h[1].lower() if (h := host(u)) else "", x or "") for i, u, x in pages]
+    path = plain_consensus([(h, x) for _, h, x in named])
+    want = sorted((i, mainhtml.extract(x, path.get(h))) for i, h, x in named)
+    assert sorted((r.page_id, r.text) for r in mainhtml.op7(spark, "/root/testdata/sf0.001").collect()) == want
+
+
 def test_host_outvotes_a_page(spark):
     long = "<p>" + "the article of this page " * 20 + "</p>"
     rows = [(i, f"http://A.example:80/{i}", around(long)) for i in range(4)]

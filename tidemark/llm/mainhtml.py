@@ -34,7 +34,7 @@ RAW = {"script", "style", "template", "textarea", "title", "iframe", "noscript",
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 BLOCKS = {"p", "div", "h1", "h2", "h3", "h4", "h5", "h6", "li", "ul", "ol", "dl", "dt", "dd", "table", "thead", "tbody", "tfoot", "tr", "td", "th", "caption", "blockquote",
           "pre", "section", "article", "main", "figure", "figcaption", "address", "details", "summary", "center", "fieldset", "body", "html"}
-CONTAINERS = {"body", "div", "article", "section", "main", "td", "blockquote", "center"}
+CONTAINERS = {"", "html", "body", "div", "article", "section", "main", "td", "blockquote", "center"}
 SKIP_TAGS = {"nav", "header", "footer", "aside", "form", "button", "select", "menu", "dialog", "head", "label", "option"}
 SKIP_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "menu", "form"}
 SKIP_WORDS = re.compile(
@@ -42,6 +42,10 @@ SKIP_WORDS = re.compile(
     r"cookies?|consent|gdpr|notices?|alerts?|popup|modal|overlay|newsletter|subscribe|subscription|signup|login|share|sharing|social|related|recommend\w*|trending|"
     r"widgets?|comments?|commentlist|replies|reply|respond|disqus|reviews?|pagination|pager|toolbar|search|form)(?:$|[\s_-]|\d)", re.I)
 ABOUT_OTHERS = re.compile(r"(?:has|with|without|no)[-_]\w+", re.I)  # "has-sidebar" says what stands beside
+ABOUT_TOPIC = re.compile(r"side-by-side|\w+-by-\w+|(?:form|search|menu|review|comment|share|ad|alert|side)s?[-_](?:guide|tips|tutorial|history|story|facts|open|closed)", re.I)
+# Such words say what a page offers, not what a box is, where the box itself tells it is an article.
+ARTICLE = re.compile(r"(?:^|[\s_-])(?:post|article|entry|story|content|main|page|hentry|blogposting)(?:$|[\s_-]|\d)", re.I)
+HEAD_ONLY = {"title", "meta", "link", "base", "style", "script", "noscript", "template"}
 HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none", re.I)
 # A new tag of these ends an open one of the second kind.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
@@ -65,6 +69,18 @@ def _names(attributes: str) -> tuple[str, str, str]:
     return found["class"], found["id"], found["role"]
 
 
+def _is_article(tag: str, kind: str, name: str, titled: bool) -> bool:
+    """Whether a box whose names hold a skip word is an article all the same: its tag or its
+    first class says so, or the word is only a part of a longer name that says how it looks
+    or what it is about ("post review", "side-by-side", "form-guide")."""
+    if tag in ("article", "main") or titled:
+        return True
+    first = kind.split()[:1]
+    if first and ARTICLE.search(first[0]) and not SKIP_WORDS.search(ABOUT_OTHERS.sub("", first[0])):
+        return True
+    return bool(first or name) and all(ABOUT_TOPIC.fullmatch(x) for x in [*kind.split(), *([name] if name else [])] if SKIP_WORDS.search(x))
+
+
 def parse(html: str) -> tuple[list[str], list[Element]]:
     """The kept text blocks of a page in order, and its containers with their span of blocks."""
     blocks: list[str] = []
@@ -146,14 +162,19 @@ def parse(html: str) -> tuple[list[str], list[Element]]:
                     break
                 if stack[depth].tag in BLOCKS:
                     break
+        if tag not in HEAD_ONLY and any(e.tag == "head" for e in stack):
+            close(len(stack) - next(i for i, e in enumerate(stack) if e.tag == "head"))  # its end tag may be left out
         above = stack[-1]
-        skipped = above.skipped or tag in SKIP_TAGS
+        # A header inside an article holds the article's own title.
+        titled = tag == "header" and any(e.tag in ("article", "main") for e in stack)
+        skipped = above.skipped or (tag in SKIP_TAGS and not titled)
         path = above.path
         if not skipped and block:
             kind, name, role = _names(m[3]) if m[3] else ("", "", "")
             named = ABOUT_OTHERS.sub("", f"{kind} {name}")
-            skipped = tag not in ("body", "html") and bool(SKIP_WORDS.search(named) or role.lower() in SKIP_ROLES or HIDDEN.search(m[3]))
-            if tag in CONTAINERS:
+            boxed = bool(SKIP_WORDS.search(named)) and not _is_article(tag, kind, name, titled)
+            skipped = tag not in ("body", "html") and bool(boxed or role.lower() in SKIP_ROLES or HIDDEN.search(m[3]))
+            if tag in CONTAINERS and tag != "html":  # which a page may leave out
                 path = f"{path}/{tag}" + "".join(f".{c}" for c in sorted(set(re.sub(r"\d+", "N", kind).split())))
         links += tag == "a"
         stack.append(Element(tag, path, skipped, len(blocks)))
