@@ -4,13 +4,13 @@ The words of a text are scored by the longest n-gram that ends in them and whose
 count reaches the cutoff: its count over that of its context; each order given
 up costs a factor.  A single word is scored by its count over that of all words.
 
-The tables do not fit anywhere whole, so they are partitioned by n-gram hash:
+The tables do not fit anywhere whole, so they are parted by ranges of the n-gram hash:
 
-1. Rows are dealt to chunks of 2,048 consecutive ones.  A chunk explodes into its
+1. Rows are dealt to chunks of up to 4,096 consecutive ones and 24 MB.  A chunk explodes into its
    distinct n-grams with their counts in it (so a frequent n-gram costs one entry
-   a chunk, not one a row) and sends each to the partition of its hash.
-2. A partition sums the counts of its hashes over all chunks and joins the sums
-   back to the entries.
+   a chunk, not one a row) and sends each to the part of its hash.
+2. A part, which is the n-grams of some 4 MB of text however many there are, sums the
+   counts of its hashes over all chunks and joins the sums back to the entries.
 3. The sums return to their chunk, where every row's scores are summed.
 
 N-grams are told apart by 64-bit hashes.  Defined results: null and empty texts
@@ -20,32 +20,36 @@ null ids are kept; an empty table gives no rows; further columns are not read.
 
 from __future__ import annotations
 
+import struct
+
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.tables import partitions_for, text_of
+from tidemark.llm.tables import map_texts, partitions_for, small, text_of
 
 ORDER = 3
 FACTOR = 0.4
 CUTOFF = 2  # an n-gram of two or more words met less often is not in the tables
-CHUNK_BITS = 11
-ENTRY_BYTES = 32 << 20  # text whose n-grams share one hash partition
+CHUNK_BITS = 12
+CHUNK_BYTES = 24 << 20  # of rows; a longer text is a chunk of its own
+ENTRY_BYTES = 32 << 20  # text whose n-grams share one partition
+PART_BYTES = 4 << 20  # text whose n-grams are summed at once
+_HEAD = struct.Struct("<BQ")
 
 
 def _tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words in order, and the number of words of each text.
     A-Z are lowered; words end at ASCII white space."""
-    names: dict[bytes, int] = {}
     parts, lengths = [], []
     for text in texts:
         words = text.encode().lower().split()
         lengths.append(len(words))
-        parts.append(np.fromiter((names.setdefault(w, len(names)) for w in words), np.int64, len(words)))
-    hashes = np.fromiter((xxhash.xxh64_intdigest(w) for w in names), np.uint64, len(names))
-    return hashes[np.concatenate(parts)] if parts else hashes, np.array(lengths, np.int64)
+        parts.append(np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words)))
+    return np.concatenate(parts) if parts else np.empty(0, np.uint64), np.array(lengths, np.int64)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -70,81 +74,131 @@ def _depth(lengths: np.ndarray) -> np.ndarray:
     return np.arange(lengths.sum()) - starts + 1
 
 
-def _entries(texts: list[str], order: int) -> tuple[np.ndarray, np.ndarray, list[np.ndarray], np.ndarray, np.ndarray]:
-    """Distinct n-gram hashes of a chunk, sorted, their counts, and per order the place of each word's n-gram."""
+def _used(texts: list[str], order: int) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
+    """The hashes of all n-grams of a chunk, shortest first, per order the words that end one, and the texts' lengths."""
     words, lengths = _tokens(texts)
     depth = _depth(lengths)
-    grams = ngrams(words, lengths, order)
-    used = np.concatenate([g[depth >= n] for n, g in enumerate(grams, 1)]) if len(words) else words
-    hashes, counts = np.unique(used, return_counts=True)
-    return hashes, counts, grams, depth, lengths
+    ends = [np.flatnonzero(depth >= n) for n in range(1, order + 1)]
+    return np.concatenate([g[at] for g, at in zip(ngrams(words, lengths, order), ends)]), ends, lengths
+
+
+def _firsts(parts: int) -> np.ndarray:
+    """The smallest hash of each part: parts are equal ranges of the hashes."""
+    step = -(-(1 << 64) // parts)
+    return np.array([i * step for i in range(parts)], np.uint64)
+
+
+def _cuts(hashes: np.ndarray, firsts: np.ndarray) -> np.ndarray:
+    """Where each part begins in ascending hashes, and their number."""
+    return np.append(np.searchsorted(hashes, firsts), len(hashes))
+
+
+def _packed(values: np.ndarray) -> bytes:
+    """Unsigned integers as compressed planes of their bytes, without the leading planes that are zero throughout."""
+    planes = max(1, -(-int(values.max()).bit_length() // 8))
+    raw = np.ascontiguousarray(values, "<u8").view(np.uint8).reshape(-1, 8)[:, :planes].T.tobytes()
+    return _HEAD.pack(planes, len(values)) + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def _unpacked(raw) -> np.ndarray:
+    planes, n = _HEAD.unpack_from(raw)
+    out = np.zeros((n, 8), np.uint8)
+    out[:, :planes] = np.frombuffer(pa.decompress(raw.slice(_HEAD.size), decompressed_size=planes * n, codec="zstd"), np.uint8).reshape(planes, n).T
+    return out.view("<u8").ravel()
+
 
+def _chunks(most_rows: int, most_bytes: int):
+    """Consecutive rows as one compressed value, named by partition and place."""
 
-def _packed(values: np.ndarray, kind: str) -> bytes:
-    """Integers as planes of their bytes, which the shuffle's compression shrinks better."""
-    values = np.ascontiguousarray(values, kind)
-    return values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes()
+    def run(batches):
+        name, held, rows, size = TaskContext.get().partitionId() << 32, [], 0, 0
 
+        def chunk():
+            out = pa.BufferOutputStream()
+            with pa.ipc.new_stream(out, held[0].schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+                writer.write_table(pa.Table.from_batches(held).combine_chunks())
+            return pa.RecordBatch.from_arrays([pa.array([name], pa.int64()), pa.array([out.getvalue().to_pybytes()], pa.binary())], names=["chunk", "body"])
 
-def _unpacked(raw, kind: str) -> np.ndarray:
-    size = np.dtype(kind).itemsize
-    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(size, -1).T).view(kind).ravel()
+        for batch in small(batches, min(most_rows, 16)):
+            if held and (rows + batch.num_rows > most_rows or size + batch.nbytes > most_bytes):
+                yield chunk()
+                name, held, rows, size = name + 1, [], 0, 0
+            held.append(batch)
+            rows, size = rows + batch.num_rows, size + batch.nbytes
+        if held:
+            yield chunk()
 
+    return run
+
+
+def _rows(chunk: pa.Table) -> pa.Table:
+    """The rows of a chunk."""
+    return pa.ipc.open_stream(chunk.column("body")[0].as_buffer()).read_all()
 
-def _ask(order: int, partitions: int):
+
+def _ask(order: int, parts: int):
     def run(key, table):
-        hashes, counts, _, _, _ = _entries(table.column("text").to_pylist(), order)
-        to = (hashes % np.uint64(partitions)).astype(np.int64)
-        by = np.argsort(to, kind="stable")
-        cuts = np.searchsorted(to[by], np.arange(partitions + 1))
-        rows = [(i, by[a:b]) for i, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a]
+        used, _, _ = _used(_rows(table).column("text").to_pylist(), order)
+        hashes, counts = np.unique(used, return_counts=True)
+        firsts = _firsts(parts)
+        cuts = _cuts(hashes, firsts)
+        rows = [(i, a, b) for i, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a]
         return pa.table({
-            "part": pa.array([i for i, _ in rows], pa.int64()), "chunk": pa.array([key[0].as_py()] * len(rows), pa.int64()),
-            "hashes": pa.array([_packed(np.diff(hashes[at], prepend=np.uint64(0)), "<u8") for _, at in rows], pa.binary()), "counts": pa.array([_packed(counts[at], "<u4") for _, at in rows], pa.binary())})
+            "part": pa.array([i for i, _, _ in rows], pa.int64()), "chunk": pa.array([key[0].as_py()] * len(rows), pa.int64()),
+            "hashes": pa.array([_packed(np.diff(hashes[a:b], prepend=firsts[i])) for i, a, b in rows], pa.binary()),
+            "counts": pa.array([_packed(counts[a:b]) for _, a, b in rows], pa.binary())})
+
+    return run
+
+
+def _answer(parts: int):
+    """Sum each hash's counts over a part's rows; every row gets the sums of its hashes."""
+
+    def run(key, table):
+        first = _firsts(parts)[key[0].as_py()]
+        hashes = [np.cumsum(_unpacked(x.as_buffer())) + first for x in table.column("hashes")]
+        cuts = np.cumsum([0] + [len(h) for h in hashes])
+        every = np.concatenate(hashes)
+        del hashes
+        order = np.argsort(every)
+        every = every[order]
+        new = np.concatenate([[True], every[1:] != every[:-1]])
+        del every
+        counts = np.concatenate([_unpacked(x.as_buffer()) for x in table.column("counts")])[order]
+        found = np.empty(len(order), np.uint64)
+        found[order] = np.add.reduceat(counts, np.flatnonzero(new))[np.cumsum(new) - 1]
+        sums = pa.array([_packed(found[a:b]) for a, b in zip(cuts, cuts[1:])], pa.binary())
+        return pa.table([table.column("chunk"), table.column("part"), sums], names=["chunk", "part", "sums"])
 
     return run
 
 
-def _answer(batches):
-    """Sum each hash's counts over a partition's rows; every row gets the sums of its hashes."""
-    batches = [b for b in batches if b.num_rows]
-    if not batches:
-        return
-    table = pa.Table.from_batches(batches)
-    hashes = [np.cumsum(_unpacked(x.as_buffer(), "<u8")) for x in table.column("hashes")]
-    counts = np.concatenate([_unpacked(x.as_buffer(), "<u4") for x in table.column("counts")])
-    every = np.concatenate(hashes)
-    order = np.argsort(every, kind="stable")
-    sorted_hashes = every[order]
-    new = np.concatenate([[True], sorted_hashes[1:] != sorted_hashes[:-1]])
-    sums = np.add.reduceat(counts[order].astype(np.int64), np.flatnonzero(new))
-    found = np.empty(len(every), "<i8")
-    found[order] = sums[np.cumsum(new) - 1]
-    cuts = np.cumsum([0] + [len(h) for h in hashes])
-    parts, chunks = table.column("part").to_pylist(), table.column("chunk").to_pylist()
-    for i, (a, b) in enumerate(zip(cuts, cuts[1:])):
-        yield pa.RecordBatch.from_arrays([pa.array([chunks[i]], pa.int64()), pa.array([parts[i]], pa.int64()), pa.array([_packed(found[a:b], "<i8")], pa.binary())], names=["chunk", "part", "sums"])
-
-
-def _score(order: int, partitions: int, total: int, factor: float, cutoff: int):
-    def run(key, texts, answers):
-        hashes, _, grams, depth, lengths = _entries(texts.column("text").to_pylist(), order)
-        sums = np.zeros(len(hashes), np.int64)
-        to = (hashes % np.uint64(partitions)).astype(np.int64)
-        by = np.argsort(to, kind="stable")
-        cuts = np.searchsorted(to[by], np.arange(partitions + 1))
+def _score(order: int, parts: int, total: int, factor: float, cutoff: int):
+    def run(key, table, answers):
+        texts = _rows(table)
+        used, ends, lengths = _used(texts.column("text").to_pylist(), order)
+        by = np.argsort(used)
+        used = used[by]
+        new = np.concatenate([[True], used[1:] != used[:-1]]) if len(used) else np.empty(0, bool)
+        cuts = _cuts(used[new], _firsts(parts))
+        del used
+        sums = np.zeros(cuts[-1], np.int64)
         for part, raw in zip(answers.column("part").to_pylist(), answers.column("sums")):
-            sums[by[cuts[part] : cuts[part + 1]]] = _unpacked(raw.as_buffer(), "<i8")
+            sums[cuts[part] : cuts[part + 1]] = _unpacked(raw.as_buffer())
+        found = np.empty(len(by), np.int64)
+        found[by] = sums[np.cumsum(new) - 1]
         rows = np.repeat(np.arange(len(lengths)), lengths)
-        place = [np.searchsorted(hashes, np.where(depth >= n, g, hashes[0] if len(hashes) else 0)) for n, g in enumerate(grams, 1)]
-        logs = np.log(sums[place[0]] / max(1, total))
+        own, at = found[: len(rows)], len(rows)  # of the n-grams of one order, 0 where the text began too late
+        logs = np.log(own / max(1, total))
         orders = np.ones(len(rows), np.int64)
-        longest = np.minimum(depth, order)  # words that start a text have no longer n-gram to give up
+        longest = np.minimum(_depth(lengths), order)  # words that start a text have no longer n-gram to give up
         for n in range(2, order + 1):
-            own = sums[place[n - 1]]
             # The context of the n-gram that ends at a word ends at the word before.
-            context = np.concatenate([[0], sums[place[n - 2]]])[: len(rows)]
-            seen = (depth >= n) & (own >= cutoff)
+            context = np.concatenate([[0], own])[: len(rows)]
+            own = np.zeros(len(rows), np.int64)
+            own[ends[n - 1]] = found[at : at + len(ends[n - 1])]
+            at += len(ends[n - 1])
+            seen = (longest >= n) & (own >= cutoff)
             logs[seen] = np.log(own[seen] / context[seen])
             orders[seen] = n
         logs += np.log(factor) * (longest - orders)
@@ -166,13 +220,14 @@ def backoff_scores(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     n_words = F.size(F.array_remove(F.split("text", "[ \\t-\\r]+"), ""))
     total, size = rows.agg(F.sum(n_words), F.sum(F.octet_length("text"))).first()
     partitions = partitions or max(partitions_for(spark), -(-(size or 0) // ENTRY_BYTES))
-    # Consecutive rows make a chunk; both readers of the chunks share this one shuffle.
-    chunks = rows.withColumn("chunk", F.shiftright(F.monotonically_increasing_id(), CHUNK_BITS)).repartition(partitions, "chunk")
-    asked = chunks.groupBy("chunk").applyInArrow(_ask(order, partitions), "part bigint, chunk bigint, hashes binary, counts binary")
-    answered = asked.repartition(partitions, "part").mapInArrow(_answer, "chunk bigint, part bigint, sums binary")
+    parts = max(partitions, -(-(size or 0) // PART_BYTES))
+    # Both readers of the chunks share this one shuffle.
+    chunks = map_texts(rows, _chunks(1 << CHUNK_BITS, CHUNK_BYTES), "chunk bigint, body binary").repartition(partitions, "chunk")
+    asked = chunks.groupBy("chunk").applyInArrow(_ask(order, parts), "part bigint, chunk bigint, hashes binary, counts binary")
+    answered = asked.repartition(partitions, "part").groupBy("part").applyInArrow(_answer(parts), "chunk bigint, part bigint, sums binary")
     kind = dict(rows.dtypes)["id"]
     scored = chunks.groupBy("chunk").cogroup(answered.repartition(partitions, "chunk").groupBy("chunk")).applyInArrow(
-        _score(order, partitions, total or 0, factor, cutoff), f"id {kind}, n_tokens bigint, n_backoff bigint, log_score double, mean_log_score double")
+        _score(order, parts, total or 0, factor, cutoff), f"id {kind}, n_tokens bigint, n_backoff bigint, log_score double, mean_log_score double")
     return scored.withColumnRenamed("id", id_col)
 
 
