@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 
 import numpy as np
 import public_tokenizers
@@ -68,3 +69,36 @@ def test_stage_keeps_all_columns(spark):
     got = sentencepieces.stage(spark, docs, "")
     assert got.columns == ["doc_id", "text", "__text", "n_chars", "n_tokens", "ids_sha256", "decoded_sha256", "ids"]
     assert got.count() == len(awkward())
+
+
+def test_list_and_heap_agendas_and_cut_words(monkeypatch):
+    pieces = sentencepieces.Pieces(MODEL)
+    rng = random.Random(5)
+    letters = "etaoinshrdlué.,;'_²1😀\n▁-"
+    some = ["▁" + "".join(rng.choice(letters) for _ in range(rng.randrange(1, 30))) for _ in range(3000)]
+    short = [pieces.agenda(w) for w in some]
+    monkeypatch.setattr(sentencepieces, "SHORT", 0)
+    assert short == [pieces.agenda(w) for w in some]
+    for w in some:
+        text = w[1:].replace("▁", " ")
+        assert np.frombuffer(pieces.encode(text), "<u4")[1:-1].tolist() == pieces.library.encode(text)
+    assert pieces.words.findall("▁word,&&&▁word.") == ["▁word", ",&&&", "▁word", "."]
+    pieces.check([])
+
+
+def test_a_word_met_again_is_not_encoded_again():
+    pieces = sentencepieces.Pieces(MODEL)
+    for text in ("seldomword, other", "other. seldomword!"):
+        pieces.encode(text)
+    assert [w for w, _ in pieces.fresh].count("▁seldomword") == 1
+
+
+@pytest.mark.parametrize("word", ["▁the", "x", ".&", "▁▁b", "▁▁"])
+def test_a_difference_raises_among_many(word):
+    pieces = sentencepieces.Pieces(MODEL)
+    pieces.encode("many words, and  more of them.\nx y z")
+    pieces.check([])
+    pieces.encode("some other words; here\nand there")
+    pieces.fresh.append((word, [300]))
+    with pytest.raises(ValueError, match="differ"):
+        pieces.check([])

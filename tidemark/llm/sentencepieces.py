@@ -6,10 +6,11 @@ its new neighbours are entered, and entries that a merge has made stale are
 passed over.  Characters outside the vocabulary fall back to byte pieces.
 
 No piece of such a vocabulary holds a space mark after another character, so
-no merge crosses the start of a word: the agenda runs once for every distinct
-word of a worker and the ids of words met again are kept.  Every word the agenda
-encodes is also encoded by the sentencepiece library, whose decoding of the ids is compared
-with ours, and of every 256 rows one whole text; a difference raises.
+no merge crosses the start of a word, nor the end of its letters where no piece holds
+the mark behind them: the agenda runs once for every distinct word a worker has not met
+lately.  Every word the agenda encodes is also encoded by the sentencepiece library, hundreds
+in one call, whose decoding of the ids is compared with ours, and of every 256 rows one
+whole text; a difference raises.
 
 Defined results: a null text is an empty one; an empty text gives the begin and
 end ids alone and decodes to the empty text; repeated rows each give a row;
@@ -20,7 +21,9 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+import math
 import re
+import string
 import struct
 from collections.abc import Iterator
 
@@ -33,8 +36,10 @@ from tidemark.llm.tables import map_texts, small, text_of
 
 MARK = "▁"  # the library's visible form of a space
 KEPT_WORDS = 200_000  # newly used words after which a worker drops those not used since the last time
+SHORT = 32  # characters of a word whose agenda is searched as a list; of a longer one it is a heap
+CALL_WORDS = 256  # checked in one call
+LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 ADDED = ("n_tokens", "ids_sha256", "decoded_sha256", "ids")  # by the stage; earlier columns of these names give way
-SEEN_SLOTS = 1 << 22
 KEPT_LENGTH = 64  # longer words are encoded each time
 
 
@@ -76,15 +81,20 @@ class Pieces(dict):
         if any(re.search(f"[^{MARK}]{MARK}", x) for x in self.scores):
             raise ValueError("pieces cross word starts; words cannot be encoded on their own")
         line = "\n" if not any("\n" in x and len(x) > 1 for x in self.scores) else ""
-        self.words = re.compile(f"\n|{MARK}*[^{MARK}\n]+|{MARK}+" if line else f"{MARK}*[^{MARK}]+|{MARK}+")
+        # Punctuation that follows a letter in no piece: a word is cut there too.
+        apart = [re.escape(x) for x in string.punctuation if not any(re.search(f"[{LETTERS}]{re.escape(x)}", p) for p in self.scores)]
+        stem = f"{MARK}*[{LETTERS}]+(?=[{''.join(apart)}])|" if apart else ""
+        self.words = re.compile(f"\n|{stem}{MARK}*[^{MARK}\n]+|{MARK}+" if line else f"{MARK}*[^{MARK}]+|{MARK}+")
+        self.costs = {piece: -score for piece, score in self.scores.items()}
         self.begin = np.array([self.library.bos_id()], "<u4").tobytes()
         self.end = np.array([self.library.eos_id()], "<u4").tobytes()
         self.fresh: list[tuple[str, list[int]]] = []
         self.older: dict[str, bytes] = {}
-        self.seen = bytearray(SEEN_SLOTS)
 
     def agenda(self, word: str) -> list[int]:
-        """Ids of one word by merging the best adjacent pair until none is left."""
+        """Ids of one word by merging the best adjacent pair, the first of equal ones, until none is left."""
+        if len(word) <= SHORT:
+            return self._ids(self._merged(word))
         scores = self.scores
         symbols = list(word)
         n = len(symbols)
@@ -113,12 +123,29 @@ class Pieces(dict):
                 pair = symbols[preceding] + joined
                 if pair in scores:
                     heapq.heappush(heap, (-scores[pair], preceding, left, pair))
-        out: list[int] = []
-        for s in symbols:
-            if s:
-                i = self.ids.get(s)
-                out.extend([i] if i is not None else [self.byte_ids[x] for x in s.encode()])
-        return out
+        return self._ids([s for s in symbols if s])
+
+    def _merged(self, word: str) -> list[str]:
+        """The symbols of a short word: its agenda is the list of the costs of adjacent pairs."""
+        cost, none = self.costs.get, math.inf
+        symbols = list(word)
+        pairs = [cost(a + b, none) for a, b in zip(symbols, symbols[1:])]
+        while pairs and (best := min(pairs)) != none:
+            at = pairs.index(best)
+            joined = symbols[at] + symbols[at + 1]
+            symbols[at : at + 2] = [joined]
+            del pairs[at]
+            if at < len(pairs):
+                pairs[at] = cost(joined + symbols[at + 1], none)
+            if at:
+                pairs[at - 1] = cost(symbols[at - 1] + joined, none)
+        return symbols
+
+    def _ids(self, symbols: list[str]) -> list[int]:
+        ids = list(map(self.ids.get, symbols))
+        if None not in ids:
+            return ids
+        return [i for s, known in zip(symbols, ids) for i in ([known] if known is not None else [self.byte_ids[x] for x in s.encode()])]
 
     def __missing__(self, word: str) -> bytes:
         raw = self.older.get(word)
@@ -127,12 +154,7 @@ class Pieces(dict):
             self.fresh.append((word, ids))
             raw = struct.pack(f"<{len(ids)}I", *ids)
         if len(word) <= KEPT_LENGTH:
-            # Most words come once: only one met again is worth a place.
-            mark = hash(word) & (SEEN_SLOTS - 1)
-            if self.seen[mark]:
-                self[word] = raw
-            else:
-                self.seen[mark] = 1
+            self[word] = raw
         return raw
 
     def encode(self, text: str) -> bytes:
@@ -157,17 +179,22 @@ class Pieces(dict):
 
     def check(self, texts: list[str]) -> None:
         """Compare with the library: words set aside since the last check, and ``texts``."""
-        # The library puts a mark before a text, so a word goes in without its own;
-        # one that follows a line break goes in after a line break.
-        marked = [(w[1:], [], ids) for w, ids in self.fresh if w[0] == MARK and len(w) > 1]
-        broken = self.library.encode("\n")
-        marked += [("\n" + w, broken, ids) for w, ids in self.fresh if w[0] not in (MARK, "\n")]
-        for (word, start, ids), theirs in zip(marked, self.library.encode([w for w, _, _ in marked], num_threads=1), strict=True):
-            if theirs != start + ids:
-                raise ValueError(f"agenda and library differ on {word!r}")
-        for (word, ids), theirs in zip(self.fresh, self.library.decode([ids for _, ids in self.fresh], num_threads=1), strict=True):
+        # Words that begin with one mark follow each other as they do in a text; others stand
+        # behind a line break each.  The library puts a mark before a text.
+        spaced = [x for x in self.fresh if len(x[0]) > 1 and x[0][0] == MARK != x[0][1]]
+        broken = [x for x in self.fresh if x[0][0] not in (MARK, "\n")]
+        rest = [x for x in self.fresh if x[0][0] == MARK and (len(x[0]) == 1 or x[0][1] == MARK)]
+        mark, line = self.agenda(MARK), self.agenda("\n")
+        calls = [("".join([w for w, _ in some])[1:], [i for _, ids in some for i in ids]) for some in _slices(spaced)]
+        calls += [("".join(["\n" + w for w, _ in some]), mark + [i for _, ids in some for i in line + ids]) for some in _slices(broken)]
+        calls += [(w[1:], ids) for w, ids in rest if len(w) > 1]
+        ours = [ids for _, ids in calls] + [ids for w, ids in self.fresh if w in (MARK, "\n")]
+        for (words, ids), theirs in zip(calls, self.library.encode([words for words, _ in calls], num_threads=1), strict=True):
+            if theirs != ids:
+                raise ValueError(f"agenda and library differ on one of {words!r}")
+        for ids, theirs in zip(ours, self.library.decode(ours, num_threads=1), strict=True):
             if theirs != self.decode(np.array(ids, "<u4")):
-                raise ValueError(f"decodings differ on {word!r}")
+                raise ValueError(f"decodings differ on {theirs!r}")
         self.fresh.clear()
         for text in texts:
             ids = np.frombuffer(self.encode(text), "<u4")
@@ -177,7 +204,10 @@ class Pieces(dict):
         if len(self) > KEPT_WORDS:
             self.older = dict(self)
             self.clear()
-            self.seen = bytearray(SEEN_SLOTS)
+
+
+def _slices(words: list) -> list[list]:
+    return [words[at : at + CALL_WORDS] for at in range(0, len(words), CALL_WORDS)]
 
 
 def _each_bad_byte(raw: bytes) -> str:
