@@ -241,3 +241,48 @@ def test_failed_batch_is_replayed(spark):
     run_available_now(spark, f"{src}/*", "event_id bigint, event_type string", handle, ckpt)
     assert calls["n"] == 2  # the failed batch was replayed, not skipped
     assert tables.read("t.e").count() == 40  # and the replay did not duplicate rows
+
+
+def test_envelope_items_are_written_alone_and_sorted_without_a_function(spark):
+    from tidemark.sources.raw import to_envelopes
+
+    df = spark.createDataFrame([("a", 49, "é \"q\" \\ ,", 1), ("a", 3, None, 2), ("a", 50, "x", None), ("b", 7, "]}", 4), (None, 1, "n", 5)], "g string, o int, s string, v int")
+    whole = lambda item: {(g, page): text for g, page, text in df.withColumn("p", F.floor(F.col("o") / 50)).orderBy("o").coalesce(1)
+                          .groupBy("g", "p").agg(F.to_json(F.struct(F.sort_array(F.collect_list(F.struct("o", item.alias("i"))))["i"].alias("items")))).collect()}
+    for item in (F.struct("s", F.struct("v").alias("more")), F.col("o"), F.when(F.col("v") != 4, F.struct("s", "v"))):
+        got = to_envelopes(df, ["g"], item, "o")
+        assert {(r["g"], r["__page"]): r["envelope"] for r in got.collect()} == whole(item)
+        assert "lambda" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_raw_days_read_the_events_once(spark):
+    from tidemark.plans.layer_queries import Raw
+
+    plan = Raw(spark, SF001).days._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Join" not in plan
+
+
+def test_raw_days_leave_out_events_without_user_or_time(spark, tmp_path):
+    from tidemark.plans.layer_queries import Raw
+
+    spark.sql("""SELECT * FROM VALUES (1L, TIMESTAMP_NTZ'2024-01-01 01:00:00', 7L, 'click', 1.5D), (2L, TIMESTAMP_NTZ'2024-01-01 02:00:00', 7L, 'purchase', 2D),
+                 (3L, TIMESTAMP_NTZ'2024-01-03 01:00:00', 7L, 'click', 1D), (4L, NULL, 7L, 'click', 1D), (5L, TIMESTAMP_NTZ'2024-01-01 01:00:00', NULL, 'click', 1D)
+                 AS t(event_id, ts, user_id, event_type, value)""").write.parquet(str(tmp_path / "events.parquet"))
+    got = Raw(spark, str(tmp_path)).days.orderBy("calendar_dt").select("user_id", "attr", "v", "n", "views", "likes", "comments", "channel_id").collect()
+    assert [tuple(r) for r in got] == [(7, "purchase", 350, 2, "2", "1", "1", "c7"), (7, "click", 100, 1, "3", "1", "2", "c7")]
+
+
+def test_versions_of_the_video_dimension_share_the_shuffle(spark, monkeypatch):
+    import re
+
+    from tidemark.plans import loads
+
+    built, build = [], loads.L.build_dim_video
+    monkeypatch.setattr(loads.L, "build_dim_video", lambda *a: built.append(build(*a)) or built[-1])
+    loads.load_dim_video(spark, SF001)
+    assert len(built) == 2
+    for df in built:
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        moved = [line for line in plan.splitlines() if re.search(r"Exchange hashpartitioning\(video_id#\d+, __bucket", line)]
+        assert sorted("ReusedExchange" in line for line in moved) == [False, True]

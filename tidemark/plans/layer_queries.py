@@ -26,11 +26,11 @@ class Raw:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         events = fx.table(spark, sf_dir, "events")
-        counts = events.groupBy("user_id", F.to_date("ts").alias("calendar_dt")).agg(
-            F.count_if(F.col("event_type") == "purchase").alias("p"), F.count_if(F.col("event_type") == "click").alias("c"), F.min("ts").alias("t0"))
+        days = fx.snapshot(events, F.count_if(F.col("event_type") == "purchase").alias("p"),
+                           F.count_if(F.col("event_type") == "click").alias("c"), F.min("ts").alias("t0"))
         so_far = Window.partitionBy("user_id").orderBy("calendar_dt")
         total = lambda c: F.sum(c).over(so_far).cast("string")
-        self.days = fx.snapshot(events).join(counts, ["user_id", "calendar_dt"]).select(
+        self.days = days.where(F.col("user_id").isNotNull() & F.col("calendar_dt").isNotNull()).select(
             "*", total("n").alias("views"), total("p").alias("likes"), total("c").alias("comments"), F.min("t0").over(so_far).alias("first_ts"),
             F.concat(F.lit("c"), (F.col("user_id") % fx.COHORTS).cast("string")).alias("channel_id"), F.col("calendar_dt").cast("string").alias("ingestion_date"))
 

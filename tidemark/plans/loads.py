@@ -82,13 +82,20 @@ def load_dim_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def load_dim_video(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two slices.  What both of them read is stored: days, hub, links and categories.
+
+    The dimension joins the hub by video, which leaves out versions without one.  They are left out
+    before the versions are built, because a filter that Spark derives from the join reaches only one of
+    the two readers of the versions' shuffle, which is then made twice."""
     raw = Raw(spark, sf_dir)
+    raw.days = materialize(raw.days)
     videos = materialize(raw.videos())
-    hub = L.build_h_video(videos, raw.empty("silver.h_video"))
-    links = L.build_l_video_channel(videos, raw.empty("silver.l_video_channel"))
-    categories = L.build_ref_category(raw.categories())
+    hub = materialize(L.build_h_video(videos, raw.empty("silver.h_video")))
+    links = materialize(L.build_l_video_channel(videos, raw.empty("silver.l_video_channel")))
+    categories = materialize(L.build_ref_category(raw.categories()))
     tables = _tables(spark, "gold.dim_video")
-    slices = [L.build_dim_video(hub, build_versions(L._video_attributes(x), "video_id"), links, categories) for x in _slices(videos)]
+    attributes = [L._video_attributes(x).where(F.col("video_id").isNotNull()) for x in _slices(videos)]
+    slices = [L.build_dim_video(hub, build_versions(x, "video_id"), links, categories) for x in attributes]
     return _without_processed(_loaded(tables, "gold.dim_video", "video_id", slices))
 
 

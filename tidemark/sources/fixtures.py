@@ -20,12 +20,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def snapshot(events: DataFrame) -> DataFrame:
+def snapshot(events: DataFrame, *more: F.Column) -> DataFrame:
+    """The snapshot; ``more`` are further aggregates of the day's events, taken in the same pass."""
     return (events
             .groupBy("user_id", F.to_date("ts").alias("calendar_dt"))
             .agg(F.max_by("event_type", F.struct("ts", "event_id")).alias("attr"),
                  F.sum(F.round(F.col("value") * 100)).cast("bigint").alias("v"),
-                 F.count(F.lit(1)).alias("n")))
+                 F.count(F.lit(1)).alias("n"), *more))
 
 
 def day_number(date_col: str = "calendar_dt") -> F.Column:
