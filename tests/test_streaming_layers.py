@@ -286,3 +286,25 @@ def test_versions_of_the_video_dimension_share_the_shuffle(spark, monkeypatch):
         plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
         moved = [line for line in plan.splitlines() if re.search(r"Exchange hashpartitioning\(video_id#\d+, __bucket", line)]
         assert sorted("ReusedExchange" in line for line in moved) == [False, True]
+
+
+def test_load_s_video_derives_hub_and_links_once(spark, monkeypatch):
+    from tidemark.plans import loads
+
+    given, build = [], loads.L.build_s_video
+    monkeypatch.setattr(loads.L, "build_s_video", lambda *a: given.append(a[2:4]) or build(*a))
+    loads.load_s_video(spark, SF001)
+    assert len(given) == 2
+    for df in (x for pair in given for x in pair):
+        assert "Aggregate" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_dq_writes_every_table_once_and_damaged_ones_again(spark, monkeypatch):
+    from tidemark.plans import loads
+
+    written, materialize = [], loads.materialize
+    monkeypatch.setattr(loads, "materialize", lambda df: written.append(df.columns) or materialize(df))
+    got = {(r["table_name"], r["check_name"]): r["violations"] for r in loads.dq_seventeen_tables(spark, SF001).collect()}
+    assert len(written) == 1 + len(loads.SPECS) + 3  # the days, the tables, the damaged tables
+    assert got["gold.fct_video_daily", "no_negative"] > 0 and got["silver.s_channel", "no_duplicates"] > 0
+    assert got["silver.s_video", "no_orphans[video_id]"] > 0 and got["gold.fct_channel_daily", "no_negative"] == 0
